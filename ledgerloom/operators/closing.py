@@ -95,11 +95,14 @@ def roll_forward(entries: DataFrame, lines: DataFrame, periods: DataFrame, accou
     by_period = Window.partitionBy("account_id").orderBy("idx")
     last = calendar.select(F.max("idx")).scalar()
     movement = F.col("debit") - F.col("credit")
-    run = F.sequence("idx", F.coalesce(F.lead("idx").over(by_period), last + 1) - 1)
-    filled = active.filter(F.col("idx") <= last).select(
+    carried = active.select(
         "account_id", F.col("idx").alias("moved_idx"), "debit", "credit",
         F.sum(movement).over(by_period.rowsBetween(Window.unboundedPreceding, 0)).cast(MONEY_TOTAL).alias("closing"),
-        F.explode(run).alias("idx"),
+        F.lead("idx").over(by_period).alias("next_idx"), last.alias("last_idx"),
+    )
+    until = F.coalesce(F.col("next_idx") - 1, F.col("last_idx"))
+    filled = carried.filter("moved_idx <= last_idx").select(
+        "account_id", "moved_idx", "debit", "credit", "closing", F.explode(F.sequence("moved_idx", until)).alias("idx")
     )
     here = F.col("idx") == F.col("moved_idx")
     rows = filled.select(

@@ -107,7 +107,7 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     return (
         df.select(F.inline(F.array(*cells)))
         .filter(F.col("value").isNotNull())
-        .groupBy("number", "value").agg()
+        .distinct()
         .groupBy("number").agg(F.count(F.lit(1)).alias("distinct"))
         .select(F.get(names, F.col("number")).alias("column"), "distinct")
     )

@@ -178,6 +178,73 @@ SELECT doc_id AS id, concat('doc', CAST(doc_id AS STRING), '.pdf') AS filename,
        CASE doc_id % 3 WHEN 0 THEN 'job' WHEN 1 THEN 'invoice' ELSE 'party' END AS entity_type,
        doc_id % 100 AS entity_id, CAST(DATE '2024-01-01' AS DATE) + CAST(doc_id % 30 AS INT) AS uploaded_at
 FROM documents""",
+    "invoice_line_site": """
+SELECT i.l_orderkey AS invoice_id, CAST(i.l_quantity AS DECIMAL(9,0)) AS qty,
+       CAST(p.p_retailprice AS DECIMAL(12,2)) AS unit_price,
+       CAST(CAST(i.l_quantity AS DECIMAL(9,0)) * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS amount,
+       s.s_nationkey AS site_id
+FROM lineitem i JOIN part p ON i.l_partkey = p.p_partkey JOIN supplier s ON i.l_suppkey = s.s_suppkey""",
+    "outbox": """
+SELECT a.message_id, CASE WHEN a.status = 'failed' THEN 'pending' ELSE a.status END AS status,
+       a.attempted_at + INTERVAL '1' MINUTE AS next_attempt_at
+FROM outbox_attempt a
+JOIN (SELECT message_id, max(attempt) AS attempt FROM outbox_attempt GROUP BY message_id) l
+  ON a.message_id = l.message_id AND a.attempt = l.attempt""",
+    "changed_entry": """
+SELECT e.entry_id, e.entry_date, e.source_id,
+       CASE WHEN e.adjusting_reason = ' ' THEN 'n/a' ELSE e.adjusting_reason END AS adjusting_reason
+FROM journal_entry e JOIN (SELECT DISTINCT entry_id FROM journal_line) l ON e.entry_id = l.entry_id""",
+    "correction": """
+SELECT concat('COR-', CAST(entry_id AS STRING)) AS entry_id, entry_id AS corrects_entry_id
+FROM journal_line GROUP BY entry_id HAVING SUM(debit) <> SUM(credit)""",
+    "corrected_line": """
+SELECT concat('COR-', CAST(r.entry_id AS STRING)) AS entry_id, r.account_id,
+       CAST(0 AS DECIMAL(18,4)) AS debit, r.amount AS credit
+FROM revenue_line r JOIN correction c ON r.entry_id = c.corrects_entry_id
+UNION ALL
+SELECT concat('COR-', CAST(r.entry_id AS STRING)), 1100, CAST(SUM(r.amount) AS DECIMAL(18,4)), CAST(0 AS DECIMAL(18,4))
+FROM revenue_line r JOIN correction c ON r.entry_id = c.corrects_entry_id GROUP BY r.entry_id""",
+    "booking": """
+SELECT 'order' AS source_type, entry_id AS source_id FROM journal_line WHERE account_id = 1100
+UNION ALL
+SELECT source_type, source_id FROM journal_entry WHERE is_adjusting""",
+    "fiscal_period": """
+SELECT 'MAIN' AS calendar, year(start_date) AS fiscal_year, month(start_date) AS period_no, false AS is_closing
+FROM accounting_period
+UNION ALL
+SELECT DISTINCT 'SHIP', year(l_shipdate), month(l_shipdate), false FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL
+SELECT DISTINCT 'SHIP', year(l_shipdate), 13, true FROM lineitem""",
+    "fiscal_journal": """
+SELECT 'MAIN' AS calendar, year(entry_date) AS fiscal_year, month(entry_date) AS period_no FROM journal_entry
+UNION ALL
+SELECT 'SHIP', year(l_shipdate), CASE WHEN l_linenumber = 7 THEN 0 ELSE month(l_shipdate) END FROM lineitem""",
+    "customer_load": """
+SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, 2 AS revision FROM customer WHERE c_acctbal >= 0
+UNION ALL
+SELECT s_suppkey + 1000000000, s_name, s_nationkey, 1 FROM supplier
+UNION ALL
+SELECT s_suppkey + 1000000000, s_name, s_nationkey, 1 FROM supplier""",
+    "customer_stored": """
+SELECT c_custkey, c_name, c_nationkey, 1 AS revision FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+    "trade_edge": """
+SELECT DISTINCT concat('segment ', c.c_mktsegment) AS src, concat('nation ', n.n_name) AS dst
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+UNION
+SELECT DISTINCT concat('nation ', n.n_name), concat('region ', r.r_name)
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+UNION
+SELECT DISTINCT concat('type ', p.p_type), concat('nation ', n.n_name)
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "alert_rule": """
+SELECT * FROM (VALUES ('HoldPlaced', 'InProcess', 'quality hold'), ('HoldPlaced', 'QAComplete', 'quality hold'),
+  ('OverrideTransition', CAST(NULL AS STRING), 'override'), ('InvoiceIssued', NULL, 'invoice issued'))
+AS t(event_type, from_state, alert)""",
+    "versioned_event": """
+SELECT event_id, ts, workflow_name, instance_id, seq, event_type, idempotency_key, seq - 1 AS expected_version,
+       actor_id, actor_role, target_state, override_reason
+FROM workflow_event""",
 }
 
 
