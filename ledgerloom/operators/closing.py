@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import MONEY_TOTAL, same, total, zero
+from ledgerloom.functions.columns import MONEY_TOTAL, total, zero
 from ledgerloom.operators.ledger import assign_period, posted_lines
 from ledgerloom.operators.migrate import reconcile
 
@@ -142,38 +142,30 @@ def close_diff(
     Only periods that have both closes are compared. Given the ledger as well, the
     adjusting entries posted between the two closes are counted and summed.
     """
-    def of(version: int, name: str) -> DataFrame:
-        return snapshots.filter(F.col("close_version") == version).select(
-            "period_id", "account_id", F.col("balance").alias(name)
-        )
+    def balance_at(version: int) -> Column:
+        return total(F.when(F.col("close_version") == version, F.col("balance")))
 
-    if close_events is not None:
-        had = close_events.filter(F.col("close_version").isin(v1, v2)).groupBy("period_id").agg(
-            F.count_distinct("close_version").alias("closes")
-        ).filter("closes = 2")
-    else:
-        had = snapshots.filter(F.col("close_version").isin(v1, v2)).groupBy("period_id").agg(
-            F.count_distinct("close_version").alias("closes")
-        ).filter("closes = 2")
+    two = F.col("close_version").isin(v1, v2)
+    closes = close_events if close_events is not None else snapshots
+    reclosed = (
+        closes.filter(two).groupBy("period_id").agg(F.count_distinct("close_version").alias("versions")).filter("versions = 2")
+    )
     diff = (
-        of(v1, "old_balance").join(of(v2, "new_balance"), ["period_id", "account_id"], "full_outer")
-        .join(had, "period_id", "left_semi")
-        .select(
-            "period_id", "account_id", F.coalesce("old_balance", zero()).alias("old_balance"),
-            F.coalesce("new_balance", zero()).alias("new_balance"),
-        )
+        snapshots.filter(two).groupBy("period_id", "account_id")
+        .agg(balance_at(v1).alias("old_balance"), balance_at(v2).alias("new_balance"))
+        .join(reclosed.select("period_id"), "period_id", "left_semi")
         .withColumn("change", (F.col("new_balance") - F.col("old_balance")).cast(MONEY_TOTAL))
         .filter("change <> 0")
     )
     if entries is None:
         return diff
-    closes = close_events.groupBy("period_id").agg(
+    spans = close_events.groupBy("period_id").agg(
         F.max(F.when(F.col("close_version") == v1, F.col("closed_on"))).alias("first_on"),
         F.max(F.when(F.col("close_version") == v2, F.col("closed_on"))).alias("second_on"),
     )
     adjusting = (
         assign_period(posted_lines(entries.filter("is_adjusting"), lines, None, "entry_date", "posted_at"), periods)
-        .join(closes, "period_id").filter("posted_at > first_on and posted_at <= second_on")
+        .join(spans, "period_id").filter("posted_at > first_on and posted_at <= second_on")
         .groupBy("period_id", "account_id", "entry_id")
         .agg((total("debit") - total("credit")).cast(MONEY_TOTAL).alias("net"))
         .groupBy("period_id", "account_id")

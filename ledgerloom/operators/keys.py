@@ -137,22 +137,21 @@ def discover_inclusions(
         word, bit = divmod(number, 63)
         return [F.lit(1 << bit if w == word else 0).cast("long").alias(f"w{w}") for w in range(words)]
 
-    cells = []
+    cells, sizes = [], []
     for table, df in tables.items():
         own = [(number, field, kind) for number, (name, field, kind) in enumerate(found) if name == table]
         if own:
             cells.append(
-                df.select(
-                    F.inline(
-                        F.array(*[
-                            F.struct(F.lit(kind).alias("kind"), groupable_text(field).alias("value"), *bits(number),
-                                     F.lit(number).alias("number"))
-                            for number, field, kind in own
-                        ])
-                    )
-                ).filter(F.col("value").isNotNull())
+                df.select(F.inline(F.array(*[
+                    F.struct(F.lit(kind).alias("kind"), groupable_text(field).alias("value"), *bits(number))
+                    for number, field, kind in own
+                ]))).filter(F.col("value").isNotNull())
             )
-    cells = reduce(DataFrame.unionAll, cells)
+            counted = df.agg(*[F.count(F.col(f"`{field.name}`")).alias(str(number)) for number, field, _ in own])
+            sizes.append(counted.select(F.inline(F.array(*[
+                F.struct(F.lit(number).alias("number"), F.col(f"`{number}`").alias("filled")) for number, _, _ in own
+            ]))))
+    cells, filled = reduce(DataFrame.unionAll, cells), reduce(DataFrame.unionAll, sizes)
     masks = [f"w{w}" for w in range(words)]
     sets = (
         cells.groupBy("kind", "value").agg(*[F.bit_or(m).alias(m) for m in masks])
@@ -171,7 +170,6 @@ def discover_inclusions(
         .groupBy("child", "parent").agg(F.sum("n").alias("matched"))
     )
     own_size = per_child.filter("child = parent").select("child", F.col("matched").alias("child_distinct"))
-    filled = cells.groupBy("number").agg(F.count(F.lit(1)).alias("filled"))
     unique = (
         filled.join(own_size, F.col("number") == F.col("child"))
         .select(F.col("number").alias("parent"), (F.col("filled") == F.col("child_distinct")).alias("parent_unique"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import MONEY, MONEY_TOTAL, all_of, is_blank, same, total, zero
+from ledgerloom.functions.columns import MONEY_TOTAL, all_of, is_blank, same, total, zero
 
 DIMENSIONS = ["site_id", "cost_center_id", "business_unit_id"]
 
@@ -255,17 +255,18 @@ def opening_balances(
         posted_lines(entries, lines, before).groupBy("account_id", *dims)
         .agg((total("debit") - total("credit")).cast(MONEY_TOTAL).alias("net"))
     )
-    carried = nets
     if balancing_account is not None:
-        rest = nets.agg((-total("net")).cast(MONEY_TOTAL).alias("net"))
-        gap = rest.select(
-            F.lit(balancing_account).cast(nets.schema["account_id"].dataType).alias("account_id"),
-            *[F.lit(None).cast(nets.schema[d].dataType).alias(d) for d in dims], "net",
+        # One more grouping over the balances gives what is left to book.
+        columns = ["account_id", *dims]
+        grouped = nets.groupingSets([[F.col(c) for c in columns], []], *[F.col(c) for c in columns])
+        rest = F.grouping_id() != 0
+        nets = grouped.agg(rest.alias("rest"), total("net").alias("sum")).select(
+            F.when(F.col("rest"), F.lit(balancing_account)).otherwise(F.col("account_id")).alias("account_id"), *dims,
+            F.when(F.col("rest"), -F.col("sum")).otherwise(F.col("sum")).alias("net"),
         )
-        carried = nets.unionByName(gap)
     debit = F.when(F.col("net") > 0, F.col("net")).otherwise(zero())
     credit = F.when(F.col("net") < 0, -F.col("net")).otherwise(zero())
-    return carried.filter("net <> 0").select(
+    return nets.filter("net <> 0").select(
         F.lit(entry_id).alias("entry_id"), "account_id", *dims,
         debit.cast(MONEY_TOTAL).alias("debit"), credit.cast(MONEY_TOTAL).alias("credit"),
     )

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerloom.functions.columns import MONEY_TOTAL, all_of, pct, same, total, zero
+from ledgerloom.functions.columns import MONEY_TOTAL, all_of, same, total, zero
 
 
 def apply_crosswalk(

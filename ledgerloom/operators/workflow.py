@@ -26,6 +26,7 @@ OVERRIDE = "OverrideTransition"
 
 INSTANCE = ["workflow_name", "instance_id"]
 BLOCK_EVENTS = 4096
+MAX_TRANSITIONS = 10_000
 
 _PASSED = ["event_id", "ts", "event_type", "actor_id", "actor_role", "target_state", "override_reason", "expected_version"]
 
@@ -57,21 +58,36 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _moves(transitions: DataFrame) -> Column:
-    """The transition table as one map value: event type to its possible moves."""
-    per_event = transitions.groupBy("event_type").agg(
-        F.collect_list(F.struct("from_state", "to_state", "guard_event")).alias("moves")
-    )
-    return per_event.agg(F.map_from_entries(F.collect_list(F.struct("event_type", "moves")))).scalar()
+def definition(transitions: DataFrame) -> list[tuple]:
+    """The rows of a transition table, refused when it is too long to be one."""
+    rows = transitions.select("from_state", "event_type", "to_state", "guard_event").take(MAX_TRANSITIONS + 1)
+    if len(rows) > MAX_TRANSITIONS:
+        raise ValueError(f"a workflow definition has at most {MAX_TRANSITIONS} transitions")
+    return [tuple(row) for row in rows]
+
 
+class _Machine:
+    """A definition as constants inside a query: moves per event type, and the events guards wait for."""
 
-def _guards(transitions: DataFrame) -> Column:
-    return transitions.agg(F.sort_array(F.collect_set("guard_event"))).scalar()
+    def __init__(self, rows: list[tuple]):
+        per_event: dict[str, list[Column]] = {}
+        for from_state, event_type, to_state, guard_event in rows:
+            per_event.setdefault(event_type, []).append(F.struct(
+                F.lit(from_state).alias("from_state"), F.lit(to_state).alias("to_state"),
+                F.lit(guard_event).cast("string").alias("guard_event"),
+            ))
+        self.moves = F.create_map(*[
+            part for event_type, moves in per_event.items() for part in (F.lit(event_type), F.array(*moves))
+        ])
+        self.guards = F.array(*[F.lit(name) for name in sorted({row[3] for row in rows if row[3]})]).cast("array<string>")
 
+    def possible(self, event: Column) -> Column:
+        return F.coalesce(F.element_at(self.moves, event["event_type"]), F.array())
 
-def _apply(acc: Column, event: Column, keep_log: bool) -> Column:
+
+def _apply(machine: _Machine, acc: Column, event: Column, keep_log: bool) -> Column:
     """State after one event."""
-    possible = F.coalesce(F.element_at(F.col("moves"), event["event_type"]), F.expr("array()"))
+    possible = machine.possible(event)
     here = F.filter(possible, lambda m: m["from_state"] == acc["state"])
     anywhere = F.filter(possible, lambda m: (m["from_state"] == ANY_STATE) & ~acc["state"].isin(*TERMINAL))
 
@@ -93,7 +109,7 @@ def _apply(acc: Column, event: Column, keep_log: bool) -> Column:
         state = F.when(applied, result["target"]).otherwise(acc["state"])
         version = F.when(applied, acc["version"] + 1).otherwise(acc["version"])
         entered = (acc["state"] != HELD) & (state == HELD)
-        remembered = applied & F.array_contains(F.col("guards"), event["event_type"])
+        remembered = applied & F.array_contains(machine.guards, event["event_type"])
         fields = [
             state.alias("state"), version.alias("version"),
             F.when(entered, acc["state"]).when(state == HELD, acc["held_from"]).alias("held_from"),
@@ -123,7 +139,7 @@ def _start(state: Column, version: Column, seen: Column) -> Column:
     ).cast(_START_TYPE)
 
 
-def _fold(blocks: DataFrame, keep_log: bool) -> Column:
+def _fold(machine: _Machine, blocks: DataFrame, keep_log: bool) -> Column:
     """Run the events of a block from its start."""
     start = [F.col("start")[name].alias(name) for name in ("state", "version", "held_from", "held_seq", "seen")]
     if keep_log:
@@ -134,7 +150,7 @@ def _fold(blocks: DataFrame, keep_log: bool) -> Column:
             *[f"{c}:{kinds[c]}" for c in [*_PASSED, "idempotency_key"]],
         ])
         start.append(F.array().cast(f"array<struct<{inner}>>").alias("log"))
-    return F.aggregate("events", F.struct(*start), lambda acc, event: _apply(acc, event, keep_log))
+    return F.aggregate("events", F.struct(*start), lambda acc, event: _apply(machine, acc, event, keep_log))
 
 
 def replay(
@@ -156,17 +172,15 @@ def replay(
     firsts = dedupe_idempotent(events).withColumn("seq", F.col("seq").cast("int"))
     event = F.struct("seq", *_PASSED, "idempotency_key")
     block = F.floor((F.col("seq") - 1) / block_events).cast("long")
-    blocks = (
-        firsts.groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
-        .select("*", _moves(transitions).alias("moves"), _guards(transitions).alias("guards"))
-    )
+    machine = _Machine(definition(transitions))
+    blocks = firsts.groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
     beginning = _start(F.lit(initial), F.lit(0), F.expr("cast(array() as array<string>)"))
     longest = events.agg(F.max("seq")).first()[0] or 0
     if longest > block_events:
-        blocks = _with_starts(blocks, beginning)
+        blocks = _with_starts(machine, blocks, beginning)
     else:
         blocks = blocks.withColumn("start", beginning)
-    results = blocks.select(*INSTANCE, F.explode(_fold(blocks, keep_log=True)["log"]).alias("entry")).select(
+    results = blocks.select(*INSTANCE, F.explode(_fold(machine, blocks, keep_log=True)["log"]).alias("entry")).select(
         *INSTANCE, "entry.*"
     )
     if not duplicates:
@@ -186,7 +200,7 @@ def replay(
     )
 
 
-def _with_starts(blocks: DataFrame, beginning: Column) -> DataFrame:
+def _with_starts(machine: _Machine, blocks: DataFrame, beginning: Column) -> DataFrame:
     """Give every block the state its instance is in when it begins."""
     shared_dir(blocks.sparkSession)
     in_order = Window.partitionBy(*INSTANCE).orderBy("block")  # rows are blocks, not events
@@ -195,7 +209,7 @@ def _with_starts(blocks: DataFrame, beginning: Column) -> DataFrame:
     leaves = F.flatten(F.transform(
         F.slice("events", 1, 16),
         lambda e: F.transform(
-            F.filter(F.element_at(F.col("moves"), e["event_type"]), lambda m: m["from_state"] != ANY_STATE),
+            F.filter(machine.possible(e), lambda m: m["from_state"] != ANY_STATE),
             lambda m: m["from_state"],
         ),
     ))
@@ -203,14 +217,14 @@ def _with_starts(blocks: DataFrame, beginning: Column) -> DataFrame:
     guess = _start(
         F.coalesce(F.get(leaves, F.lit(0)), beginning["state"]),
         F.coalesce(F.get(F.filter(F.transform("events", lambda e: e["expected_version"]), lambda v: v.isNotNull()), F.lit(0)), F.lit(0)),
-        F.col("guards"),
+        machine.guards,
     )
     blocks = blocks.withColumn("versioned", versioned).checkpoint()
     first = F.row_number().over(in_order) == 1
     order = blocks.select(*place, first.alias("is_first")).checkpoint()
 
     def run(started: DataFrame) -> DataFrame:
-        end = _fold(started, keep_log=False)
+        end = _fold(machine, started, keep_log=False)
         return started.select(*place, "versioned", "start", end.alias("end"))
 
     ran = run(blocks.join(order, place).withColumn("start", F.when(F.col("is_first"), beginning).otherwise(guess))).checkpoint()

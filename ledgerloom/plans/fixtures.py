@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.session import work_dir
 from ledgerloom.sources.tables import load_table
 
 BASE = (
@@ -267,6 +270,12 @@ def views_behind(text: str) -> list[str]:
     return ordered
 
 
+# In a running system these are tables, not views: they are written once per session and
+# read back, so that queries see files, statistics and filters that reach the scan.
+STORED = ("accounting_period", "revenue_line", "journal_line", "legacy_line", "workflow_event")
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """Driver tables and derived views as DataFrames, by name."""
 
@@ -277,12 +286,23 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            if name in VIEWS:
+            if name in STORED:
+                self._made[name] = self.stored(name, lambda: self.sql(VIEWS[name]))
+            elif name in VIEWS:
                 self._made[name] = self.sql(VIEWS[name])
             else:
                 self._made[name] = load_table(self.spark, self.sf_dir, name)
         return self._made[name]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table written to the shared folder on first use."""
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if place not in _PATHS:
+            path = work_dir(self.spark, name)
+            build().write.parquet(path)
+            _PATHS[place] = path
+        return self.spark.read.parquet(_PATHS[place])
+
     def sql(self, text: str) -> DataFrame:
         """Run a statement over these tables."""
         self.register(text)

@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerloom.operators.workflow import (
-    ANY_STATE, BEFORE_HOLD, GIVEN_TARGET, HELD, INITIAL, INSTANCE, TERMINAL,
+    ANY_STATE, BEFORE_HOLD, GIVEN_TARGET, HELD, INITIAL, INSTANCE, TERMINAL, definition,
 )
 
-MAX_TRANSITIONS = 10_000
 FRAME_ROWS = 10_000
 EVENT_FIELDS = (
     "seq int, event_id long, ts timestamp, event_type string, actor_id long, actor_role string, "
@@ -142,15 +141,11 @@ def stream_replay(
 ) -> DataFrame:
     """Outcome of every event as it arrives, the same as `replay` gives on the whole log.
 
-    The transition table becomes part of the operator; it is refused above
-    ``MAX_TRANSITIONS`` rows. Sequence numbers of an instance start at 1 without gaps; an event that comes early waits for the missing ones, one
+    The transition table becomes part of the operator. Sequence numbers of an instance start at 1 without gaps; an event that comes early waits for the missing ones, one
     that comes again is dropped. Needs the RocksDB state store. ``key_ttl_ms`` lets
     idempotency keys expire.
     """
     columns = [*INSTANCE, *_EVENT]
-    moves = transitions.select("from_state", "event_type", "to_state", "guard_event").take(MAX_TRANSITIONS + 1)
-    if len(moves) > MAX_TRANSITIONS:
-        raise ValueError(f"a workflow definition has at most {MAX_TRANSITIONS} transitions")
     return events.select(*columns).groupBy(*INSTANCE).transformWithStateInPandas(
-        ReplayProcessor([tuple(row) for row in moves], initial, key_ttl_ms), OUTPUT, "Append", "ProcessingTime" if key_ttl_ms else "None"
+        ReplayProcessor(definition(transitions), initial, key_ttl_ms), OUTPUT, "Append", "ProcessingTime" if key_ttl_ms else "None"
     )
