@@ -26,11 +26,21 @@ _EVENT = [field.split()[0] for field in EVENT_FIELDS.split(", ")]
 _RESULT = ["from_state", "to_state", "version", "outcome", "held_seq"]
 
 
+_INTEGERS = {"seq", "event_id", "actor_id", "expected_version"}
+
+
 def _plain(row) -> tuple:
-    """Missing values as None; pandas turns a missing integer into a float."""
+    """Missing values as None."""
     return tuple(None if pd.isna(value) else value for value in row)
 
 
+def _event(row) -> tuple:
+    """Event values as stored; pandas makes a column of integers with gaps one of floats."""
+    return tuple(
+        int(value) if name in _INTEGERS and value is not None else value for name, value in zip(_EVENT, _plain(row))
+    )
+
+
 def _frame(rows: list[dict]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=[field.split()[0] for field in OUTPUT.split(", ")])
     for name in ("held_seq", "expected_version"):
@@ -100,11 +110,11 @@ class ReplayProcessor(StatefulProcessor):
             due = stored[5]
         waiting = {}
         if self.early.exists():
-            waiting = {row[0]: _plain(row) for row in self.early.get()}
+            waiting = {row[0]: _event(row) for row in self.early.get()}
         for frame in rows:
             for row in frame[_EVENT].itertuples(index=False, name=None):
                 if row[0] >= due:  # anything earlier was delivered before
-                    waiting[row[0]] = _plain(row)
+                    waiting[row[0]] = _event(row)
         out = []
         while due in waiting:
             event = dict(zip(_EVENT, waiting.pop(due)))
