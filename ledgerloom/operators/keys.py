@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,11 @@ class ForeignKey:
     pairs: tuple[tuple[str, str], ...]
 
 
+def foreign_key_edges(spark: SparkSession, fks: Iterable[ForeignKey]) -> DataFrame:
+    """Declared keys as an edge table for `bounded_paths`."""
+    return spark.createDataFrame([(fk.referencing, fk.referenced) for fk in fks], "src string, dst string").distinct()
+
+
 def key_check(df: DataFrame, cols: list[str]) -> DataFrame:
     """Is this column list a key? Rows with a NULL in it are counted apart."""
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))

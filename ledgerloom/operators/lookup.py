@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import all_of
+
 # Fixed value: rows of a search.
 SEARCH_LIMIT = 25
 
@@ -98,29 +100,24 @@ def suggest_matches(unmatched: DataFrame, reference: DataFrame, k: int = 5) -> D
     return scored.withColumn("r", rank).filter(F.col("r") <= k).select("code", "candidate", "score")
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words of a text."""
-    return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda word: word != "")
-
-
 def token_search(df: DataFrame, key: str, cols: list[str], query: str, limit: int = SEARCH_LIMIT) -> DataFrame:
     """Rows that hold every word of the query, most hits first.
 
-    Whole texts are searched inside the scan; only matching rows leave it.
+    Words are runs of letters and digits; case does not count. Whole texts are searched
+    inside the scan, for the words asked for only, and only matching rows leave it.
     """
-    words = sorted({word for word in _words(query)})
+    words = sorted(set(_words(query)))
     if not words:
         raise ValueError("the query has no words")
-    text = F.concat_ws(" ", *[F.col(c) for c in cols])
-    lowered = F.lower(text)
-    possible = df.filter(F.expr("true"))
-    for word in words:
-        possible = possible.filter(F.contains(lowered, F.lit(word)))
-    hits = F.filter(tokens(text), lambda word: word.isin(words))
+    text = F.lower(F.concat_ws(" ", *[F.col(c) for c in cols]))
+    # The word itself comes first in the pattern: what stands around it is only looked at there.
+    part = "[\\p{L}\\p{N}]"
+    hits = [F.regexp_count(text, F.lit(f"{word}(?<!{part}{word})(?!{part})")) for word in words]
     found = (
-        possible.select(key, hits.alias("found"))
-        .filter(F.size(F.array_distinct("found")) == len(words))
-        .select(key, F.size("found").alias("hits"))
+        df.filter(all_of([F.contains(text, F.lit(word)) for word in words]))
+        .select(key, *[h.alias(f"hits/{i}") for i, h in enumerate(hits)])
+        .filter(all_of([F.col(f"`hits/{i}`") > 0 for i in range(len(words))]))
+        .select(key, sum((F.col(f"`hits/{i}`") for i in range(len(words))), F.lit(0)).alias("hits"))
         .orderBy(F.desc("hits"), key).limit(limit)
     )
     place = F.row_number().over(Window.orderBy(F.desc("hits"), key))  # over the rows kept

@@ -25,7 +25,7 @@ TERMINAL = ("Closed", "Cancelled")
 OVERRIDE = "OverrideTransition"
 
 INSTANCE = ["workflow_name", "instance_id"]
-BLOCK_EVENTS = 4096
+BLOCK_EVENTS = 1024
 MAX_TRANSITIONS = 10_000
 
 _PASSED = ["event_id", "ts", "event_type", "actor_id", "actor_role", "target_state", "override_reason", "expected_version"]
@@ -67,90 +67,93 @@ def definition(transitions: DataFrame) -> list[tuple]:
 
 
 class _Machine:
-    """A definition as constants inside a query: moves per event type, and the events guards wait for."""
+    """A definition as constants inside a query."""
 
     def __init__(self, rows: list[tuple]):
-        per_event: dict[str, list[Column]] = {}
+        if not rows:
+            raise ValueError("a workflow definition needs transitions")
+        per_event: dict[str, dict[str, Column]] = {}
         for from_state, event_type, to_state, guard_event in rows:
-            per_event.setdefault(event_type, []).append(F.struct(
-                F.lit(from_state).alias("from_state"), F.lit(to_state).alias("to_state"),
-                F.lit(guard_event).cast("string").alias("guard_event"),
-            ))
-        self.moves = F.create_map(*[
-            part for event_type, moves in per_event.items() for part in (F.lit(event_type), F.array(*moves))
+            per_event.setdefault(event_type, {})[from_state] = F.struct(
+                F.lit(to_state).alias("to_state"), F.lit(guard_event).cast("string").alias("guard_event")
+            )
+        self._moves = F.create_map(*[
+            part for event_type, moves in per_event.items()
+            for part in (F.lit(event_type), F.create_map(*[x for state, move in moves.items() for x in (F.lit(state), move)]))
         ])
-        self.guards = F.array(*[F.lit(name) for name in sorted({row[3] for row in rows if row[3]})]).cast("array<string>")
+        self.guards = sorted({row[3] for row in rows if row[3]})
+        self.guarded = sorted({row[1] for row in rows if row[3]})
+
+    def move(self, state: Column, event_type: Column) -> Column:
+        """Where an event leads from a state, and the event it depends on."""
+        moves = F.element_at(self._moves, event_type)
+        anywhere = F.when(~state.isin(*TERMINAL), F.element_at(moves, F.lit(ANY_STATE)))
+        return F.coalesce(F.element_at(moves, state), anywhere)
+
 
-    def possible(self, event: Column) -> Column:
-        return F.coalesce(F.element_at(self.moves, event["event_type"]), F.array())
+_STATE_TYPE = "state:string,version:int,held_from:string,held_seq:int"
+_START_TYPE = f"struct<{_STATE_TYPE},seen:array<string>>"
 
 
-def _apply(machine: _Machine, acc: Column, event: Column, keep_log: bool) -> Column:
-    """State after one event."""
-    possible = machine.possible(event)
-    here = F.filter(possible, lambda m: m["from_state"] == acc["state"])
-    anywhere = F.filter(possible, lambda m: (m["from_state"] == ANY_STATE) & ~acc["state"].isin(*TERMINAL))
+def _step(machine: _Machine, now: Column, event: Column, keep: list[str]) -> Column:
+    """State after one event. ``gained`` holds the guard events applied in the block so far."""
 
     def with_move(move: Column) -> Column:
-        to = move["to_state"]
-        target = F.when(to == BEFORE_HOLD, acc["held_from"]).when(to == GIVEN_TARGET, event["target_state"]).otherwise(to)
+        to, guard = move["to_state"], move["guard_event"]
+        target = F.when(to == BEFORE_HOLD, now["held_from"]).when(to == GIVEN_TARGET, event["target_state"]).otherwise(to)
+        met = F.array_contains(F.col("start")["seen"], guard) | F.array_contains(now["gained"], guard)
         outcome = (
-            F.when(event["expected_version"] != acc["version"], "version_conflict")
+            F.when(event["expected_version"] != now["version"], "version_conflict")
             .when(move.isNull(), "no_transition")
             .when((to == GIVEN_TARGET) & is_blank(event["override_reason"]), "reason_missing")
             .when(target.isNull(), "no_target")
-            .when(move["guard_event"].isNotNull() & ~F.array_contains(acc["seen"], move["guard_event"]), "guard_not_met")
+            .when(guard.isNotNull() & ~met, "guard_not_met")
             .otherwise("applied")
         )
         return _let(F.struct(target.alias("target"), outcome.alias("outcome")), after)
 
     def after(result: Column) -> Column:
         applied = result["outcome"] == "applied"
-        state = F.when(applied, result["target"]).otherwise(acc["state"])
-        version = F.when(applied, acc["version"] + 1).otherwise(acc["version"])
-        entered = (acc["state"] != HELD) & (state == HELD)
-        remembered = applied & F.array_contains(machine.guards, event["event_type"])
-        fields = [
-            state.alias("state"), version.alias("version"),
-            F.when(entered, acc["state"]).when(state == HELD, acc["held_from"]).alias("held_from"),
-            F.when(entered, event["seq"]).when(state == HELD, acc["held_seq"]).alias("held_seq"),
-            F.when(remembered, F.array_sort(F.array_union(acc["seen"], F.array(event["event_type"]))))
-            .otherwise(acc["seen"]).alias("seen"),
-        ]
-        if keep_log:
-            entry = F.struct(
-                event["seq"].alias("seq"), acc["state"].alias("from_state"), state.alias("to_state"),
-                version.alias("version"), result["outcome"].alias("outcome"), acc["held_seq"].alias("held_seq"),
-                *[event[c].alias(c) for c in [*_PASSED, "idempotency_key"]],
-            )
-            fields.append(F.concat(acc["log"], F.array(entry)).alias("log"))
-        return F.struct(*fields)
-
-    return _let(F.coalesce(F.get(here, F.lit(0)), F.get(anywhere, F.lit(0))), with_move)
+        state = F.when(applied, result["target"]).otherwise(now["state"])
+        entered = (now["state"] != HELD) & (state == HELD)
+        remembered = applied & event["event_type"].isin(machine.guards)
+        return F.struct(
+            state.alias("state"), F.when(applied, now["version"] + 1).otherwise(now["version"]).alias("version"),
+            F.when(entered, now["state"]).when(state == HELD, now["held_from"]).alias("held_from"),
+            F.when(entered, event["seq"]).when(state == HELD, now["held_seq"]).alias("held_seq"),
+            F.when(remembered, F.array_union(now["gained"], F.array(event["event_type"]))).otherwise(now["gained"]).alias("gained"),
+            *([
+                now["state"].alias("from_state"), result["outcome"].alias("outcome"), now["held_seq"].alias("held_before"),
+                *[event[c].alias(c) for c in keep],
+            ] if keep else []),
+        )
 
+    return _let(machine.move(now["state"], event["event_type"]), with_move)
 
-_START_TYPE = "struct<state:string,version:int,held_from:string,held_seq:int,seen:array<string>>"
 
+def _first_state(blocks: DataFrame, begin: list[Column], keep: list[str]) -> Column:
+    """State, version and hold at the start of a block in the form `_step` goes on from."""
+    kinds = {field.name: field.dataType.simpleString() for field in blocks.schema["events"].dataType.elementType}
+    kept = ",from_state:string,outcome:string,held_before:int," + ",".join(f"{c}:{kinds[c]}" for c in keep) if keep else ""
+    nothing = [F.lit(None)] * (3 + len(keep)) if keep else []
+    return F.struct(*begin, F.array(), *nothing).cast(f"struct<{_STATE_TYPE},gained:array<string>{kept}>")
 
-def _start(state: Column, version: Column, seen: Column) -> Column:
-    return F.struct(
-        state.alias("state"), version.cast("int").alias("version"), F.lit(None).cast("string").alias("held_from"),
-        F.lit(None).cast("int").alias("held_seq"), seen.alias("seen"),
-    ).cast(_START_TYPE)
 
+def _log(machine: _Machine, blocks: DataFrame) -> Column:
+    """State after each event of a block.
 
-def _fold(machine: _Machine, blocks: DataFrame, keep_log: bool) -> Column:
-    """Run the events of a block from its start."""
-    start = [F.col("start")[name].alias(name) for name in ("state", "version", "held_from", "held_seq", "seen")]
-    if keep_log:
-        event = blocks.schema["events"].dataType.elementType
-        kinds = {field.name: field.dataType.simpleString() for field in event}
-        inner = ",".join([
-            f"seq:{kinds['seq']}", "from_state:string", "to_state:string", "version:int", "outcome:string", "held_seq:int",
-            *[f"{c}:{kinds[c]}" for c in [*_PASSED, "idempotency_key"]],
-        ])
-        start.append(F.array().cast(f"array<struct<{inner}>>").alias("log"))
-    return F.aggregate("events", F.struct(*start), lambda acc, event: _apply(machine, acc, event, keep_log))
+    The step works on the last state alone; the states before are only moved along.
+    """
+    keep = ["seq", *_PASSED, "idempotency_key"]
+    first = _first_state(blocks, [F.col("start")[name] for name in ("state", "version", "held_from", "held_seq")], keep)
+    zero = F.struct(F.slice(F.array(first), 1, 0).alias("done"), first.alias("last"))
+    return F.aggregate(
+        "events", zero,
+        lambda acc, event: F.struct(
+            F.concat(acc["done"], F.array(acc["last"])).alias("done"), _step(machine, acc["last"], event, keep).alias("last")
+        ),
+        lambda acc: F.slice(F.concat(acc["done"], F.array(acc["last"])), F.lit(2), F.size(acc["done"])),
+    )
 
 
 def replay(
@@ -174,14 +177,14 @@ def replay(
     block = F.floor((F.col("seq") - 1) / block_events).cast("long")
     machine = _Machine(definition(transitions))
     blocks = firsts.groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
-    beginning = _start(F.lit(initial), F.lit(0), F.expr("cast(array() as array<string>)"))
     longest = events.agg(F.max("seq")).first()[0] or 0
     if longest > block_events:
-        blocks = _with_starts(machine, blocks, beginning)
+        blocks = _with_starts(machine, blocks, initial)
     else:
-        blocks = blocks.withColumn("start", beginning)
-    results = blocks.select(*INSTANCE, F.explode(_fold(machine, blocks, keep_log=True)["log"]).alias("entry")).select(
-        *INSTANCE, "entry.*"
+        blocks = blocks.withColumn("start", F.struct(F.lit(initial), F.lit(0), *[F.lit(None)] * 2, F.array()).cast(_START_TYPE))
+    results = blocks.select(*INSTANCE, F.explode(_log(machine, blocks)).alias("entry")).select(
+        *INSTANCE, "entry.seq", "entry.from_state", F.col("entry.state").alias("to_state"), "entry.version", "entry.outcome",
+        F.col("entry.held_before").alias("held_seq"), *[f"entry.{c}" for c in [*_PASSED, "idempotency_key"]],
     )
     if not duplicates:
         return results
@@ -200,54 +203,139 @@ def replay(
     )
 
 
-def _with_starts(machine: _Machine, blocks: DataFrame, beginning: Column) -> DataFrame:
-    """Give every block the state its instance is in when it begins."""
+def _with_starts(machine: _Machine, blocks: DataFrame, initial: str) -> DataFrame:
+    """Give every block the state its instance is in when it begins.
+
+    A state here is a workflow state with the state a hold returns to; there are few of
+    them. Each block gets a table of where it ends for every state any block ends in.
+    Chaining the tables of an instance gives the start of each block.
+
+    Version and guard events seen are added up over the blocks before. They matter only
+    inside blocks that check them, and are first assumed from the events themselves; a
+    block whose assumption proves wrong is folded again. The first such block of
+    an instance then has the right values, so this ends, with the result of folding one
+    event after the other.
+    """
     shared_dir(blocks.sparkSession)
-    in_order = Window.partitionBy(*INSTANCE).orderBy("block")  # rows are blocks, not events
     place = [*INSTANCE, "block"]
-    # A guess that is right in an orderly log: the state the first event leaves.
-    leaves = F.flatten(F.transform(
-        F.slice("events", 1, 16),
-        lambda e: F.transform(
-            F.filter(machine.possible(e), lambda m: m["from_state"] != ANY_STATE),
-            lambda m: m["from_state"],
-        ),
-    ))
-    versioned = F.exists("events", lambda e: e["expected_version"].isNotNull())
-    guess = _start(
-        F.coalesce(F.get(leaves, F.lit(0)), beginning["state"]),
-        F.coalesce(F.get(F.filter(F.transform("events", lambda e: e["expected_version"]), lambda v: v.isNotNull()), F.lit(0)), F.lit(0)),
-        machine.guards,
-    )
-    blocks = blocks.withColumn("versioned", versioned).checkpoint()
-    first = F.row_number().over(in_order) == 1
-    order = blocks.select(*place, first.alias("is_first")).checkpoint()
+    earlier = Window.partitionBy(*INSTANCE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # rows are blocks
+
+    def collected(holds: Callable[[str], Column]) -> Column:
+        """Guard events that some earlier block holds."""
+        found = [F.when(F.max(holds(name)).over(earlier), F.lit(name)) for name in machine.guards]
+        return F.array_compact(F.array(*found)).cast("array<string>")
+
+    expected = F.filter(F.transform("events", lambda e: e["expected_version"]), lambda version: version.isNotNull())
+    blocks = blocks.select(
+        *place, "events", (F.size(expected) > 0).alias("versioned"),
+        F.exists("events", lambda e: e["event_type"].isin(machine.guarded)).alias("guarded"),
+        F.coalesce(F.get(expected, F.lit(0)), F.lit(0)).alias("version"),
+        F.array_distinct(F.transform("events", lambda e: e["event_type"])).alias("kinds"),
+    ).checkpoint()
+    flags = ["versioned", "guarded"]
+    assumed = blocks.select(
+        *place, *flags, F.struct("version", collected(lambda name: F.array_contains("kinds", name)).alias("seen")).alias("start")
+    ).checkpoint()
+    blocks = blocks.select(*place, "events")
+
+    def ends(started: DataFrame, states: list[tuple]) -> DataFrame:
+        """Where each block ends for each of these states."""
+        def end(begin: Column) -> Column:
+            first = _first_state(started, [begin["state"], F.col("start")["version"], begin["held_from"], F.lit(None)], [])
+            last = F.aggregate("events", first, lambda now, event: _step(machine, now, event, []))
+            return _let(last, lambda last: F.struct(
+                begin.alias("begin"), F.struct(last["state"], last["held_from"]).alias("end"), last["held_seq"].alias("held_seq"),
+                (last["version"] - F.col("start")["version"]).alias("gain"), last["gained"].alias("gained"),
+            ))
 
-    def run(started: DataFrame) -> DataFrame:
-        end = _fold(machine, started, keep_log=False)
-        return started.select(*place, "versioned", "start", end.alias("end"))
+        begins = F.array(*[
+            F.struct(F.lit(state).alias("state"), F.lit(held_from).cast("string").alias("held_from")) for state, held_from in states
+        ])
+        return started.select(*place, *flags, "start", F.transform(begins, end).alias("table"))
 
-    ran = run(blocks.join(order, place).withColumn("start", F.when(F.col("is_first"), beginning).otherwise(guess))).checkpoint()
-    gained = F.col("end")["version"] - F.col("start")["version"]
+    states: list[tuple] = [(initial, None)]
+    tables = ends(blocks.join(assumed, place), states).checkpoint()
+    fresh = tables
     while True:
-        # The control state comes from the block before, the version from all before.
-        before = F.lag("end").over(in_order)
-        version = F.sum(gained).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-        due = ran.select(
-            *place, "versioned", "start", "end",
-            F.when(before.isNull(), beginning).otherwise(before.withField("version", version.cast("int"))).alias("due"),
+        while new := _new_states(fresh, states):
+            more = ends(tables.drop("table").join(blocks, place), new).select(*place, F.col("table").alias("more")).checkpoint()
+            tables = tables.join(more, place).withColumn("table", F.concat("table", "more")).drop("more").checkpoint()
+            fresh = more.withColumnRenamed("more", "table")
+            states += new
+        begun = tables.join(_chain(tables, states), place)
+        row = F.get(F.filter("table", lambda row: row["begin"].eqNullSafe(F.col("begin"))), F.lit(0))
+        begun = begun.withColumn("row", row).checkpoint()
+        due = begun.select(
+            *place, *flags, "start", "begin",
+            F.coalesce(F.sum("row.gain").over(earlier), F.lit(0)).cast("int").alias("version"),
+            collected(lambda name: F.array_contains("row.gained", name)).alias("seen"),
+            F.when(F.col("begin.state") == HELD, F.last("row.held_seq", ignorenulls=True).over(earlier)).alias("held_seq"),
         )
-        stale = (F.col("due").withField("version", F.lit(0)) != F.col("start").withField("version", F.lit(0))) | (
-            F.col("versioned") & (F.col("due")["version"] != F.col("start")["version"])
-        )
-        stale = F.coalesce(stale, ~F.col("due").eqNullSafe(F.col("start")))
-        due = due.withColumn("stale", stale).checkpoint()
-        if due.filter("stale").isEmpty():
-            return blocks.drop("versioned").join(due.select(*place, F.col("due").alias("start")), place)
-        again = blocks.drop("versioned").join(
-            due.filter("stale").select(*place, "versioned", F.col("due").alias("start")), place
-        )
-        ran = due.filter("not stale").select(*place, "versioned", "start", "end").unionByName(run(again)).checkpoint()
+        unseen = F.col("guarded") & (F.col("start.seen") != F.col("seen"))
+        misnumbered = F.col("versioned") & (F.col("start.version") != F.col("version"))
+        due = due.withColumn("unseen", unseen).withColumn("misnumbered", misnumbered)
+        # One wrong version makes all after it look wrong: only the first is known to be.
+        again = F.col("unseen") | (F.col("misnumbered") & ~F.coalesce(F.max("misnumbered").over(earlier), F.lit(False)))
+        due = due.withColumn("again", again).checkpoint()
+        if due.filter("again").isEmpty():
+            start = F.struct("begin.state", "version", "begin.held_from", "held_seq", "seen").cast(_START_TYPE)
+            return blocks.join(due.select(*place, start.alias("start")), place)
+        wrong = due.filter("again").select(*place, *flags, F.struct("version", "seen").alias("start"))
+        fresh = ends(blocks.join(wrong, place), states).checkpoint()
+        tables = tables.join(wrong, place, "left_anti").unionByName(fresh).checkpoint()
+
+
+def _new_states(tables: DataFrame, known: list[tuple]) -> list[tuple]:
+    """States that some block ends in and that have not been tried as a start."""
+    found = tables.select(F.explode("table").alias("row")).select("row.end.*").distinct().take(MAX_TRANSITIONS + 1)
+    if len(found) > MAX_TRANSITIONS:
+        raise ValueError(f"a workflow has at most {MAX_TRANSITIONS} states")
+    return sorted({tuple(row) for row in found} - set(known), key=repr)
+
+
+def _follow(tables: Column, begin: Column) -> Column:
+    """The state after a run of block tables."""
+    return F.aggregate(tables, begin, lambda state, item: _lookup(item["table"], state))
+
+
+def _lookup(table: Column, state: Column) -> Column:
+    return F.get(F.filter(table, lambda row: row["begin"].eqNullSafe(state)), F.lit(0))["end"]
+
+
+def _starts(tables: Column, begin: Column, name: str) -> Column:
+    """(name, state at its begin) for each of a run of tables."""
+    nothing = F.slice(F.transform(tables, lambda item: F.struct(item[name].alias(name), begin.alias("begin"))), 1, 0)
+    return F.aggregate(
+        tables, F.struct(nothing.alias("done"), begin.alias("state")),
+        lambda acc, item: F.struct(
+            F.concat(acc["done"], F.array(F.struct(item[name].alias(name), acc["state"].alias("begin")))).alias("done"),
+            _lookup(item["table"], acc["state"]).alias("state"),
+        ),
+        lambda acc: acc["done"],
+    )
+
+
+def _chain(tables: DataFrame, states: list[tuple], width: int = 1024) -> DataFrame:
+    """The state each block begins in.
+
+    Blocks are chained in stretches of ``width``, a stretch for every state, then the
+    stretches of an instance, a row per million events, and then the blocks again.
+    """
+    kind = "struct<state:string,held_from:string>"
+    begins = F.array(*[F.struct(F.lit(s).alias("state"), F.lit(h).cast("string").alias("held_from")).cast(kind) for s, h in states])
+    item = F.struct("block", F.transform("table", lambda row: F.struct(row["begin"].cast(kind).alias("begin"), row["end"].cast(kind).alias("end"))).alias("table"))
+    stretches = (
+        tables.select(*INSTANCE, F.floor(F.col("block") / width).alias("stretch"), item.alias("item"))
+        .groupBy(*INSTANCE, "stretch").agg(F.sort_array(F.collect_list("item")).alias("items")).checkpoint()
+    )
+    whole = stretches.select(*INSTANCE, F.struct("stretch", F.transform(
+        begins, lambda begin: F.struct(begin.alias("begin"), _follow(F.col("items"), begin).alias("end"))
+    ).alias("table")).alias("item"))
+    per_instance = whole.groupBy(*INSTANCE).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    started = per_instance.select(*INSTANCE, F.inline(_starts(F.col("items"), F.get(begins, F.lit(0)), "stretch")))
+    return stretches.join(started, [*INSTANCE, "stretch"]).select(
+        *INSTANCE, F.inline(_starts(F.col("items"), F.col("begin"), "block"))
+    )
 
 
 def applied(log: DataFrame) -> DataFrame:

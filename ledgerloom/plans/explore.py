@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import keys, lookup, profile
 from ledgerloom.operators.keys import ForeignKey
 from ledgerloom.plans.registry import register
@@ -281,6 +283,27 @@ register("r6_bounded_paths", """WITH link AS (
     ).selectExpr("src", "dst", "depth", "array_join(path, ' > ') AS path")
 )
 
+register("r6_table_routes", """WITH link AS (SELECT * FROM (VALUES ('lineitem', 'orders'), ('orders', 'customer'), ('customer', 'nation'),
+      ('nation', 'region'), ('orders', 'lineitem'), ('customer', 'orders'), ('nation', 'customer'), ('region', 'nation')) AS t(src, dst)),
+    walk (dst, depth, path) AS (SELECT 'lineitem', 0, ['lineitem'] UNION ALL
+      SELECT l.dst, w.depth + 1, list_append(w.path, l.dst) FROM walk w JOIN link l ON l.src = w.dst
+      WHERE w.depth < 4 AND NOT list_contains(w.path, l.dst))
+    SELECT array_to_string(path, ' > ') AS path, depth, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) AS "rows"
+    FROM walk WHERE dst = 'region'""")(lambda t: _routes(t))
+
+
+def _routes(t):
+    """Find the route between two tables, then run it."""
+    ends = t.spark.createDataFrame([("lineitem", "region")], "start string, end string")
+    routes = keys.bounded_paths(
+        keys.foreign_key_edges(t.spark, _KEYS), ends.selectExpr("start AS node"), ends.selectExpr("end AS node"), max_depth=4
+    )
+    joined = keys.join_along_path({name: t[name] for name in _ROUTE}, routes.first().path, _KEYS)
+    rows = joined.select(F.count(F.lit(1))).scalar()
+    return routes.select(F.array_join("path", " > ").alias("path"), "depth", rows.alias("rows"))
+
+
 register("r7_relationship_cardinality", """SELECT count(*) AS parents, min(n) AS min_children,
     CAST(sum(n) AS DOUBLE) / count(*) AS avg_children, max(n) AS max_children, count(*) FILTER (n = 0) AS childless_parents
     FROM (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)""")(

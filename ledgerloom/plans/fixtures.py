@@ -272,7 +272,9 @@ def views_behind(text: str) -> list[str]:
 
 # In a running system these are tables, not views: they are written once per session and
 # read back, so that queries see files, statistics and filters that reach the scan.
-STORED = ("accounting_period", "revenue_line", "journal_line", "legacy_line", "workflow_event")
+STORED = (
+    "accounting_period", "journal_entry", "revenue_line", "journal_line", "legacy_line", "workflow_event", "trade_edge",
+)
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 

@@ -42,6 +42,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sizing(input_bytes: int, cores: int, partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Partition settings for a volume of input.
+
+    Shuffles start with partitions of about ``partition_bytes``, at least two per core,
+    and adaptive execution merges the small ones again.
+    """
+    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors can reach.
 

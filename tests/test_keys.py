@@ -37,10 +37,15 @@ def test_composite_foreign_key_skips_partial_nulls(make):
 def test_inclusions_against_brute_force(make):
     random.seed(5)
     values = {f"c{i}": {random.randrange(12) for _ in range(random.randrange(1, 9))} for i in range(70)}
-    tables = {name: make("v bigint", *[(v,) for v in vs]) for name, vs in values.items()}
+    columns = [sorted(vs) + [None] * (9 - len(vs)) for vs in values.values()]
+    tables = {
+        half: make(", ".join(f"c{i} bigint" for i in part), *zip(*[columns[i] for i in part]))
+        for half, part in (("a", range(35)), ("b", range(35, 70)))
+    }
     tables["other"] = make("t string", ("1",), ("2",))
+    full = lambda name: f"{'a' if int(name[1:]) < 35 else 'b'}.{name}"
     expected = sorted(
-        (f"{a}.v", f"{b}.v", len(values[a]), len(values[a] & values[b]))
+        (full(a), full(b), len(values[a]), len(values[a] & values[b]))
         for a, b in itertools.permutations(values, 2)
         if len(values[a] & values[b]) / len(values[a]) >= 0.75
     )
