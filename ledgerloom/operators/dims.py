@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.skew import join_hot
 
-def _lookup(refs: dict[str, tuple[DataFrame, str, str | None]], df: DataFrame, add_names: bool) -> DataFrame:
+
+def _lookup(refs: dict[str, tuple], df: DataFrame, add_names: bool) -> DataFrame:
     # No broadcast hint: the planner broadcasts a reference table only below its size
     # threshold and shuffles a larger one.
-    for column, (table, key, name) in refs.items():
-        extra = F.col(name).alias(f"{column}/name") if add_names else F.lit(True).alias(f"{column}/known")
-        side = table.select(F.col(key).alias(f"{column}/key"), extra).dropDuplicates([f"{column}/key"])
-        df = df.join(side, F.col(column) == F.col(f"`{column}/key`"), "left")
+    for column, (table, key, *name) in refs.items():
+        extra = F.col(name[0]).alias(f"{column}/name") if add_names else F.lit(True).alias(f"{column}/known")
+        side = table.select(F.col(key).alias("id"), extra).dropDuplicates(["id"])
+        df = join_hot(df, side, {column: "id"}, "left")
     return df
 
 
@@ -22,7 +24,7 @@ def validate_refs(df: DataFrame, key: list[str], refs: dict[str, tuple[DataFrame
     ``refs`` maps a column to (reference table, id column). An absent value is
     ``missing``, one that is not in the reference table is ``unknown``.
     """
-    marked = _lookup({c: (table, k, None) for c, (table, k) in refs.items()}, df, add_names=False)
+    marked = _lookup(refs, df, add_names=False)
     flaws = F.array_compact(
         F.array(*[
             F.when(

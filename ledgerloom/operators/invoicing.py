@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY_TOTAL, total, zero
+from ledgerloom.functions.skew import join_hot
 
 
 def _line_amount():
@@ -70,7 +71,7 @@ def credit_notes(
     note_id = F.concat(F.lit(prefix), F.col("invoice_id").cast("string")).alias("credit_note_id")
     notes = voided.select(note_id, F.col("invoice_id").alias("credits_invoice_id"), "customer_id")
     rest = [c for c in lines.columns if c not in ("invoice_id", "qty", "amount")]
-    note_lines = lines.join(voided.select("invoice_id"), "invoice_id", "left_semi").select(
+    note_lines = join_hot(lines, voided.select("invoice_id"), ["invoice_id"], "left_semi").select(
         note_id, *rest, (-F.col("qty")).alias("qty"), (-F.col("amount")).alias("amount")
     )
     return notes, note_lines

@@ -86,7 +86,9 @@ def fk_check(child: DataFrame, parent: DataFrame, pairs: Iterable[tuple[str, str
 def orphans(child: DataFrame, parent: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     """Child rows whose complete key has no parent."""
     pairs = list(pairs)
-    keys = _parent_keys(parent, pairs)
+    # Not reduced to distinct keys: the join needs none, and a hot child key is split by
+    # adaptive execution only when both sides come straight from their shuffles.
+    keys = parent.select(*[F.col(p).alias(f"k{i}") for i, (_, p) in enumerate(pairs)])
     match = all_of([F.col(c) == keys[f"k{i}"] for i, (c, _) in enumerate(pairs)])
     return child.filter(~any_null([c for c, _ in pairs])).join(keys, match, "left_anti")
 

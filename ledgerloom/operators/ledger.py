@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY_TOTAL, all_of, is_blank, same, total, zero
+from ledgerloom.functions.skew import join_hot
 
 DIMENSIONS = ["site_id", "cost_center_id", "business_unit_id"]
 
@@ -137,7 +138,7 @@ def reversal_entries(
         F.lit("draft").alias("status"), F.col("entry_id").alias("reverses_entry_id"),
     )
     rest = [c for c in lines.columns if c not in ("entry_id", "debit", "credit")]
-    new_lines = lines.join(undone.select("entry_id"), "entry_id", "left_semi").select(
+    new_lines = join_hot(lines, undone.select("entry_id"), ["entry_id"], "left_semi").select(
         new_id.alias("entry_id"), *rest, F.col("credit").alias("debit"), F.col("debit").alias("credit"),
     )
     return new_entries, new_lines

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import is_blank
+from ledgerloom.functions.skew import join_hot
 from ledgerloom.session import shared_dir
 
 # Markers of the transition table and states no event leaves.
@@ -177,11 +178,16 @@ def replay(
     block = F.floor((F.col("seq") - 1) / block_events).cast("long")
     machine = _Machine(definition(transitions))
     blocks = firsts.groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
+    beginning = F.struct(F.lit(initial), F.lit(0), *[F.lit(None)] * 2, F.array()).cast(_START_TYPE).alias("start")
     longest = events.agg(F.max("seq")).first()[0] or 0
     if longest > block_events:
-        blocks = _with_starts(machine, blocks, initial)
+        shared_dir(events.sparkSession)
+        blocks = blocks.checkpoint()
+        long = blocks.filter("block > 0").select(*INSTANCE).distinct().checkpoint()
+        started = _with_starts(machine, blocks.join(long, INSTANCE, "left_semi"), initial)
+        blocks = started.unionByName(blocks.join(long, INSTANCE, "left_anti").select(*started.columns[:-1], beginning))
     else:
-        blocks = blocks.withColumn("start", F.struct(F.lit(initial), F.lit(0), *[F.lit(None)] * 2, F.array()).cast(_START_TYPE))
+        blocks = blocks.select("*", beginning)
     results = blocks.select(*INSTANCE, F.explode(_log(machine, blocks)).alias("entry")).select(
         *INSTANCE, "entry.seq", "entry.from_state", F.col("entry.state").alias("to_state"), "entry.version", "entry.outcome",
         F.col("entry.held_before").alias("held_seq"), *[f"entry.{c}" for c in [*_PASSED, "idempotency_key"]],
@@ -216,7 +222,6 @@ def _with_starts(machine: _Machine, blocks: DataFrame, initial: str) -> DataFram
     an instance then has the right values, so this ends, with the result of folding one
     event after the other.
     """
-    shared_dir(blocks.sparkSession)
     place = [*INSTANCE, "block"]
     earlier = Window.partitionBy(*INSTANCE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # rows are blocks
 
@@ -376,7 +381,7 @@ def guard_violations(log: DataFrame, guards: DataFrame) -> DataFrame:
         .groupBy(*INSTANCE, F.col("event_type").alias("guard_event")).agg(F.min("seq").alias("met_seq"))
     )
     return (
-        log.join(needed, "event_type").join(met, [*INSTANCE, "guard_event"], "left")
+        join_hot(log.join(needed, "event_type"), met, [*INSTANCE, "guard_event"], "left")
         .filter("met_seq is null or met_seq >= seq")
         .select(*INSTANCE, "seq", "event_id", "event_type", "guard_event")
     )

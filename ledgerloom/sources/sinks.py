@@ -50,7 +50,7 @@ def append_ledger(df: DataFrame, path: str, key: str = "entry_id", period: str =
     fresh = df
     if _has_data(spark, path):
         stored = spark.read.parquet(path).select(key, period)
-        touched = stored.join(df.select(period).distinct(), period, "left_semi").select(key).distinct()
+        touched = stored.join(df.select(period).distinct(), period, "left_semi").select(key)
         fresh = df.join(touched, key, "left_anti")
     fresh.hint("rebalance", period).write.mode("append").partitionBy(period).parquet(path)
 
