@@ -26,7 +26,7 @@ TERMINAL = ("Closed", "Cancelled")
 OVERRIDE = "OverrideTransition"
 
 INSTANCE = ["workflow_name", "instance_id"]
-BLOCK_EVENTS = 1024
+BLOCK_EVENTS = 256
 MAX_TRANSITIONS = 10_000
 
 _PASSED = ["event_id", "ts", "event_type", "actor_id", "actor_role", "target_state", "override_reason", "expected_version"]
@@ -324,7 +324,7 @@ def _chain(tables: DataFrame, states: list[tuple], width: int = 1024) -> DataFra
     """The state each block begins in.
 
     Blocks are chained in stretches of ``width``, a stretch for every state, then the
-    stretches of an instance, a row per million events, and then the blocks again.
+    stretches of an instance, and then the blocks again.
     """
     kind = "struct<state:string,held_from:string>"
     begins = F.array(*[F.struct(F.lit(s).alias("state"), F.lit(h).cast("string").alias("held_from")).cast(kind) for s, h in states])
