@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,8 +74,3 @@ def groupable_text(field: T.StructField) -> Column:
             F.concat(F.lit("="), column)
         )
     return column.cast("string")
-
-
-def keyed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename several columns."""
-    return df.withColumnsRenamed(mapping)

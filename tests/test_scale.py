@@ -4,7 +4,7 @@ import re
 from pathlib import Path
 
 import pytest
-from conftest import SMALL, got, one
+from conftest import SMALL, one
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
