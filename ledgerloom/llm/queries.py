@@ -7,11 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import pieces, repetition, sharding, token_counts, url_filter
+from ledgerloom.llm import (
+    decontamination, near_duplicates, pieces, pseudonyms, quality, repetition, sharding, token_counts, toxicity, url_filter,
+)
 
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
 PIECES_32K = public_tokenizers.path("piece_bpe_32k.model")
 
+# A fixed key for the registered queries; real data need a secret one.
+PII_KEY = "registered queries"
+
 RULES = [
     url_filter.Rule("allow", "com", "/"),
     url_filter.Rule("block", "example.com", "/en/"),
@@ -29,6 +34,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), WORDS_49K)
 
 
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(table(spark, sf_dir, "documents"), PII_KEY, count="n_replaced").select(
+        "doc_id", "text", "n_replaced")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
@@ -37,6 +47,22 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents"), PIECES_32K)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
 
@@ -46,7 +72,9 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op3_sharding, op4_sentencepiece, op9_url_filter, op10_repetition)
+    f.__name__: f for f in (
+        op1_token_counts, op2_pseudonyms, op3_sharding, op4_sentencepiece, op5_decontamination, op6_near_duplicates,
+        op7_toxicity, op8_quality, op9_url_filter, op10_repetition)
 }
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)

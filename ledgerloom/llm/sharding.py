@@ -39,39 +39,39 @@ class Range:
 
 
 def sums(sized: DataFrame, inside: list[Range], bits: int) -> list[Range]:
-    """Sums of the parts, ``1 << bits`` wide, of some ranges: at most ``len(inside) << BITS`` rows."""
+    """Sums of the parts, ``1 << bits`` wide, of some ranges of one width: at most ``len(inside) << BITS`` rows."""
     rows = sized
     if inside:
-        within = F.lit(False)
-        for r in inside:
-            within = within | F.col("key").between(r.low, r.low + (1 << r.bits) - 1)
-        rows = rows.filter(within)
+        wide = inside[0].bits
+        rows = rows.filter(F.shiftright("key", wide).isin([r.low >> wide for r in inside]))
     parts = rows.groupBy(F.shiftright("key", bits).alias("part")).agg(
         F.sum("size").alias("size"), F.min("key").alias("first"), F.max("key").alias("last"))
     return [Range(p.part << bits, bits, p.size, p.first, p.last) for p in parts.collect()]
 
 
 def run(ranges: list[Range], ends: np.ndarray, capacity: int, shards: int, whole: bool):
-    """Greedy cuts for a capacity: (does all fit, hash value of each cut, ranges that a cut falls into).
+    """Greedy cuts for a capacity: (does all fit, hash value of each cut, range of each cut, is any cut open).
 
     A range that does not fit whole and is not one group is either left to the next shard as a
     whole, or (``whole`` false) cut to the byte; the true cut lies between the two.
     """
     at, index, total = 0, 0, int(ends[-1])
-    cuts, open_ranges = [], []
+    cuts, stops, open_ = [], [], False
     for _ in range(shards):
         reach = at + capacity
         if reach >= total:
-            return True, cuts, open_ranges
+            return True, cuts, stops, open_
         stop = int(np.searchsorted(ends, reach, side="right"))  # ranges before it fit whole
-        if not ranges[stop].atomic and (stop == 0 or ends[stop - 1] < reach):
-            open_ranges.append(stop)
-            at = reach if not whole else max(at, int(ends[stop - 1]) if stop else 0)
+        fitting = int(ends[stop - 1]) if stop else 0
+        stops.append(stop)
+        if ranges[stop].atomic or fitting == reach:
+            at = max(at, fitting)
         else:
-            at = int(ends[stop - 1]) if stop else 0
+            open_ = True
+            at = max(at, fitting) if whole else reach
         index = max(index, stop)
         cuts.append(ranges[index - 1].last if index else -1)
-    return False, cuts, open_ranges
+    return False, cuts, stops, open_
 
 
 def minimax_cuts(sized: DataFrame, shards: int) -> tuple[int, list[int]]:
@@ -84,21 +84,21 @@ def minimax_cuts(sized: DataFrame, shards: int) -> tuple[int, list[int]]:
     low, high = -(-total // shards), total
     while True:
         middle = (low + high) // 2
-        fits, cuts, below = run(ranges, ends, middle, shards, whole=True)
-        if fits and low == high and not below:
+        fits, cuts, below, open_ = run(ranges, ends, middle, shards, whole=True)
+        if fits and low == high and not open_:
             return middle, cuts
-        could, _, above = run(ranges, ends, middle, shards, whole=False)
+        could, _, above, _ = run(ranges, ends, middle, shards, whole=False)
         if not could:
             low = middle + 1
         elif fits and low < high:
             high = middle
-        else:  # undecided: split the ranges in which cuts may fall
-            near = {i for a, b in zip(below, above) for i in range(a, b + 1)} | {*below, *above}
+        else:  # undecided: split the ranges in which a cut may fall
+            near = {i for a, b in zip(below, above) for i in range(min(a, b), max(a, b) + 1)} | {*below, *above}
             inside = [ranges[i] for i in near if not ranges[i].atomic]
-            kept = [r for i, r in enumerate(ranges) if i not in near or r.atomic]
+            ranges = [r for i, r in enumerate(ranges) if i not in near or r.atomic]
             for bits in {r.bits for r in inside}:
-                kept += sums(sized, [r for r in inside if r.bits == bits], max(0, bits - BITS))
-            ranges = sorted(kept, key=lambda r: r.low)
+                ranges += sums(sized, [r for r in inside if r.bits == bits], max(0, bits - BITS))
+            ranges.sort(key=lambda r: r.low)
             ends = np.cumsum([r.size for r in ranges])
 
 

@@ -6,12 +6,17 @@ are index arrays over it, so that Python runs per batch and not per word.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+ROOT = str(Path(__file__).resolve().parents[2])
 
 # Bytes of text handled at a time; a longer single text is still handled whole.
 CHUNK = 4 << 20
@@ -25,9 +30,12 @@ _POWERS = np.ones(1, np.uint64)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the bytes of a batch that goes to Python, as texts may be very long."""
+    """Bound the bytes of a batch that goes to Python, as texts may be very long, and let workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    paths = spark.sparkContext.environment
+    if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), ROOT]))
     return spark
 
 
@@ -36,6 +44,14 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[f"`{name}`"] for name in names])
 
 
+def once(column: Column) -> Column:
+    """A costly expression that the optimizer neither copies into several places nor moves.
+
+    It takes an expression that is not deterministic for one that must be evaluated where it stands.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``limit`` bytes of text, one row at least."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))

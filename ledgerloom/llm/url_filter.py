@@ -35,38 +35,40 @@ class Rule:
 
 @dataclass(frozen=True)
 class Level:
-    """Bits of one Bloom filter in words of 64, and the number of places of a key."""
+    """Bits of one Bloom filter in words of 64, the number of places of a key, and what tells its hashes from others'."""
 
     words: tuple[int, ...]
     places: int
+    seed: int
 
     def holds(self, key: Column) -> Column:
-        table = F.array(*[F.lit(w).cast("long") for w in self.words])
+        table = F.expr("array(" + ", ".join(f"{w}L" if w > -(2**63) else "bigint('-9223372036854775808')" for w in self.words) + ")")
         hits = []
-        for place in _places(key, len(self.words) * 64, self.places):
+        for place in _places(key, len(self.words) * 64, self.places, self.seed):
             word = F.element_at(table, (F.shiftright(place, 6) + 1).cast("int"))
             hits.append(F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
         return reduce(lambda a, b: a & b, hits)
 
 
-def _places(key: Column, bits: int, places: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(places)]
+def _places(key: Column, bits: int, places: int, seed: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed * 64 + i)), F.lit(bits)) for i in range(places)]
 
 
-def bloom(keys: DataFrame, count: int, wrong: float) -> Level:
+def bloom(keys: DataFrame, count: int, wrong: float, seed: int = 0, places: int | None = None) -> Level:
     """A filter of ``count`` keys (column key) that others pass with probability ``wrong``.
 
-    The driver gets its words only: their number follows from ``count`` and ``wrong``.
+    The driver gets its words only: their number follows from ``count`` and ``wrong``. Few ``places``
+    make a larger filter that is asked faster.
     """
-    places = max(1, round(-math.log2(wrong)))
-    size = max(1, math.ceil(-count * math.log(wrong) / math.log(2) ** 2 / 64))
-    bits = keys.select(F.explode(F.array(*_places(F.col("key"), size * 64, places))).alias("bit"))
+    places = places or max(1, round(-math.log2(wrong)))
+    size = max(1, math.ceil(-places * count / math.log(1 - wrong ** (1 / places)) / 64))
+    bits = keys.select(F.explode(F.array(*_places(F.col("key"), size * 64, places, seed))).alias("bit"))
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(
         F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits"))
     table = [0] * size
     for row in words.collect():
         table[row.word] = row.bits
-    return Level(tuple(table), places)
+    return Level(tuple(table), places, seed)
 
 
 def cascade(universe: DataFrame, listed: DataFrame, listed_count: int) -> list[Level]:
@@ -87,7 +89,7 @@ def cascade(universe: DataFrame, listed: DataFrame, listed_count: int) -> list[L
     wrong = universe.filter(levels[0].holds(F.col("key"))).distinct().join(own, "key", "left_anti").checkpoint()
     count = wrong.count()
     while count:
-        levels.append(bloom(wrong, count, 0.5))
+        levels.append(bloom(wrong, count, 0.5, seed=len(levels)))
         own, wrong = wrong, own.filter(levels[-1].holds(F.col("key"))).checkpoint()
         count = wrong.count()
     return levels
