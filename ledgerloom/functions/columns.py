@@ -35,7 +35,8 @@ def pct(part: Column, whole: Column) -> Column:
 
 
 def is_blank(column: Column) -> Column:
-    return column.isNull() | (F.trim(column) == "")
+    """NULL, empty, or white space only, tabs and line feeds included."""
+    return column.isNull() | ~column.rlike(r"[^\s]")
 
 
 def all_of(conditions: list[Column]) -> Column:
