@@ -8,40 +8,51 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import MONEY_TOTAL, total, zero
 from ledgerloom.operators.ledger import assign_period, posted_lines
 from ledgerloom.operators.migrate import reconcile
+from ledgerloom.session import shared_dir
 
 
-def account_lineage(accounts: DataFrame, max_depth: int = 32) -> DataFrame:
+def account_lineage(accounts: DataFrame) -> DataFrame:
     """Each account with itself and all accounts above it.
 
     Columns: account_id, ancestor_id, distance, issue. A parent that does not exist
-    ends the walk with ``missing_parent``; a chain that comes back to an account it
-    already passed, or is longer than ``max_depth``, ends with ``cycle``.
+    ends the walk with ``missing_parent``, one that the walk has already passed with ``cycle``.
+
+    The reach doubles in each round: who is 2n above is n above the account n above. So any depth
+    takes its logarithm in rounds, and a chain that goes on after as many as there are accounts
+    is a cycle.
     """
-    return accounts.sparkSession.sql(
-        f"""
-        WITH RECURSIVE lineage (account_id, ancestor_id, distance, next_id, seen, issue) AS (
-          SELECT account_id, account_id, 0, parent_account_id, array(account_id), CAST(NULL AS STRING)
-          FROM {{accounts}}
-          UNION ALL
-          SELECT w.account_id, w.next_id, w.distance + 1, a.parent_account_id,
-                 concat(w.seen, array(w.next_id)),
-                 CASE WHEN a.account_id IS NULL THEN 'missing_parent'
-                      WHEN array_contains(w.seen, w.next_id) OR w.distance + 1 >= {int(max_depth)} THEN 'cycle' END
-          FROM lineage w LEFT JOIN {{accounts}} a ON a.account_id = w.next_id
-          WHERE w.next_id IS NOT NULL AND w.issue IS NULL
+    shared_dir(accounts.sparkSession)
+    parents = accounts.select("account_id", F.col("parent_account_id").alias("parent_id")).checkpoint()
+    known = parents.select(F.col("account_id").alias("parent_id"))
+    hops = parents.join(known, "parent_id").select("account_id", F.col("parent_id").alias("hop"))
+    lineage = parents.select("account_id", F.col("account_id").alias("ancestor_id"), F.lit(0).cast("long").alias("distance"))
+    reach, many = 1, parents.count()
+    while reach < 2 * many and not hops.isEmpty():
+        above = lineage.select(F.col("account_id").alias("hop"), "ancestor_id", (F.col("distance") + reach).alias("distance"))
+        lineage = (
+            lineage.unionByName(hops.join(above, "hop").select("account_id", "ancestor_id", "distance"))
+            .groupBy("account_id", "ancestor_id").agg(F.min("distance").alias("distance")).checkpoint()
         )
-        SELECT account_id, ancestor_id, distance, issue FROM lineage
-        """,
-        accounts=accounts.select("account_id", "parent_account_id"),
+        onward = hops.select(F.col("account_id").alias("hop"), F.col("hop").alias("next"))
+        hops = hops.join(onward, "hop").select("account_id", F.col("next").alias("hop")).checkpoint()
+        reach *= 2
+    ends = lineage.groupBy("account_id").agg(F.max_by("ancestor_id", "distance").alias("last"), F.max("distance").alias("distance"))
+    beyond = ends.join(
+        parents.filter("parent_id is not null").select(F.col("account_id").alias("last"), "parent_id"), "last"
+    ).join(known.select("parent_id", F.lit(True).alias("exists")), "parent_id", "left")
+    issues = beyond.select(
+        "account_id", F.col("parent_id").alias("ancestor_id"), (F.col("distance") + 1).alias("distance"),
+        F.when(F.col("exists"), "cycle").otherwise("missing_parent").alias("issue"),
     )
+    return lineage.withColumn("issue", F.lit(None).cast("string")).unionByName(issues)
 
 
-def account_rollup(tb: DataFrame, accounts: DataFrame, max_depth: int = 32) -> DataFrame:
+def account_rollup(tb: DataFrame, accounts: DataFrame) -> DataFrame:
     """Own and subtree balance of each account, its depth, and what is wrong with its chain.
 
     Balances reach every real ancestor once, also when the chain ends in an issue.
     """
-    lineage = account_lineage(accounts, max_depth)
+    lineage = account_lineage(accounts)
     shape = lineage.groupBy("account_id").agg(
         F.count_if(F.col("issue").isNull() & (F.col("distance") > 0)).alias("depth"), F.max("issue").alias("issue")
     )
@@ -74,6 +85,21 @@ def financial_statements(tb: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def close_statements(snapshots: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Balance sheet and income statement totals of each close version and period, from `close_snapshot`."""
+    kind = F.col("account_type")
+    signed = F.when(kind.isin("A", "X"), F.col("balance")).otherwise(-F.col("balance"))
+    return (
+        snapshots.join(accounts.select("account_id", "account_type"), "account_id")
+        .groupBy("close_version", "period_id", "account_type").agg(total(signed).alias("amount"))
+        .select(
+            "close_version", "period_id",
+            F.when(kind.isin("A", "L", "E"), "balance_sheet").otherwise("income_statement").alias("statement"),
+            "account_type", "amount",
+        )
+    )
+
+
 def roll_forward(entries: DataFrame, lines: DataFrame, periods: DataFrame, accounts: DataFrame) -> DataFrame:
     """Opening balance, movement and closing balance of each account in each period.
 

@@ -130,27 +130,33 @@ def fiscal_calendar_profile(periods: DataFrame, journal: DataFrame) -> DataFrame
     """Shape of each fiscal calendar and how the journal fits it.
 
     ``periods`` has calendar, fiscal_year, period_no, is_closing; ``journal`` has calendar,
-    fiscal_year, period_no. Counts regular periods per year, closing periods, rows stored
-    under period 0, and journal rows whose period does not exist.
+    fiscal_year, period_no. Counts fiscal years, the fewest and most regular periods of a year, closing
+    periods, rows stored under period 0, and periods the journal uses that do not exist, with their rows.
     """
     key = ["calendar", "fiscal_year", "period_no"]
     stored = journal.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     known = periods.select(*key).distinct()
-    lost = stored.join(known, key, "left_anti").groupBy("calendar").agg(F.sum("n").alias("unmatched_rows"))
+    lost = stored.join(known, key, "left_anti").groupBy("calendar").agg(
+        F.count(F.lit(1)).alias("unmatched_periods"), F.sum("n").alias("unmatched_rows"))
     zeros = stored.groupBy("calendar").agg(F.sum(F.when(F.col("period_no") == 0, F.col("n"))).alias("journal_zero"))
+    years = periods.groupBy("calendar", "fiscal_year").agg(
+        F.count_if(~F.col("is_closing")).alias("regular"), F.count_if("is_closing").alias("closing"),
+        F.max(F.when(~F.col("is_closing"), F.col("period_no"))).alias("last_period_no"),
+        F.count_if(F.col("period_no") == 0).alias("zero"),
+    )
     none = F.lit(0).cast("long")
     return (
-        periods.groupBy("calendar").agg(
-            F.count_if(~F.col("is_closing")).alias("periods"), F.count_if("is_closing").alias("closing_periods"),
-            F.max(F.when(~F.col("is_closing"), F.col("period_no"))).alias("last_period_no"),
-            F.count_if(F.col("period_no") == 0).alias("calendar_zero"),
+        years.groupBy("calendar").agg(
+            F.count(F.lit(1)).alias("years"), F.min("regular").alias("least_periods"), F.max("regular").alias("most_periods"),
+            F.sum("closing").alias("closing_periods"), F.max("last_period_no").alias("last_period_no"),
+            F.sum("zero").alias("calendar_zero"),
         )
         .join(zeros, "calendar", "full_outer").join(lost, "calendar", "left")
         .select(
-            "calendar", F.coalesce("periods", none).alias("periods"), F.coalesce("closing_periods", none).alias("closing_periods"),
+            "calendar", *[F.coalesce(c, none).alias(c) for c in ("years", "least_periods", "most_periods", "closing_periods")],
             "last_period_no",
             (F.coalesce("calendar_zero", none) + F.coalesce("journal_zero", none)).alias("period0_rows"),
-            F.coalesce("unmatched_rows", none).alias("unmatched_rows"),
+            *[F.coalesce(c, none).alias(c) for c in ("unmatched_periods", "unmatched_rows")],
         )
     )
 
