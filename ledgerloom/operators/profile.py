@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import NESTED, NUMERIC, groupable_text, pct
 
-# Above this many rows a profile works with estimates, or on this many rows.
-SAMPLE_OVER = 100_000
+# Fixed value: rows of a sampled profile.
 SAMPLE_ROWS = 50_000
-SAMPLE_TEXT = 80
 
 
 def profilable(df: DataFrame) -> DataFrame:
@@ -23,9 +21,11 @@ def profilable(df: DataFrame) -> DataFrame:
     )
 
 
-def _shown(column: Column) -> Column:
+def _shown(column: Column, width: int | None) -> Column:
     text = column.cast("string")
-    return F.when(F.length(text) > SAMPLE_TEXT, F.concat(F.left(text, F.lit(SAMPLE_TEXT - 3)), F.lit("..."))).otherwise(text)
+    if width is None:
+        return text
+    return F.when(F.length(text) > width, F.concat(F.left(text, F.lit(width - 3)), F.lit("..."))).otherwise(text)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -50,21 +50,14 @@ def _long(wide: DataFrame, fields: list[T.StructField], measures: dict[str, str]
     return wide.select("rows_profiled", F.inline(F.array(*entries)))
 
 
-def profile_table(
-    df: DataFrame,
-    sample_over: int = SAMPLE_OVER,
-    exact: bool | None = None,
-) -> DataFrame:
+def profile_table(df: DataFrame, exact: bool = True, text_width: int | None = None) -> DataFrame:
     """Null share, distinct count and one value for each non-binary column.
 
     All columns are measured in one scan with one small shuffle. Distinct counts are
-    HyperLogLog estimates unless ``exact``; by default tables of up to
-    ``sample_over`` rows are counted exactly, larger ones estimated. That choice
-    counts no more than ``sample_over + 1`` rows. Nested columns get a null share only.
+    exact, or HyperLogLog estimates with ``exact`` false. Nested columns get a null share only.
+    ``text_width`` shortens the values shown.
     """
     df = profilable(df)
-    if exact is None:
-        exact = df.limit(sample_over + 1).count() <= sample_over
     fields = df.schema.fields
     measures = [F.count(F.lit(1)).alias("rows_profiled")]
     for i, field in enumerate(fields):
@@ -75,7 +68,7 @@ def profile_table(
             F.lit(None).cast("long").alias(f"{i}_distinct") if nested or exact
             else F.approx_count_distinct(column).alias(f"{i}_distinct"),
             F.lit(None).cast("string").alias(f"{i}_sample_value") if nested
-            else _shown(F.min(column)).alias(f"{i}_sample_value"),
+            else _shown(F.min(column), text_width).alias(f"{i}_sample_value"),
         ]
     profile = _long(df.agg(*measures), fields, {"filled": "long", "distinct": "long", "sample_value": "string"})
     if exact:
@@ -116,11 +109,11 @@ def distinct_counts(df: DataFrame) -> DataFrame:
 def profile_sampled(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
     """Profile of about ``n`` rows drawn evenly from the whole table.
 
-    Null shares are relative to the rows drawn, and every figure is marked an estimate.
+    Null shares are relative to the rows drawn, and every figure is marked an estimate; a table of
+    up to ``n`` rows is drawn whole.
     """
-    rows = df.count()
-    drawn = df if rows <= n else df.sample(fraction=n / rows, seed=seed)
-    return profile_table(drawn, exact=True).withColumn("is_estimate", F.lit(rows > n))
+    drawn = df.sample(fraction=min(1.0, n / max(1, df.count())), seed=seed)
+    return profile_table(drawn).withColumn("is_estimate", F.lit(True))
 
 
 def profile_column(df: DataFrame, col: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -41,17 +42,18 @@ def compact_read_model(spark: SparkSession, path: str, new_path: str, keys: list
 
 
 def append_ledger(df: DataFrame, path: str, key: str = "entry_id", period: str = "period_id") -> None:
-    """Append posted rows; entries already stored are left as they are.
+    """Append posted rows; entries already stored, in whatever period or none, are left as they are.
 
-    An entry is stored or skipped as a whole. Stored ids are only read from the periods the
-    new rows fall into.
+    An entry is stored or skipped as a whole. Ids are looked up in the whole ledger, of which only
+    the id column is read.
     """
     spark = df.sparkSession
     fresh = df
     if _has_data(spark, path):
-        stored = spark.read.parquet(path).select(key, period)
-        touched = stored.join(df.select(period).distinct(), period, "left_semi").select(key)
-        fresh = df.join(touched, key, "left_anti")
+        # A stored period is a folder name; the batch says what type it has.
+        kinds = T.StructType([df.schema[key]])
+        stored = spark.read.schema(kinds).parquet(path).select(F.col(key).alias("stored/key"))
+        fresh = df.join(stored, F.col(f"`{key}`").eqNullSafe(F.col("`stored/key`")), "left_anti")
     fresh.hint("rebalance", period).write.mode("append").partitionBy(period).parquet(path)
 
 

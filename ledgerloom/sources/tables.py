@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.profile import profilable
 
-# Row caps of ad-hoc queries and samples.
+# Rows of ad-hoc queries and samples unless more are asked for.
 DEFAULT_ROWS = 500
-MAX_ROWS = 10_000
-MAX_SAMPLE = 100
+SAMPLE_ROWS = 10
 
 
 def load_table(spark: SparkSession, src, name: str, partition: tuple | None = None) -> DataFrame:
@@ -35,17 +34,19 @@ def load_table(spark: SparkSession, src, name: str, partition: tuple | None = No
 
 
 def query(spark: SparkSession, sql: str, max_rows: int = DEFAULT_ROWS) -> DataFrame:
-    """Rows of a SELECT or WITH statement, at most ``max_rows`` (1 to 10,000) of them.
+    """Rows of a SELECT or WITH statement, at most ``max_rows`` of them.
 
     The cap is a limit around the whole statement, so unions, common table
     expressions, DISTINCT and inner limits all keep their meaning.
     """
-    return spark.sql(sql).limit(min(max(1, max_rows), MAX_ROWS))
+    if max_rows < 1:
+        raise ValueError("max_rows must be positive")
+    return spark.sql(sql).limit(max_rows)
 
 
-def sample_rows(df: DataFrame, keys: list[str], limit: int = 10, where: str | None = None) -> DataFrame:
+def sample_rows(df: DataFrame, keys: list[str], limit: int = SAMPLE_ROWS, where: str | None = None) -> DataFrame:
     """The first rows by key without binary columns, optionally filtered."""
     if limit < 0:
         raise ValueError("limit must not be negative")
     rows = profilable(df.filter(F.expr(where)) if where else df)
-    return (rows.orderBy(*keys) if keys else rows).limit(min(limit, MAX_SAMPLE))
+    return (rows.orderBy(*keys) if keys else rows).limit(limit)
