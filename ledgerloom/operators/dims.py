@@ -12,8 +12,10 @@ def _lookup(refs: dict[str, tuple], df: DataFrame, add_names: bool) -> DataFrame
     # No broadcast hint: the planner broadcasts a reference table only below its size
     # threshold and shuffles a larger one.
     for column, (table, key, *name) in refs.items():
-        extra = F.col(name[0]).alias(f"{column}/name") if add_names else F.lit(True).alias(f"{column}/known")
-        side = table.select(F.col(key).alias("id"), extra).dropDuplicates(["id"])
+        label = f"{column}/name" if add_names else f"{column}/known"
+        extra = F.col(name[0]) if add_names else F.lit(True)
+        # A repeated id has the least of its names.
+        side = table.groupBy(F.col(key).alias("id")).agg(F.min(extra).alias(label))
         df = join_hot(df, side, {column: "id"}, "left")
     return df
 

@@ -58,28 +58,36 @@ def _parent_keys(parent: DataFrame, pairs) -> DataFrame:
     )
 
 
-def fk_check(child: DataFrame, parent: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
-    """Referential integrity of a reference, in both directions, as one row.
-
-    A child row with a NULL in any key column is skipped. Both sides are reduced to
-    their distinct keys before the join.
-    """
+def _relationship(child: DataFrame, parent: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
+    """Integrity and fan-out of one reference as one row; both sides are reduced to their keys first."""
     pairs = list(pairs)
     names = [f"k{i}" for i in range(len(pairs))]
     left = _child_keys(child, pairs).withColumn("skipped", any_null(names))
     right = _parent_keys(parent, pairs).withColumn("known", F.lit(True))
     both = left.join(right, names, "full_outer")
     zero = F.lit(0).cast("long")
-    checked = ~F.col("skipped")
+    checked, known = ~F.col("skipped"), F.col("known")
+    children = F.when(known, F.coalesce("n", zero))
     counts = both.agg(
         F.coalesce(F.sum(F.when(checked, F.col("n"))), zero).alias("checked"),
         F.coalesce(F.sum(F.when(F.col("skipped"), F.col("n"))), zero).alias("null_skipped"),
-        F.coalesce(F.sum(F.when(checked & F.col("known").isNull(), F.col("n"))), zero).alias("orphans"),
-        F.count_if(F.col("known") & F.col("n").isNull()).alias("unreferenced_parents"),
+        F.coalesce(F.sum(F.when(checked & known.isNull(), F.col("n"))), zero).alias("orphans"),
+        F.count_if(known & F.col("n").isNull()).alias("childless_parents"),
+        F.count("known").alias("parents"), F.min(children).alias("min_children"),
+        F.try_divide(F.sum(children).cast("double"), F.count("known")).alias("avg_children"),
+        F.max(children).alias("max_children"),
     )
-    return counts.select(
-        "checked", "null_skipped", "orphans",
-        pct(F.col("orphans"), F.col("checked")).alias("orphan_pct"), "unreferenced_parents",
+    return counts.withColumn("orphan_pct", pct(F.col("orphans"), F.col("checked")))
+
+
+def fk_check(child: DataFrame, parent: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
+    """Referential integrity of a reference, in both directions, as one row.
+
+    A child row with a NULL in any key column is skipped. Both sides are reduced to
+    their distinct keys before the join.
+    """
+    return _relationship(child, parent, pairs).select(
+        "checked", "null_skipped", "orphans", "orphan_pct", F.col("childless_parents").alias("unreferenced_parents")
     )
 
 
@@ -108,6 +116,35 @@ def relationship_cardinality(child: DataFrame, parent: DataFrame, pairs: Iterabl
     )
 
 
+def check_relationships(
+    tables: dict[str, DataFrame], fks: Iterable[ForeignKey], table: str | None = None, direction: str = "both"
+) -> DataFrame:
+    """Integrity and fan-out of all declared keys, a row for each key and direction.
+
+    ``direction`` is that seen from ``table``: ``parent`` for keys in which it is referenced, ``child`` for
+    those in which it refers, or ``both``. Without ``table`` every key is listed once in each direction
+    asked for, under either of its tables.
+    """
+    if direction not in ("parent", "child", "both"):
+        raise ValueError("direction is parent, child or both")
+    sides = ["parent", "child"] if direction == "both" else [direction]
+    rows = []
+    for fk in fks:
+        seen = {"parent": fk.referenced, "child": fk.referencing}
+        wanted = [side for side in sides if table is None or seen[side] == table]
+        if wanted:
+            child, parent = tables[fk.referencing], tables[fk.referenced]
+            measured = _relationship(child, parent, fk.pairs)
+            views = F.array(*[
+                F.struct(F.lit(side).alias("direction"), F.lit(seen[side]).alias("table"),
+                         F.lit(seen["child" if side == "parent" else "parent"]).alias("other")) for side in wanted
+            ])
+            rows.append(measured.select(F.lit(fk.name).alias("name"), F.inline(views), *measured.columns))
+    if not rows:
+        raise ValueError(f"no key of {table} in this direction")
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _value_kind(data_type: T.DataType) -> str | None:
     """Columns are compared inside one kind of value."""
     if isinstance(data_type, (*NESTED, T.BinaryType, T.BooleanType)):
@@ -246,8 +283,8 @@ def bounded_paths(
     edges. Nodes are first given their distance to the nearest target, and a route is
     only extended to nodes it can still finish from.
     """
-    if not 0 <= max_depth <= 6:
-        raise ValueError("max_depth must be between 0 and 6")
+    if max_depth < 0:
+        raise ValueError("max_depth must not be negative")
     shared_dir(edges.sparkSession)
     links = (
         edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))

@@ -66,13 +66,13 @@ def period_days(periods: DataFrame, *extra: str) -> DataFrame:
 
 
 def assign_period(entries: DataFrame, periods: DataFrame, date: str = "entry_date", extra: tuple = ()) -> DataFrame:
-    """Add the period that holds the date, both ends inclusive, and how many hold it.
+    """Add the period that holds the date (the day of a timestamp), both ends inclusive, and how many hold it.
 
     Anything but one match is an error, and the period is then NULL.
     """
     days = period_days(periods, *extra)
     one = F.col("match_count") == 1
-    return entries.join(days, F.col(date) == F.col("day"), "left").select(
+    return entries.join(days, F.col(date).cast("date") == F.col("day"), "left").select(
         *[F.col(c) for c in entries.columns],
         *[F.when(one, F.col(name)).alias(name) for name in ("period_id", *extra)],
         F.coalesce("match_count", F.lit(0)).alias("match_count"),
@@ -114,6 +114,7 @@ def classify_posting(entries: DataFrame, lines: DataFrame, periods: DataFrame) -
         .when(F.col("match_count") == 0, "no_period")
         .when(F.col("match_count") > 1, "ambiguous_period")
         .when(period == "closed", "period_closed")
+        .when(period.isNull() | ~period.isin("open", "reopened"), "period_not_open")
         .when((period == "reopened") & ~F.coalesce("is_adjusting", F.lit(False)), "reopened_requires_adjusting")
         .when(F.coalesce("is_adjusting", F.lit(False)) & is_blank(F.col("adjusting_reason")), "adjusting_reason_required")
     )

@@ -16,8 +16,9 @@ def due_messages(outbox: DataFrame, now, limit: int) -> DataFrame:
 
 def latest_delivery(attempts: DataFrame) -> DataFrame:
     """Last attempt of each message; kept by aggregation, without sorting a message's attempts."""
-    last = F.max_by(F.struct("attempt", "status", "attempted_at"), F.col("attempt"))
-    return attempts.groupBy("message_id").agg(last.alias("last")).select("message_id", "last.*")
+    # Equal attempts are settled by their other values.
+    last = F.max(F.struct("attempt", "attempted_at", "status")).alias("last")
+    return attempts.groupBy("message_id").agg(last).select("message_id", "last.attempt", "last.status", "last.attempted_at")
 
 
 def retry_schedule(attempts: DataFrame, base: int = 60, factor: int = 2, max_attempts: int = 5) -> DataFrame:

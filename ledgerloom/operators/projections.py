@@ -14,15 +14,16 @@ def instance_summary(log: DataFrame) -> DataFrame:
     """One row per workflow instance, taken from its highest version.
 
     ``log`` holds applied transitions: workflow_name, instance_id, version, to_state,
-    ts, event_type, actor_id. Repeated rows do not matter. An aggregation, no sort per
-    instance: each task keeps one row per instance before the shuffle.
+    ts, event_type, actor_id. Repeated rows do not matter, and rows of one version are settled by
+    all their values. An aggregation, no sort per instance: each task keeps one row per instance
+    before the shuffle.
     """
     last = F.max_by(
         F.struct(
             F.col("to_state").alias("current_state"), F.col("ts").alias("updated_at"),
             F.col("event_type").alias("last_event_type"), F.col("actor_id").alias("last_actor"), "version",
         ),
-        F.col("version"),
+        F.struct("version", "ts", "to_state", "event_type", "actor_id"),
     )
     return log.groupBy(*SUMMARY_KEYS).agg(last.alias("last")).select(*SUMMARY_KEYS, "last.*")
 
@@ -61,8 +62,8 @@ def read_model_page(
 ) -> DataFrame:
     """One page of a read model.
 
-    ``order`` must end in a unique column; ``after`` holds its values in the last row of the
-    page before, so that going on does not read the pages already shown.
+    ``order`` must end in a unique column; NULLs come first. ``after`` holds its values in the last
+    row of the page before (None for NULL), so that going on does not read the pages already shown.
     """
     if isinstance(filters, dict):
         for name, value in filters.items():
@@ -72,7 +73,10 @@ def read_model_page(
     if after is not None:
         later, equal = [], F.lit(True)
         for name, value in zip(order, after, strict=True):
-            later.append(equal & (F.col(name) > value))
-            equal = equal & (F.col(name) == value)
-        rm = rm.filter(F.col(order[0]) >= after[0]).filter(any_of(later))
-    return rm.orderBy(*order).limit(limit)
+            beyond = F.col(name).isNotNull() if value is None else F.col(name) > value
+            later.append(equal & F.coalesce(beyond, F.lit(False)))
+            equal = equal & F.col(name).eqNullSafe(F.lit(value))
+        if after[0] is not None:
+            rm = rm.filter(F.col(order[0]) >= after[0])  # reaches the scan
+        rm = rm.filter(any_of(later))
+    return rm.orderBy(*[F.asc_nulls_first(name) for name in order]).limit(limit)

@@ -46,10 +46,11 @@ def dedupe_idempotent(events: DataFrame) -> DataFrame:
     row by each task before it is shuffled.
     """
     rest = [c for c in events.columns if c not in (*INSTANCE, "seq", "event_id")]
+    # Equal numbers are settled by the other values, so any order of arrival gives one result.
     row = F.struct("seq", "event_id", *rest)
     return (
         events.groupBy(*INSTANCE, _once_key().alias("once"))
-        .agg(F.min_by(row, F.struct("seq", "event_id")).alias("first"), F.count(F.lit(1)).alias("deliveries"))
+        .agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("deliveries"))
         .select(*INSTANCE, "first.*", "deliveries")
     )
 
@@ -67,6 +68,11 @@ def definition(transitions: DataFrame) -> list[tuple]:
     return [tuple(row) for row in rows]
 
 
+def known_states(rows: list[tuple]) -> list[str]:
+    """The states a definition names."""
+    return sorted({state for row in rows for state in (row[0], row[2])} - {ANY_STATE, BEFORE_HOLD, GIVEN_TARGET})
+
+
 class _Machine:
     """A definition as constants inside a query."""
 
@@ -82,6 +88,7 @@ class _Machine:
             part for event_type, moves in per_event.items()
             for part in (F.lit(event_type), F.create_map(*[x for state, move in moves.items() for x in (F.lit(state), move)]))
         ])
+        self.states = known_states(rows)
         self.guards = sorted({row[3] for row in rows if row[3]})
         self.guarded = sorted({row[1] for row in rows if row[3]})
 
@@ -108,6 +115,7 @@ def _step(machine: _Machine, now: Column, event: Column, keep: list[str]) -> Col
             .when(move.isNull(), "no_transition")
             .when((to == GIVEN_TARGET) & is_blank(event["override_reason"]), "reason_missing")
             .when(target.isNull(), "no_target")
+            .when((to == GIVEN_TARGET) & ~target.isin(machine.states), "unknown_target")
             .when(guard.isNotNull() & ~met, "guard_not_met")
             .otherwise("applied")
         )
@@ -166,7 +174,9 @@ def replay(
     An applied event raises the version by one; any other outcome changes nothing.
     Checked in this order: repeated key (``duplicate``, with the first event's states
     and version), ``version_conflict``, ``no_transition``, ``reason_missing`` (override),
-    ``no_target``, ``guard_not_met``, ``applied``.
+    ``no_target``, ``unknown_target`` (a state the definition does not name),
+    ``guard_not_met``, ``applied``. Of an event delivered several times one row is the
+    original, and the others are duplicates.
 
     Events are grouped by instance and block of ``block_events`` sequence numbers, so no
     group grows with the log. Instances of one block are folded directly. When there
@@ -194,14 +204,18 @@ def replay(
     )
     if not duplicates:
         return results
-    # Later deliveries of a key get the first one's result.
+    # Later deliveries of a key get the first one's result. Equal deliveries are counted, and one of
+    # those that equal the first is the original.
+    values = ["seq", *_PASSED, "idempotency_key"]
+    whole = F.struct(*values)
     first = results.select(
-        *[F.col(c).alias(f"{c}_") for c in INSTANCE], _once_key().alias("once_"),
-        *[F.col(c).alias(f"{c}_") for c in ("event_id", "from_state", "to_state", "version", "outcome", "held_seq")],
+        *[F.col(c).alias(f"{c}_") for c in INSTANCE], _once_key().alias("once_"), whole.alias("whole_"),
+        *[F.col(c).alias(f"{c}_") for c in ("from_state", "to_state", "version", "outcome", "held_seq")],
     )
     match = [F.col(c) == F.col(f"{c}_") for c in INSTANCE] + [_once_key() == F.col("once_")]
-    original = F.col("event_id") == F.col("event_id_")
-    return events.join(first, match).select(
+    deliveries = events.withColumn("seq", F.col("seq").cast("int")).groupBy(*INSTANCE, *values).agg(F.count(F.lit(1)).alias("copies"))
+    original = whole.eqNullSafe(F.col("whole_")) & (F.col("copy") == 1)
+    return deliveries.join(first, match).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
         *INSTANCE, F.col("seq").cast("int").alias("seq"),
         *[F.col(f"{c}_").alias(c) for c in ("from_state", "to_state", "version")],
         F.when(original, F.col("outcome_")).otherwise("duplicate").alias("outcome"), F.col("held_seq_").alias("held_seq"),
@@ -409,9 +423,10 @@ def version_audit(log: DataFrame) -> DataFrame:
     return checked.select(*INSTANCE, "version", F.explode(issues).alias("issue"))
 
 
-def permission_audit(log: DataFrame, rules: DataFrame) -> DataFrame:
+def permission_audit(log: DataFrame, rules: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """Whether some rule allows each event; without a matching rule it is denied.
 
+    ``carried`` names further columns of the log that come out.
     A NULL in a rule matches anything. The few different situations in the log are
     looked up with every choice of fields left open, an equality join for any
     number of rules, and the answers are joined back.
@@ -420,6 +435,7 @@ def permission_audit(log: DataFrame, rules: DataFrame) -> DataFrame:
     asked = log.select(
         "workflow_name", "instance_id", "seq", "event_id", "event_type", F.col("actor_role").alias("role"),
         F.col("from_state").alias("current_state"), (F.col("event_type") == OVERRIDE).alias("override_flag"),
+        *(carried or []),
     )
     situations = asked.select(*fields).distinct()
     masks = F.array(*[F.lit(i) for i in range(1 << len(fields))])
@@ -433,15 +449,35 @@ def permission_audit(log: DataFrame, rules: DataFrame) -> DataFrame:
     back = [F.col(c).eqNullSafe(F.col(f"{c}_ok")) for c in fields]
     return asked.join(allowed.withColumn("found", F.lit(True)), back, "left").select(
         "workflow_name", "instance_id", "seq", "event_id", "event_type", "role", "current_state", "override_flag",
-        F.col("found").isNotNull().alias("allowed"),
+        F.col("found").isNotNull().alias("allowed"), *(carried or []),
+    )
+
+
+def role_audit(log: DataFrame, assignments: DataFrame, roles: DataFrame) -> DataFrame:
+    """Events whose actor does not hold the role claimed, or whose role has no business unit.
+
+    ``assignments`` has actor_id and role, ``roles`` has role and business_unit_id. The few different
+    (actor, role) pairs of the log are looked up and the answers joined back.
+    """
+    claimed = log.select("actor_id", "actor_role").distinct()
+    held = assignments.select(F.col("actor_id").alias("holder"), F.col("role").alias("held_role")).distinct()
+    mapped = roles.filter("business_unit_id is not null").select(F.col("role").alias("mapped_role")).distinct()
+    issue = F.when(F.col("held_role").isNull(), "role_not_held").when(F.col("mapped_role").isNull(), "role_without_unit")
+    flawed = (
+        claimed.join(held, (F.col("actor_id") == F.col("holder")) & (F.col("actor_role") == F.col("held_role")), "left")
+        .join(mapped, F.col("actor_role") == F.col("mapped_role"), "left")
+        .select(F.col("actor_id").alias("actor_id_"), F.col("actor_role").alias("actor_role_"), issue.alias("issue"))
+        .filter("issue is not null")
     )
+    same = F.col("actor_id").eqNullSafe(F.col("actor_id_")) & F.col("actor_role").eqNullSafe(F.col("actor_role_"))
+    return log.join(flawed, same).select(*INSTANCE, "seq", "event_id", "actor_id", "actor_role", "issue")
 
 
 def override_audit(log: DataFrame, rules: DataFrame) -> DataFrame:
     """Every override with actor, role and reason, flagging blank reasons and lacking permission."""
-    overrides = log.filter(F.col("event_type") == OVERRIDE)
-    verdict = permission_audit(overrides, rules).select(*INSTANCE, "seq", "event_id", "allowed")
-    return overrides.join(verdict, [*INSTANCE, "seq", "event_id"]).select(
+    carried = ["actor_id", "actor_role", "target_state", "override_reason", "outcome"]
+    audited = permission_audit(log.filter(F.col("event_type") == OVERRIDE), rules, carried)
+    return audited.select(
         *INSTANCE, "seq", "event_id", "actor_id", "actor_role", "target_state", "override_reason",
         is_blank(F.col("override_reason")).alias("reason_blank"), (~F.col("allowed")).alias("not_permitted"), "outcome",
     )

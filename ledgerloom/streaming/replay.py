@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerloom.operators.workflow import (
-    ANY_STATE, BEFORE_HOLD, GIVEN_TARGET, HELD, INITIAL, INSTANCE, TERMINAL, definition,
+    ANY_STATE, BEFORE_HOLD, GIVEN_TARGET, HELD, INITIAL, INSTANCE, TERMINAL, definition, known_states,
 )
 
 FRAME_ROWS = 10_000
@@ -41,6 +41,12 @@ def _event(row) -> tuple:
     )
 
 
+def _once(event: dict) -> str:
+    """The idempotency key; an event without one is only itself."""
+    key = event["idempotency_key"]
+    return f"e{event['event_id']}" if key is None else f"k{key}"
+
+
 def _frame(rows: list[dict]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=[field.split()[0] for field in OUTPUT.split(", ")])
     for name in ("held_seq", "expected_version"):
@@ -48,7 +54,7 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return frame
 
 
-def decide(current: dict, event: dict, moves: dict, guards: set) -> tuple[dict, tuple]:
+def decide(current: dict, event: dict, moves: dict, guards: set, states: set) -> tuple[dict, tuple]:
     """The state after one event, and its (from, to, version, outcome, held_seq)."""
     state, reason = current["state"], event["override_reason"]
     move = moves.get((state, event["event_type"]))
@@ -59,10 +65,12 @@ def decide(current: dict, event: dict, moves: dict, guards: set) -> tuple[dict,
         outcome = "version_conflict"
     elif move is None:
         outcome = "no_transition"
-    elif move[0] == GIVEN_TARGET and not (reason or "").strip(" "):
+    elif move[0] == GIVEN_TARGET and not (reason or "").strip():
         outcome = "reason_missing"
     elif target is None:
         outcome = "no_target"
+    elif move[0] == GIVEN_TARGET and target not in states:
+        outcome = "unknown_target"
     elif move[1] is not None and move[1] not in current["seen"]:
         outcome = "guard_not_met"
     else:
@@ -85,6 +93,7 @@ class ReplayProcessor(StatefulProcessor):
     def __init__(self, transitions: list[tuple], initial: str, key_ttl_ms: int | None):
         self.moves = {(row[0], row[1]): (row[2], row[3]) for row in transitions}
         self.guards = {row[3] for row in transitions if row[3]}
+        self.states = set(known_states(transitions))
         self.initial = initial
         self.key_ttl_ms = key_ttl_ms
 
@@ -93,7 +102,7 @@ class ReplayProcessor(StatefulProcessor):
             "current", "state string, version int, held_from string, held_seq int, seen string, next_seq int"
         )
         self.results = handle.getMapState(
-            "results", "idempotency_key string",
+            "results", "once string",
             "from_state string, to_state string, version int, outcome string, held_seq int", self.key_ttl_ms,
         )
         self.early = handle.getListState("early", EVENT_FIELDS)
@@ -108,35 +117,34 @@ class ReplayProcessor(StatefulProcessor):
             current = dict(zip(names, _plain(stored[:4])))
             current["seen"] = [name for name in stored[4].split(",") if name]
             due = stored[5]
-        waiting = {}
-        if self.early.exists():
-            waiting = {row[0]: _event(row) for row in self.early.get()}
+        waiting: dict[int, list[tuple]] = {}
+        for row in self.early.get() if self.early.exists() else ():
+            waiting.setdefault(row[0], []).append(_event(row))
         for frame in rows:
             for row in frame[_EVENT].itertuples(index=False, name=None):
-                if row[0] >= due:  # anything earlier was delivered before
-                    waiting[row[0]] = _event(row)
+                waiting.setdefault(row[0], []).append(_event(row))
         out = []
-        while due in waiting:
-            event = dict(zip(_EVENT, waiting.pop(due)))
-            due += 1
-            once = event["idempotency_key"]
-            if once is not None and self.results.containsKey((once,)):
-                first = _plain(self.results.getValue((once,)))
-                result = (*first[:3], "duplicate", first[4])
-            else:
-                current, result = decide(current, event, self.moves, self.guards)
-                if once is not None:
+        while (earliest := min(waiting, default=due + 1)) <= due:  # an earlier number comes again
+            for values in sorted(waiting.pop(earliest), key=repr):
+                event = dict(zip(_EVENT, values))
+                once = _once(event)
+                if self.results.containsKey((once,)):
+                    first = _plain(self.results.getValue((once,)))
+                    result = (*first[:3], "duplicate", first[4])
+                else:
+                    current, result = decide(current, event, self.moves, self.guards, self.states)
                     self.results.updateValue((once,), result)
-            out.append({**dict(zip(INSTANCE, key)), **dict(zip(_RESULT, result)), **event})
-            if len(out) == FRAME_ROWS:
-                yield _frame(out)
-                out = []
+                out.append({**dict(zip(INSTANCE, key)), **dict(zip(_RESULT, result)), **event})
+                if len(out) == FRAME_ROWS:
+                    yield _frame(out)
+                    out = []
+            due = max(due, earliest + 1)
         self.current.update((
             current["state"], current["version"], current["held_from"], current["held_seq"],
             ",".join(current["seen"]), due,
         ))
         if waiting:
-            self.early.put([waiting[seq] for seq in sorted(waiting)])
+            self.early.put([event for seq in sorted(waiting) for event in waiting[seq]])
         else:
             self.early.clear()
         if out:
@@ -151,9 +159,9 @@ def stream_replay(
 ) -> DataFrame:
     """Outcome of every event as it arrives, the same as `replay` gives on the whole log.
 
-    The transition table becomes part of the operator. Sequence numbers of an instance start at 1 without gaps; an event that comes early waits for the missing ones, one
-    that comes again is dropped. Needs the RocksDB state store. ``key_ttl_ms`` lets
-    idempotency keys expire.
+    The transition table becomes part of the operator. Sequence numbers of an instance start at 1
+    without gaps; an event that comes early waits for the missing ones, one that comes again is a
+    duplicate. Needs the RocksDB state store. ``key_ttl_ms`` lets the keys of events expire.
     """
     columns = [*INSTANCE, *_EVENT]
     return events.select(*columns).groupBy(*INSTANCE).transformWithStateInPandas(
