@@ -86,6 +86,13 @@ register("l5_reversal_lines", """SELECT concat('REV-', l.entry_id) AS entry_id,
     credit AS debit, debit AS credit FROM journal_line l JOIN journal_entry e ON e.entry_id = l.entry_id AND e.status = 'posted'""")(
     lambda t: _reversed(t)[1]
 )
+register("l5_reversal_lines_mixed_types", """SELECT concat('REV-', l.entry_id) AS entry_id, account_id, site_id, cost_center_id, business_unit_id,
+    credit AS debit, debit AS credit FROM journal_line l JOIN journal_entry e ON e.entry_id = l.entry_id AND e.status = 'posted'""")(
+    # Lines with int ids, entries with bigint ids.
+    lambda t: ledger.reversal_entries(
+        t["journal_entry"], t["journal_line"].withColumn("entry_id", F.col("entry_id").cast("int")), t["journal_entry"].select("entry_id"), "2001-12-31"
+    )[1]
+)
 register("l6_correcting_entries", f"""WITH posted AS (
       SELECT corrects_entry_id, c.entry_id FROM correction c JOIN journal_entry e ON e.entry_id = c.corrects_entry_id AND e.status = 'posted'),
     both_roles AS (
@@ -155,6 +162,12 @@ register("l10_account_rollup", f"""WITH tb AS ({_trial_sql()}),
       (SELECT {_sum('s.net')} FROM chain c JOIN tb s ON s.account_id = c.account_id WHERE c.ancestor_id = a.account_id) AS subtree_net,
       (SELECT max(depth) FROM chain c WHERE c.account_id = a.account_id) AS depth, CAST(NULL AS VARCHAR) AS issue
     FROM account a JOIN tb t ON t.account_id = a.account_id""")(lambda t: closing.account_rollup(_trial(t), t["account"]))
+register("l10_deep_rollup", """SELECT a.account_id, a.net AS own_net,
+      CAST((SELECT sum(d.net) FROM deep_account d WHERE d.account_id >= a.account_id) AS DECIMAL(38,4)) AS subtree_net,
+      CAST(a.account_id AS BIGINT) AS depth, CAST(NULL AS VARCHAR) AS issue FROM deep_account a""")(
+    # One chain of 150 accounts.
+    lambda t: closing.account_rollup(t["deep_account"].select("account_id", "net"), t["deep_account"])
+)
 register("l11_financial_statements", f"""WITH tb AS ({_trial_sql()})
     SELECT CASE WHEN account_type IN ('A', 'L', 'E') THEN 'balance_sheet' ELSE 'income_statement' END AS statement, account_type,
       {_sum("CASE WHEN account_type IN ('A', 'X') THEN net ELSE -net END")} AS amount
@@ -181,6 +194,12 @@ def _snapshots(t):
 
 
 register("l13_close_snapshot", _SNAPSHOTS)(_snapshots)
+register("l13_close_statements", f"""WITH snap AS ({_SNAPSHOTS})
+    SELECT close_version, period_id, CASE WHEN account_type IN ('A', 'L', 'E') THEN 'balance_sheet' ELSE 'income_statement' END AS statement,
+      account_type, {_sum("CASE WHEN account_type IN ('A', 'X') THEN balance ELSE -balance END")} AS amount
+    FROM snap s JOIN account a ON a.account_id = s.account_id GROUP BY close_version, period_id, account_type""")(
+    lambda t: closing.close_statements(_snapshots(t), t["account"])
+)
 register("l14_close_diff", f"""WITH snap AS ({_SNAPSHOTS}),
     reclosed AS (SELECT a.period_id, a.closed_on AS first_on, b.closed_on AS second_on
       FROM close_event a JOIN close_event b ON a.period_id = b.period_id AND a.close_version = 1 AND b.close_version = 2),
@@ -254,6 +273,15 @@ register("dm1_validate_refs", """SELECT l.entry_id, l.account_id, d.dimension, d
         "cost_center_id": (t["business_unit"], "business_unit_id"),
     })
 )
+register("dm1_mixed_types", """SELECT l.entry_id, l.account_id, 'site_id' AS dimension, CAST(l.site_id AS VARCHAR) AS bad_value,
+      CASE WHEN l.site_id IS NULL THEN 'missing' ELSE 'unknown' END AS reason
+    FROM journal_line l WHERE l.site_id IS NULL OR l.site_id NOT IN (SELECT site_id FROM bigint_site WHERE site_id % 2 = 0)""")(
+    # An int column against a bigint reference that lacks every other row.
+    lambda t: dims.validate_refs(t["journal_line"], ["entry_id", "account_id"], {"site_id": (t["bigint_site"].filter("site_id % 2 = 0"), "site_id")})
+)
+register("dm2_mixed_types", """SELECT l.*, s.name AS site_name FROM journal_line l LEFT JOIN bigint_site s ON s.site_id = l.site_id""")(
+    lambda t: dims.with_dimensions(t["journal_line"], {"site_id": (t["bigint_site"], "site_id", "name")})
+)
 register("dm2_with_dimensions", """SELECT l.*, s.name AS site_name, c.name AS cost_center_name, b.name AS business_unit_name
     FROM journal_line l LEFT JOIN site s ON s.site_id = l.site_id LEFT JOIN cost_center c ON c.cost_center_id = l.cost_center_id
     LEFT JOIN business_unit b ON b.business_unit_id = l.business_unit_id""")(
@@ -378,11 +406,15 @@ def _lossless_sql(table: str, target: dict[str, str]) -> str:
 
 register("m5_lossless_check", _lossless_sql("orders", _TARGET))(lambda t: migrate.lossless_check(t["orders"], _TARGET))
 register("m6_fiscal_calendar_profile", """WITH lost AS (
-      SELECT calendar, count(*) AS n FROM fiscal_journal j WHERE NOT EXISTS (SELECT 1 FROM fiscal_period p
+      SELECT calendar, count(*) AS n, count(DISTINCT fiscal_year * 100 + period_no) AS periods FROM fiscal_journal j WHERE NOT EXISTS (SELECT 1 FROM fiscal_period p
         WHERE p.calendar = j.calendar AND p.fiscal_year = j.fiscal_year AND p.period_no = j.period_no) GROUP BY calendar)
-    SELECT p.calendar, count(*) FILTER (NOT is_closing) AS periods, count(*) FILTER (is_closing) AS closing_periods,
+    SELECT p.calendar, count(DISTINCT fiscal_year) AS years,
+      (SELECT min(n) FROM (SELECT count(*) FILTER (NOT is_closing) AS n FROM fiscal_period y WHERE y.calendar = p.calendar GROUP BY fiscal_year)) AS least_periods,
+      (SELECT max(n) FROM (SELECT count(*) FILTER (NOT is_closing) AS n FROM fiscal_period y WHERE y.calendar = p.calendar GROUP BY fiscal_year)) AS most_periods,
+      count(*) FILTER (is_closing) AS closing_periods,
       CAST(max(period_no) FILTER (NOT is_closing) AS INT) AS last_period_no,
       count(*) FILTER (period_no = 0) + (SELECT count(*) FROM fiscal_journal j WHERE j.calendar = p.calendar AND period_no = 0) AS period0_rows,
+      coalesce((SELECT periods FROM lost l WHERE l.calendar = p.calendar), 0) AS unmatched_periods,
       coalesce((SELECT n FROM lost l WHERE l.calendar = p.calendar), 0) AS unmatched_rows
     FROM fiscal_period p GROUP BY p.calendar""")(
     lambda t: migrate.fiscal_calendar_profile(t["fiscal_period"], t["fiscal_journal"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import keys, lookup, profile
 from ledgerloom.operators.keys import ForeignKey
+from ledgerloom.plans.fixtures import BASE
 from ledgerloom.plans.registry import register
 from ledgerloom.sources import tables as source
 
@@ -88,7 +89,7 @@ for _name, (_text, _cap) in AD_HOC.items():
 register("s3_sample_rows", "SELECT * FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 10")(
     lambda t: source.sample_rows(t["orders"], ["o_orderkey"], 10, "o_orderstatus = 'F'")
 )
-register("s3_sample_cap", "SELECT * FROM lineitem ORDER BY ALL LIMIT 100")(
+register("s3_sample_cap", "SELECT * FROM lineitem ORDER BY ALL LIMIT 1000")(
     lambda t: source.sample_rows(t["lineitem"], t["lineitem"].columns, 1000)
 )
 register("f1_profilable", "SELECT * FROM part")(
@@ -97,7 +98,7 @@ register("f1_profilable", "SELECT * FROM part")(
 
 # -- profiles ---------------------------------------------------------------------
 
-_COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_COUNTED = list(BASE)
 register("p1_row_counts", " UNION ALL ".join(
     f"""SELECT '{name}' AS "table", count(*) AS "rows" FROM {name}""" for name in _COUNTED
 ))(lambda t: profile.row_counts({name: t[name] for name in _COUNTED}))
@@ -122,6 +123,32 @@ register("p2_profile_journal_lines", _profile_sql("journal_line", {
 }))(lambda t: profile.profile_table(t["journal_line"], exact=True))
 register("p2_profile_estimated")(lambda t: profile.profile_table(t["lineitem"], exact=False))
 register("p3_profile_sampled")(lambda t: profile.profile_sampled(t["lineitem"], seed=7))
+_MEASURED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"]
+
+
+def _within(t, profiled, share: float):
+    """Exact figures, and whether the profile's distinct counts are within a share of them and its null shares equal."""
+    exact = profile.profile_table(t["lineitem"].select(*_MEASURED)).select(
+        "column", F.col("distinct").alias("exact_distinct"), F.col("nulls").alias("exact_nulls"))
+    gap = F.abs(F.col("distinct") - F.col("exact_distinct"))
+    return profiled.join(exact, "column").select(
+        "column", "exact_distinct", "exact_nulls", "is_estimate",
+        (gap <= F.greatest(F.lit(1.0), share * F.col("exact_distinct"))).alias("distinct_within"),
+        (F.abs(F.col("null_pct") - F.col("exact_nulls") * 100 / F.col("rows_profiled")) <= share * 100).alias("nulls_within"),
+    )
+
+
+_WITHIN_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS exact_distinct, count(*) - count({c}) AS exact_nulls, true AS is_estimate,
+        true AS distinct_within, true AS nulls_within FROM lineitem""" for c in _MEASURED
+)
+register("p2_estimate_within", _WITHIN_SQL)(
+    lambda t: _within(t, profile.profile_table(t["lineitem"].select(*_MEASURED), exact=False), 0.15)
+)
+register("p3_sample_within", _WITHIN_SQL)(
+    # Rows of the smaller tables are all drawn; of larger ones a column with few values shows all of them.
+    lambda t: _within(t, profile.profile_sampled(t["lineitem"].select(*_MEASURED), n=1_000_000, seed=7), 0.01)
+)
 
 
 def _column_sql(table: str, c: str, numeric: bool) -> str:
@@ -255,6 +282,25 @@ _KEYS = [
     ForeignKey("nation_region", "nation", "region", (("n_regionkey", "r_regionkey"),)),
 ]
 _ROUTE = ["lineitem", "orders", "customer", "nation", "region"]
+
+
+def _relationship_sql(fk: ForeignKey, direction: str) -> str:
+    (child, parent), = fk.pairs
+    seen, other = (fk.referenced, fk.referencing) if direction == "parent" else (fk.referencing, fk.referenced)
+    return f"""SELECT '{fk.name}' AS name, '{direction}' AS direction, '{seen}' AS "table", '{other}' AS other,
+        (SELECT count({child}) FROM {fk.referencing}) AS checked, (SELECT count(*) - count({child}) FROM {fk.referencing}) AS null_skipped,
+        (SELECT count({child}) FROM {fk.referencing} WHERE {child} NOT IN (SELECT {parent} FROM {fk.referenced})) AS orphans,
+        count(*) FILTER (n = 0) AS childless_parents, count(*) AS parents, min(n) AS min_children,
+        CAST(sum(n) AS DOUBLE) / count(*) AS avg_children, max(n) AS max_children, CAST(0 AS DOUBLE) AS orphan_pct
+        FROM (SELECT {parent}, count({child}) AS n FROM {fk.referenced} LEFT JOIN {fk.referencing} ON {child} = {parent} GROUP BY {parent})"""
+
+
+register("r7_check_relationships", " UNION ALL ".join(_relationship_sql(fk, d) for fk in _KEYS for d in ("parent", "child")))(
+    lambda t: keys.check_relationships({name: t[name] for name in _ROUTE}, _KEYS)
+)
+register("r7_relationships_of_orders", _relationship_sql(_KEYS[0], "parent") + " UNION ALL " + _relationship_sql(_KEYS[1], "child"))(
+    lambda t: keys.check_relationships({name: t[name] for name in _ROUTE}, _KEYS, table="orders")
+)
 register("r5_join_along_path", """SELECT l_orderkey, l_linenumber, l_quantity, o_orderdate, c_name, n_name, r_name FROM lineitem
     JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")(

@@ -248,6 +248,24 @@ AS t(event_type, from_state, alert)""",
 SELECT event_id, ts, workflow_name, instance_id, seq, event_type, idempotency_key, seq - 1 AS expected_version,
        actor_id, actor_role, target_state, override_reason
 FROM workflow_event""",
+    "redelivered_event": """
+SELECT event_id, ts, workflow_name, instance_id, seq, event_type, idempotency_key, expected_version, actor_id, actor_role,
+       CASE WHEN event_type = 'OverrideTransition' AND event_id % 3 = 0 THEN 'Nowhere' ELSE target_state END AS target_state,
+       override_reason
+FROM workflow_event e JOIN (VALUES (0), (1), (2)) AS c(copy) ON c.copy = 0 OR e.event_id % 10 < c.copy""",
+    "deep_account": """
+SELECT CAST(l_partkey % 150 AS INT) AS account_id, CAST(nullif(l_partkey % 150, 0) - 1 AS INT) AS parent_account_id,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS net
+FROM lineitem GROUP BY l_partkey % 150""",
+    "bigint_site": """
+SELECT CAST(site_id AS BIGINT) AS site_id, name FROM site""",
+    "role_assignment": """
+SELECT DISTINCT actor_id, actor_role AS role FROM workflow_event WHERE actor_id % 5 <> 0""",
+    "role_unit": """
+SELECT DISTINCT actor_role AS role, CASE WHEN actor_role LIKE '%a%' THEN 1 END AS business_unit_id FROM workflow_event""",
+    "undated_line": """
+SELECT entry_id, account_id, debit, credit,
+       CASE WHEN entry_id % 5 > 0 THEN CAST(entry_id % 5 AS INT) END AS period_id FROM journal_line""",
 }
 
 

@@ -38,6 +38,9 @@ def _replay_sql(source: str = "workflow_event") -> str:
           WHEN to_state IS NULL THEN 'no_transition'
           WHEN to_state = '<target_state>' AND trim(coalesce(override_reason, '')) = '' THEN 'reason_missing'
           WHEN target IS NULL THEN 'no_target'
+          WHEN to_state = '<target_state>' AND target NOT IN (
+            SELECT from_state FROM transition WHERE from_state <> '*' UNION
+            SELECT to_state FROM transition WHERE to_state NOT LIKE '<%') THEN 'unknown_target'
           WHEN (guard = 'MaterialsAllocated' AND NOT materials) OR (guard = 'QAApproved' AND NOT quality)
             OR (guard = 'ShipmentCreated' AND NOT shipped) THEN 'guard_not_met'
           ELSE 'applied' END AS outcome
@@ -50,9 +53,9 @@ def _replay_sql(source: str = "workflow_event") -> str:
           LEFT JOIN transition y ON y.from_state = '*' AND y.event_type = e.event_type AND w.state NOT IN ('Closed', 'Cancelled'))))),
     replay_log AS (
       SELECT e.workflow_name, e.instance_id, e.seq, w.from_state, w.state AS to_state, w.version,
-        CASE WHEN e.event_id = f.event_id THEN w.outcome ELSE 'duplicate' END AS outcome, w.held_before AS held_seq,
+        CASE WHEN e.event_id = f.event_id AND e.delivery = 1 THEN w.outcome ELSE 'duplicate' END AS outcome, w.held_before AS held_seq,
         {', '.join(f'e.{c.strip()}' for c in _CARRIED.split(','))}
-      FROM {source} e JOIN first_event f ON f.instance_id = e.instance_id AND f.idempotency_key = e.idempotency_key
+      FROM (SELECT *, row_number() OVER (PARTITION BY instance_id, event_id) AS delivery FROM {source}) e JOIN first_event f ON f.instance_id = e.instance_id AND f.idempotency_key = e.idempotency_key
       JOIN walk w ON w.instance_id = f.instance_id AND w.rn = f.rn),
     transitions AS (SELECT * FROM replay_log WHERE outcome = 'applied')"""
 
@@ -74,6 +77,12 @@ register("w1_replay_in_blocks", f"{_LOG} SELECT * FROM replay_log")(
     # Blocks of five events make every instance cross block borders.
     lambda t: workflow.replay(t["workflow_event"], t["transition"], block_events=5)
 )
+register("w1_replay_redelivered", f"WITH {_replay_sql('redelivered_event')} SELECT * FROM replay_log")(
+    lambda t: workflow.replay(t["redelivered_event"], t["transition"])
+)
+register("w1_redelivered_in_blocks", f"WITH {_replay_sql('redelivered_event')} SELECT * FROM replay_log")(
+    lambda t: workflow.replay(t["redelivered_event"], t["transition"], block_events=5)
+)
 register("w2_transition_history", f"""{_LOG} SELECT workflow_name, instance_id, version AS seq, from_state, to_state, event_type, actor_id, ts,
     CAST(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY instance_id ORDER BY version) AS DOUBLE) / 1000000 AS gap_seconds
     FROM transitions""")(lambda t: workflow.transition_history(_transitions(t)))
@@ -116,6 +125,19 @@ register("w7_permission_audit", f"""{_LOG} SELECT workflow_name, instance_id, se
     from_state AS current_state, event_type = 'OverrideTransition' AS override_flag, {_ALLOWED} AS allowed FROM replay_log l""")(
     lambda t: workflow.permission_audit(_replayed(t), t["permission_rule"])
 )
+register("w6_override_redelivered", f"""WITH {_replay_sql('redelivered_event')}
+    SELECT workflow_name, instance_id, seq, event_id, actor_id, actor_role, target_state, override_reason,
+    trim(coalesce(override_reason, '')) = '' AS reason_blank, NOT {_ALLOWED} AS not_permitted, outcome
+    FROM replay_log l WHERE event_type = 'OverrideTransition'""")(
+    lambda t: workflow.override_audit(workflow.replay(t["redelivered_event"], t["transition"]), t["permission_rule"])
+)
+register("w7_role_audit", """SELECT workflow_name, instance_id, seq, event_id, actor_id, actor_role,
+    CASE WHEN NOT EXISTS (SELECT 1 FROM role_assignment a WHERE a.actor_id = e.actor_id AND a.role = e.actor_role) THEN 'role_not_held'
+      ELSE 'role_without_unit' END AS issue
+    FROM workflow_event e WHERE NOT EXISTS (SELECT 1 FROM role_assignment a WHERE a.actor_id = e.actor_id AND a.role = e.actor_role)
+      OR NOT EXISTS (SELECT 1 FROM role_unit u WHERE u.role = e.actor_role AND u.business_unit_id IS NOT NULL)""")(
+    lambda t: workflow.role_audit(t["workflow_event"], t["role_assignment"], t["role_unit"])
+)
 register("w8_hold_intervals", f"""{_LOG}, began AS (SELECT * FROM transitions WHERE from_state <> 'OnHold' AND to_state = 'OnHold'),
     ended AS (SELECT * FROM transitions WHERE from_state = 'OnHold' AND to_state <> 'OnHold')
     SELECT b.workflow_name, b.instance_id, b.seq AS held_seq, b.ts AS held_at, b.from_state AS held_from, e.ts AS released_at,
@@ -218,6 +240,19 @@ def _upserted(t):
     return sinks.read_model(t.spark, path, projections.SUMMARY_KEYS, "version")
 
 
+@register("s6_append_undated", "SELECT period_id, count(*) AS lines, CAST(sum(debit) AS DECIMAL(38,4)) AS debit FROM undated_line GROUP BY period_id")
+def _appended_undated(t):
+    path = work_dir(t.spark, "ledger")
+    rows = t["undated_line"]
+    # The second time some entries come back under another period; what is stored stays.
+    moved = rows.withColumn("period_id", F.when(F.col("entry_id") % 3 == 0, F.lit(9)).otherwise(F.col("period_id")))
+    for batch in (rows, moved, rows):
+        sinks.append_ledger(batch, path)
+    return t.spark.read.parquet(path).groupBy("period_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("debit").cast("decimal(38,4)").alias("debit")
+    )
+
+
 @register("s6_append_ledger", """SELECT p.period_id, count(*) AS lines, CAST(sum(debit) AS DECIMAL(38,4)) AS debit
     FROM journal_line l JOIN journal_entry e ON e.entry_id = l.entry_id AND e.status = 'posted'
     JOIN accounting_period p ON e.entry_date BETWEEN p.start_date AND p.end_date GROUP BY p.period_id""")
@@ -259,15 +294,21 @@ def _rebuilt(t):
     return projections.rebuild(t.spark.read.parquet(_as_files(t, _transitions(t), "log")))
 
 
-@register("w9_stream_replay", f"{_LOG} SELECT * FROM replay_log")
-def _streamed_replay(t):
-    events = t["workflow_event"]
+def _replayed_stream(t, events):
     stream = read_event_stream(t.spark, _as_files(t, events, "events"), events.schema, max_files=2)
-    t.spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    return _plain_time(_sink(t, stream_replay(stream, t["transition"]), "replayed"), "ts")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(setting)
+    t.spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return _plain_time(_sink(t, stream_replay(stream, t["transition"]), "replayed"), "ts")
+    finally:
+        t.spark.conf.set(setting, before)
+
+
+register("w9_stream_replay", f"{_LOG} SELECT * FROM replay_log")(lambda t: _replayed_stream(t, t["workflow_event"]))
+register("w9_stream_redelivered", f"WITH {_replay_sql('redelivered_event')} SELECT * FROM replay_log")(
+    lambda t: _replayed_stream(t, t["redelivered_event"])
+)
 
 
 @register("o4_stream_dedupe", "SELECT DISTINCT workflow_name, instance_id, idempotency_key FROM workflow_event")

@@ -207,6 +207,44 @@ def test_ledger_is_only_appended(make, spark, tmp_path):
     assert got(spark.read.parquet(path).select("entry_id", "amount")) == [(1, 5), (1, 6), (2, 7), (3, 1)]
 
 
+def test_entries_without_period_and_under_another_period_are_stored_once(make, spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = make("entry_id int, amount int, period_id int", (1, 5, None), (2, 7, 2))
+    for batch in (rows, rows, make("entry_id int, amount int, period_id int", (2, 7, 3), (1, 5, 1))):
+        sinks.append_ledger(batch, path)
+    assert got(spark.read.parquet(path).select("entry_id", "amount")) == [(1, 5), (2, 7)]
+
+
+def test_keys_of_different_types_meet(make):
+    from ledgerloom.functions.skew import join_hot
+
+    left = make("i int, d decimal(10,2), t date, n int", (1, D("2.50"), datetime.date(2024, 1, 2), 7))
+    right = make("i bigint, d decimal(12,4), t timestamp, n smallint", (1, D("2.5"), datetime.datetime(2024, 1, 2), 7))
+    for name in ("i", "d", "t", "n"):
+        assert join_hot(left, right.select(name), [name], "inner").count() == 1, name
+    names = make("site bigint, name string", (1, "north"), (1, "also north"))
+    rows = make("id int, site int", (1, 1))
+    assert got(dims.validate_refs(rows, ["id"], {"site": (names, "site")})) == []
+    assert got(dims.with_dimensions(rows, {"site": (names, "site", "name")}).select("site_name")) == [("also north",)]
+
+
+def test_a_chain_of_any_depth_is_rolled_up(make):
+    accounts = make("account_id int, parent_account_id int", *[(i, i - 1 or None) for i in range(1, 120)])
+    tb = make("account_id int, net decimal(38,4)", (119, D(100)))
+    rows = {r.account_id: (r.subtree_net, r.depth, r.issue) for r in closing.account_rollup(tb, accounts).collect()}
+    assert all(rows[i] == (D(100), i - 1, None) for i in range(1, 120))
+
+
+def test_a_timestamp_falls_into_its_day_and_only_open_periods_post(make):
+    periods = make("period_id int, start_date date, end_date date, status string",
+                   (1, datetime.date(2024, 1, 1), datetime.date(2024, 1, 31), "open"),
+                   (2, datetime.date(2024, 2, 1), datetime.date(2024, 2, 29), "draft"))
+    entries = make("entry_id int, entry_date timestamp, status string, is_adjusting boolean, adjusting_reason string",
+                   (1, datetime.datetime(2024, 1, 31, 10), "draft", False, None), (2, datetime.datetime(2024, 2, 1), "draft", False, None))
+    lines = make("entry_id int, debit decimal(18,4), credit decimal(18,4)", *[(e, d, c) for e in (1, 2) for d, c in ((D(1), D(0)), (D(0), D(1)))])
+    assert got(ledger.classify_posting(entries, lines, periods)) == [(1, "post", None), (2, "reject", "period_not_open")]
+
+
 def test_dimension_checks(make):
     lines = make("id int, site int, unit int", (1, 1, 1), (2, None, 9), (3, 1, 2))
     site = make("site int, name string", (1, "north"))

@@ -57,7 +57,9 @@ def test_lossless_check(make):
 def test_calendar_profile(make):
     periods = make("calendar string, fiscal_year int, period_no int, is_closing boolean", ("M", 2024, 1, False), ("M", 2024, 13, True))
     journal = make("calendar string, fiscal_year int, period_no int", ("M", 2024, 1), ("M", 2024, 0), ("M", 2023, 1), ("X", 2024, 1))
-    assert got(migrate.fiscal_calendar_profile(periods, journal)) == [("M", 1, 1, 1, 1, 2), ("X", 0, 0, None, 0, 1)]
+    assert got(migrate.fiscal_calendar_profile(periods, journal)) == [
+        ("M", 1, 1, 1, 1, 1, 1, 2, 2), ("X", 0, 0, 0, 0, None, 0, 1, 1),
+    ]
 
 
 def test_party_master(make):

@@ -33,10 +33,10 @@ def test_profile_covers_every_kind_of_column(make):
     assert not any(row["is_estimate"] for row in rows.values())
 
 
-def test_large_tables_are_estimated_and_small_ones_counted(spark):
+def test_exact_unless_estimates_are_asked_for(spark):
     df = spark.range(300)
-    assert one(profile.profile_table(df, sample_over=299))["is_estimate"] is True
-    assert one(profile.profile_table(df, sample_over=300)) == {
+    assert one(profile.profile_table(df, exact=False))["is_estimate"] is True
+    assert one(profile.profile_table(df)) == {
         "column": "id", "type": "bigint", "rows_profiled": 300, "nulls": 0, "null_pct": 0.0, "distinct": 300,
         "is_estimate": False, "sample_value": "0",
     }
@@ -52,7 +52,8 @@ def test_null_share_of_a_sample_is_relative_to_the_sample(spark):
 def test_long_texts_differ_beyond_any_prefix(make):
     df = make("t string", ("a" * 5000 + "x",), ("a" * 5000 + "y",), ("a" * 5000 + "y",))
     row = one(profile.profile_table(df))
-    assert row["distinct"] == 2 and len(row["sample_value"]) == 80
+    assert row["distinct"] == 2 and len(row["sample_value"]) == 5001
+    assert len(one(profile.profile_table(df, text_width=80))["sample_value"]) == 80
 
 
 def test_one_row_has_no_deviation(make):
@@ -81,18 +82,20 @@ def test_grouped_concat_and_segments(make):
     assert [tuple(row) for row in profile.segment_counts(df, "k").collect()] == [(1, 2), (2, 1)]
 
 
-def test_sample_rows_caps_and_rejects(spark):
+def test_sample_rows_gives_what_is_asked_for(spark):
     df = spark.range(500).selectExpr("id", "CAST('x' AS BINARY) AS raw")
     assert [row.id for row in source.sample_rows(df, ["id"], 3, "id >= 10").collect()] == [10, 11, 12]
-    assert source.sample_rows(df, ["id"], 400).count() == 100
+    assert source.sample_rows(df, ["id"], 400).count() == 400
     assert source.sample_rows(df, ["id"]).columns == ["id"]
     with pytest.raises(ValueError):
         source.sample_rows(df, ["id"], -1)
 
 
-@pytest.mark.parametrize("cap, rows", [(0, 1), (-5, 1), (7, 7), (20_000, 10_000)])
-def test_query_cap_is_clamped(spark, cap, rows):
-    assert source.query(spark, "SELECT id FROM range(12000)", cap).count() == rows
+def test_query_cap_is_taken_as_given(spark):
+    assert source.query(spark, "SELECT id FROM range(12000)", 11_000).count() == 11_000
+    for cap in (0, -5):
+        with pytest.raises(ValueError):
+            source.query(spark, "SELECT 1", cap)
 
 
 def test_query_cap_is_outermost(spark):

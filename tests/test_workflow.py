@@ -115,6 +115,7 @@ def by_hand(events, rows):
     """The same rules, one event after the other."""
     moves = {(r.from_state, r.event_type): (r.to_state, r.guard_event) for r in rows}
     guards = {r.guard_event for r in rows if r.guard_event}
+    states = set(workflow.known_states([(r.from_state, r.event_type, r.to_state, r.guard_event) for r in rows]))
     names = [field.split()[0] for field in EVENTS.split(", ")]
     current, seen, out = {}, {}, []
     for values in sorted(events, key=lambda e: (e[1], e[2])):
@@ -125,7 +126,7 @@ def by_hand(events, rows):
             first = seen[once]
             result = (*first[:3], "duplicate", first[4])
         else:
-            current[e["instance_id"]], result = decide(state, e, moves, guards)
+            current[e["instance_id"]], result = decide(state, e, moves, guards, states)
             seen[once] = result
         out.append((e["instance_id"], e["seq"], *result))
     return sorted(out, key=repr)
@@ -210,6 +211,37 @@ def test_pages_follow_each_other(make):
     assert [r.id for r in first + second] == [1, 3, 5, 7, 9, 11, 13, 15]
 
 
+def test_a_page_goes_on_after_a_missing_value(make):
+    rm = make("id int, at int", (1, None), (2, None), (3, 5), (4, 6))
+    first = projections.read_model_page(rm, None, ["at", "id"], 1).collect()
+    rest = projections.read_model_page(rm, None, ["at", "id"], 9, after=(first[-1]["at"], first[-1]["id"])).collect()
+    assert [r.id for r in first + rest] == [1, 2, 3, 4]
+
+
+def test_redelivered_events_count_once(make, transitions):
+    events = [event(1, 1, "OverrideTransition", target="Scheduled", reason="r"), event(1, 2, "WorkStarted")]
+    rows = workflow.replay(make(EVENTS, *events, *events, events[0]), transitions)
+    assert got(rows.select("seq", "outcome", "version")) == [
+        (1, "applied", 1), (1, "duplicate", 1), (1, "duplicate", 1), (2, "applied", 2), (2, "duplicate", 2),
+    ]
+    rules = make("workflow_name string, event_type string, role string, current_state string, override_flag boolean", (None,) * 5)
+    assert workflow.override_audit(rows, rules).count() == 3
+    assert len(got(workflow.transition_history(rows))) == 2
+
+
+def test_only_states_of_the_definition_are_entered(make, transitions):
+    for reason, outcome in (("why", "unknown_target"), (" \t\n", "reason_missing")):
+        assert run(make, transitions, event(1, 1, "OverrideTransition", target="Nowhere", reason=reason)) == [
+            (1, outcome, "DraftScope", 0)]
+
+
+def test_roles_claimed_are_held(make, transitions):
+    log = workflow.replay(make(EVENTS, event(1, 1, "ScopeDefined"), event(1, 2, "QuoteIssued", role="boss"), event(1, 3, "Closed", role="clerk")), transitions)
+    held = make("actor_id long, role string", (1, "planner"), (1, "clerk"))
+    units = make("role string, business_unit_id int", ("planner", 1), ("boss", 1), ("clerk", None))
+    assert got(workflow.role_audit(log, held, units).select("seq", "issue")) == [(2, "role_not_held"), (3, "role_without_unit")]
+
+
 def test_attachments(make):
     docs = make("id int, filename string, entity_type string, entity_id int, uploaded_at int", (1, "a", "job", 7, 5), (2, "b", "job", 7, 5), (3, "c", "x", 8, 1))
     assert got(projections.attachments(make("entity_id int", (7,), (8,)), docs, "job").select("entity_id", "documents", "latest_id")) == [
