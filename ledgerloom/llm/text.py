@@ -104,7 +104,7 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         return out
     longest = int(sizes.max())
     if longest > len(_POWERS):
-        _POWERS = np.multiply.accumulate(np.concatenate(([1], np.full(2 * longest, _STEP))).astype(np.uint64))
+        _POWERS = np.multiply.accumulate(np.concatenate((_POWERS[:1], np.full(2 * longest, _STEP, np.uint64))))
     done, total = 0, np.cumsum(sizes)
     while done < len(starts):
         base = total[done - 1] if done else 0
