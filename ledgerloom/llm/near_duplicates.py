@@ -268,7 +268,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     shared_dir(prepare(docs.sparkSession))
     found = _sketched(docs, id, text).checkpoint()
     nodes = found.groupBy("text1", "text2").agg(
-        F.min(F.struct("id", "row1", "row2")).alias("first"), F.first("words").alias("words"),
+        F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "row1", "row2")).alias("first"), F.first("words").alias("words"),
         F.first("sketches").alias("sketches")).checkpoint().withColumn("node", F.monotonically_increasing_id())
     pairs = _candidates(nodes).checkpoint()
     wanted = pairs.select("node").union(pairs.select("lead")).distinct().join(
