@@ -59,6 +59,19 @@ def is_float(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 
 
+def comparable_text(field: T.StructField) -> Column:
+    """As `groupable_text`, but equal also for equal numbers, and equal times, of different types."""
+    column = F.col(f"`{field.name}`")
+    if is_float(field.dataType):
+        whole = (F.abs(column) < 1e18) & (column == F.floor(column))
+        return F.when(whole, column.cast("decimal(38,0)").cast("string")).otherwise((column + F.lit(0.0)).cast("double").cast("string"))
+    if isinstance(field.dataType, T.DecimalType) and field.dataType.scale > 0:
+        return F.regexp_replace(column.cast("string"), r"\.?0+$", "")
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp")).cast("string")
+    return groupable_text(field)
+
+
 def groupable_text(field: T.StructField) -> Column:
     """Text that is equal exactly when the values are, for counting distinct values.
 

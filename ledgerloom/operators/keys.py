@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.columns import NESTED, all_of, any_null, groupable_text, pct
+from ledgerloom.functions.columns import NESTED, NUMERIC, all_of, any_null, comparable_text, pct
 from ledgerloom.session import shared_dir
 
 
@@ -146,14 +146,14 @@ def check_relationships(
 
 
 def _value_kind(data_type: T.DataType) -> str | None:
-    """Columns are compared inside one kind of value."""
+    """Columns are compared inside one kind of value: all numbers, all dates and times, all texts."""
     if isinstance(data_type, (*NESTED, T.BinaryType, T.BooleanType)):
         return None
-    if isinstance(data_type, T.IntegralType):
-        return "integer"
-    if isinstance(data_type, (T.StringType, T.DateType)):
-        return data_type.typeName()
-    return data_type.simpleString()
+    if isinstance(data_type, NUMERIC):
+        return "number"
+    if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return "time"
+    return "string" if isinstance(data_type, T.StringType) else data_type.simpleString()
 
 
 def discover_inclusions(
@@ -187,7 +187,7 @@ def discover_inclusions(
         if own:
             cells.append(
                 df.select(F.inline(F.array(*[
-                    F.struct(F.lit(kind).alias("kind"), groupable_text(field).alias("value"), *bits(number))
+                    F.struct(F.lit(kind).alias("kind"), comparable_text(field).alias("value"), *bits(number))
                     for number, field, kind in own
                 ]))).filter(F.col("value").isNotNull())
             )

@@ -31,21 +31,23 @@ def journal_query(
     return entries.filter(all_of(wanted)).join(kept, "entry_id")
 
 
-def balance_check(entries: DataFrame, lines: DataFrame) -> DataFrame:
-    """Debits, credits and their difference per entry; an entry needs lines to balance."""
+def _with_sums(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """Entries with debits, credits, their difference and number of lines, and whether they balance."""
     sums = lines.groupBy("entry_id").agg(
         total("debit").alias("debit"), total("credit").alias("credit"), F.count(F.lit(1)).alias("line_count")
     )
-    checked = entries.select("entry_id").join(sums, "entry_id", "left").select(
-        "entry_id",
-        F.coalesce("debit", zero()).alias("debit"),
-        F.coalesce("credit", zero()).alias("credit"),
-        F.coalesce("line_count", F.lit(0)).alias("line_count"),
-    )
+    checked = entries.join(sums, "entry_id", "left").withColumns({
+        "debit": F.coalesce("debit", zero()), "credit": F.coalesce("credit", zero()),
+        "line_count": F.coalesce("line_count", F.lit(0)),
+    })
     diff = (F.col("debit") - F.col("credit")).cast(MONEY_TOTAL)
-    return checked.select(
-        "entry_id", "debit", "credit", diff.alias("diff"), "line_count",
-        ((F.col("line_count") > 0) & (diff == 0)).alias("balanced"),
+    return checked.withColumn("diff", diff).withColumn("balanced", (F.col("line_count") > 0) & (F.col("diff") == 0))
+
+
+def balance_check(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """Debits, credits and their difference per entry; an entry needs lines to balance."""
+    return _with_sums(entries.select("entry_id"), lines).select(
+        "entry_id", "debit", "credit", "diff", "line_count", "balanced"
     )
 
 
@@ -105,7 +107,7 @@ def classify_posting(entries: DataFrame, lines: DataFrame, periods: DataFrame) -
     dated = assign_period(entries, periods, extra=("status",)) if "status" not in entries.columns else assign_period(
         entries.withColumnRenamed("status", "entry_status"), periods, extra=("status",)
     )
-    checked = dated.join(balance_check(entries, lines).select("entry_id", "line_count", "balanced"), "entry_id")
+    checked = _with_sums(dated, lines)
     period = F.col("status")
     reason = (
         F.when(F.col("entry_status") == "posted", "already_posted")

@@ -275,6 +275,21 @@ register("r4_discover_inclusions", _inclusion_sql(_INCLUDED, 0.5))(
     lambda t: keys.discover_inclusions({name: t[name] for name in _INCLUDED}, 0.5, columns=_INCLUDED)
 )
 
+_MIXED_SQL = """WITH cells AS (
+      SELECT 'line.l_orderkey' AS col, CAST(l_orderkey AS VARCHAR) AS value FROM lineitem
+      UNION ALL SELECT 'ord.o_orderkey', CAST(o_orderkey AS VARCHAR) FROM orders
+      UNION ALL SELECT 'ord.o_orderdate', concat('t', epoch_us(o_orderdate)) FROM orders
+      UNION ALL SELECT 'day.d', concat('t', epoch_us(d)) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
+      UNION ALL SELECT 'day.n', CAST(CAST(epoch_us(d) / 86400000000 AS BIGINT) AS VARCHAR) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)),"""
+register("r4_inclusions_of_mixed_types", _inclusion_sql({}, 0.01).replace("WITH cells AS (),", _MIXED_SQL))(
+    # Integers against decimals and doubles, dates against timestamps.
+    lambda t: keys.discover_inclusions({
+        "line": t["lineitem"].select(F.col("l_orderkey").cast("int")),
+        "ord": t["orders"].select(F.col("o_orderkey").cast("decimal(14,2)"), "o_orderdate"),
+        "day": t["orders"].select(F.col("o_orderdate").cast("date").alias("d")).distinct().withColumn("n", F.unix_date("d").cast("double")),
+    }, 0.01)
+)
+
 _KEYS = [
     ForeignKey("line_order", "lineitem", "orders", (("l_orderkey", "o_orderkey"),)),
     ForeignKey("order_customer", "orders", "customer", (("o_custkey", "c_custkey"),)),
