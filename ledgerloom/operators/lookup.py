@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import all_of
+from ledgerloom.functions.skew import join_hot
 
 # Fixed value: rows of a search.
 SEARCH_LIMIT = 25
@@ -37,15 +38,24 @@ def _prefix_length(left: Column, right: Column) -> Column:
     return F.when(shorter == 0, 0).otherwise(F.coalesce(F.get(differs, F.lit(0)) - 1, shorter)).cast("int")
 
 
-def _pieces(text: Column) -> Column:
-    """All different substrings of a text, the empty one included."""
+def _lengths(texts: DataFrame, name: str) -> list[int]:
+    """The different lengths of some texts, at most as many as the longest has characters."""
+    return sorted(row[0] for row in texts.select(F.length(name)).distinct().collect())
+
+
+def _cut(text: Column, n: int):
+    return lambda i: F.substring(text, i, F.lit(n))
+
+
+def _pieces(text: Column, lengths: list[int]) -> Column:
+    """All different substrings of a text that have one of these lengths."""
     size = F.length(text)
-    starts = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array())
-    cut = F.transform(
-        starts,
-        lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(text, i, n)),
-    )
-    return F.array_union(F.array(F.lit("")), F.flatten(cut))
+    cut = [
+        F.when(size >= n, F.transform(F.sequence(F.lit(1), size - (n - 1)), _cut(text, n)))
+        .otherwise(F.array().cast("array<string>")) if n else F.array(F.lit(""))
+        for n in lengths
+    ]
+    return F.array_distinct(F.concat(F.array().cast("array<string>"), *cut))
 
 
 def suggest_matches(unmatched: DataFrame, reference: DataFrame, k: int = 5) -> DataFrame:
@@ -59,7 +69,7 @@ def suggest_matches(unmatched: DataFrame, reference: DataFrame, k: int = 5) -> D
     contained in it, or shares a prefix, and each of these is an equality join on a
     piece of text. The reference side of each join keeps the best ``k`` names per piece
     first. That loses nothing: a name left out of its piece is beaten there by ``k``
-    names that also beat it in the final order.
+    names that also beat it in the final order. Pieces are cut only in lengths that the other side has.
     """
     codes = unmatched.select("code").distinct().withColumn("q", F.lower("code"))
     names = reference.select(F.col("name").alias("candidate")).distinct().withColumn("n", F.lower("candidate"))
@@ -80,18 +90,19 @@ def suggest_matches(unmatched: DataFrame, reference: DataFrame, k: int = 5) -> D
         names.select("candidate", "n", F.explode(heads(F.col("n"))).alias("piece")).join(wanted_heads, "piece", "left_semi")
     )
     # Names that contain the code: the best k by shared prefix, then name.
-    holding = names.select("candidate", "n", F.explode(_pieces(F.col("n"))).alias("piece")).join(
+    holding = names.select("candidate", "n", F.explode(_pieces(F.col("n"), _lengths(codes, "q"))).alias("piece")).join(
         code_pieces, F.col("piece") == F.col("q"), "left_semi"
     )
     by_holding = best(holding, F.desc(_prefix_length(F.col("piece"), F.col("n"))))
     # Names contained in the code; several spellings of one piece are ranked by name.
     inside = best(names.select("candidate", "n", F.col("n").alias("piece")))
-    code_cuts = codes.select("code", "q", F.explode(_pieces(F.col("q"))).alias("piece"))
+    code_cuts = codes.select("code", "q", F.explode(_pieces(F.col("q"), _lengths(names, "n"))).alias("piece"))
 
+    # Almost all codes may share a piece: these joins can be split.
     pairs = (
-        code_heads.join(by_prefix, "piece")
-        .unionByName(codes.withColumn("piece", F.col("q")).join(by_holding, "piece"))
-        .unionByName(code_cuts.join(inside, "piece"))
+        join_hot(code_heads, by_prefix, ["piece"], "inner")
+        .unionByName(join_hot(codes.withColumn("piece", F.col("q")), by_holding, ["piece"], "inner"))
+        .unionByName(join_hot(code_cuts, inside, ["piece"], "inner"))
         .select("code", "q", "candidate", "n").distinct()
     )
     bonus = F.when(F.contains("n", F.col("q")) | F.contains("q", F.col("n")), 2).otherwise(0)

@@ -385,20 +385,35 @@ register("t1_search_customers", _SEARCH.format(table="customer", c="c_name", q="
     lambda t: lookup.ranked_search(t["customer"], "c_name", "99", ["c_custkey"])
 )
 
-register("t2_suggest_matches", """WITH pairs AS (
-      SELECT code, candidate, lower(code) AS q, lower(candidate) AS n
-      FROM (SELECT DISTINCT trim(name) AS code FROM party_source WHERE kind = 'vendor') a
-      CROSS JOIN (SELECT DISTINCT name AS candidate FROM party_source WHERE kind = 'customer') b),
+def _suggested_sql(codes: str, names: str) -> str:
+    return f"""WITH pairs AS (
+      SELECT code, candidate, lower(code) AS q, lower(candidate) AS n FROM ({codes}) a CROSS JOIN ({names}) b),
     scored AS (SELECT code, candidate,
       CAST(len(list_filter(range(1, least(length(q), length(n)) + 1), lambda i: left(q, i) = left(n, i)))
            + CASE WHEN contains(n, q) OR contains(q, n) THEN 2 ELSE 0 END AS INT) AS score FROM pairs),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY score DESC, candidate) AS r FROM scored WHERE score > 0)
-    SELECT code, candidate, score FROM ranked WHERE r <= 5""")(
+    SELECT code, candidate, score FROM ranked WHERE r <= 5"""
+
+
+register("t2_suggest_matches", _suggested_sql(
+    "SELECT DISTINCT trim(name) AS code FROM party_source WHERE kind = 'vendor'",
+    "SELECT DISTINCT name AS candidate FROM party_source WHERE kind = 'customer'",
+))(
     lambda t: lookup.suggest_matches(
         t["party_source"].filter("kind = 'vendor'").selectExpr("trim(name) AS code"),
         t["party_source"].filter("kind = 'customer'").select("name"),
     )
 )
+register("t2_suggest_customers", _suggested_sql(
+    "SELECT concat('customer#', lpad(CAST(s_suppkey * 13 AS VARCHAR), 9, '0')) AS code FROM supplier UNION SELECT substr(p_name, 1, 4) FROM part",
+    "SELECT c_name AS candidate FROM customer UNION SELECT p_name FROM part",
+))(
+    lambda t: lookup.suggest_matches(
+        t["supplier"].selectExpr("concat('customer#', lpad(CAST(s_suppkey * 13 AS STRING), 9, '0')) AS code").union(
+            t["part"].selectExpr("substr(p_name, 1, 4)")),
+        t["customer"].selectExpr("c_name AS name").union(t["part"].select("p_name")),
+    )
+)
 
 register("t3_token_search", """WITH words AS (
       SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents),

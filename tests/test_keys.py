@@ -112,8 +112,9 @@ def test_path_limits(make):
     node = make("node string", ("a",))
     assert got(keys.bounded_paths(df, node, node, 0)) == [("a", "a", 0, ["a"])]
     assert got(keys.bounded_paths(df, node, make("node string", ("z",)), 3)) == []
+    assert got(keys.bounded_paths(df, node, make("node string", ("b",)), 7)) == [("a", "b", 1, ["a", "b"])]
     with pytest.raises(ValueError):
-        keys.bounded_paths(df, node, node, 7)
+        keys.bounded_paths(df, node, node, -1)
 
 
 def test_search_ranks_and_takes_the_query_literally(make):
