@@ -5,9 +5,9 @@ before it within the word; the word has blanks in front. An n-gram is packed int
 counts are exact. Tasks count in numpy and send each n-gram once; Spark sums, derives
 the continuation counts and joins each n-gram with the totals of its context.
 
-For scoring, probabilities and backoff weights go into hash tables of a fixed number of slots,
-built shard by shard. Their size is a constant, whatever the corpus: a broadcast of them is
-bounded. Where n-grams meet in a slot, the most frequent one stays and the others back off.
+For scoring, probabilities and backoff weights go into hash tables, built shard by shard. A table has
+sixteen times as many slots as entries, up to a fixed number whatever the corpus: a broadcast of the
+tables is bounded. Where n-grams meet in a slot, the most frequent one stays and the others back off.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from ledgerloom.llm.text import WHITE, chunks, hashes, spans, text_bytes
 ORDER = 5
 BLANK, AGAIN = 0x20, 0x01
 
-# Slots of a table by the length of its keys in bytes: primes, so that keys spread by remainder.
-SLOTS = [257, 257, 65_537, 1_048_573, 2_097_143, 2_097_143]
+# Slots a table may have: primes, so that keys spread by remainder. Each takes four bytes.
+SLOTS = [257, 4_099, 65_537, 262_147, 1_048_573, 2_097_143]
 MARKS = 65_521
 SHARD = 1 << 15
 
@@ -174,19 +174,27 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         (F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")).alias("value"), F.col("n").alias("weight"))
     back = contexts.select(
         "class", F.lit(True).alias("back"), "size", F.col("context").alias("key"),
-        ((F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total"))
-        .alias("value"), F.col("total").alias("weight"))
+        # Never nothing, as an unseen byte would then be impossible.
+        F.greatest((F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total"),
+                   F.lit(1e-4)).alias("value"), F.col("total").alias("weight"))
     return seen.unionByName(back)
 
 
 Table = tuple[int, np.ndarray, np.ndarray]
 
 
-def _shards(entries: DataFrame) -> DataFrame:
+def _slots(entries: DataFrame) -> dict[tuple[int, bool, int], int]:
+    """Slots of each table (class, back, size)."""
+    counted = entries.groupBy("class", "back", "size").count().collect()  # a row for each table
+    return {(r["class"], r["back"], r["size"]): next((s for s in SLOTS if s >= 16 * r["count"]), SLOTS[-1]) for r in counted}
+
+
+def _shards(entries: DataFrame, sizes: dict[tuple[int, bool, int], int]) -> DataFrame:
     """Dense shards (class, back, size, shard, marks, numbers) of the slots of each table."""
-    length = F.col("size") - F.col("back").cast("int")
-    slots = F.element_at(F.array(*[F.lit(s).cast("long") for s in SLOTS]), length + 1)
-    placed = entries.withColumn("slots", slots).select(
+    number = lambda kind, back, size: (kind * 2 + back) * (ORDER + 1) + size
+    slots = F.create_map(*[F.lit(x) for key, s in sizes.items() for x in (number(*key), s)])
+    which = number(F.col("class"), F.col("back").cast("int"), F.col("size"))
+    placed = entries.withColumn("slots", F.element_at(slots, which).cast("long")).select(
         "class", "back", "size", F.pmod("key", F.col("slots")).alias("slot"),
         (F.pmod(F.expr("key div slots"), F.lit(MARKS)) + 1).cast("int").alias("mark"),
         F.col("value").cast("float").alias("value"), "weight", "key")
@@ -196,7 +204,7 @@ def _shards(entries: DataFrame) -> DataFrame:
                         F.pmod("slot", F.lit(SHARD)).cast("int").alias("slot"), "best.*")
 
     def dense(rows: pd.DataFrame) -> pd.DataFrame:
-        marks, numbers = np.zeros(SHARD, np.uint16), np.zeros(SHARD, np.float32)
+        marks, numbers = np.zeros(SHARD, np.uint16), np.zeros(SHARD, np.float16)
         marks[rows["slot"]], numbers[rows["slot"]] = rows["mark"], rows["value"]
         head = rows.iloc[0]
         return pd.DataFrame({"class": [head["class"]], "back": [head["back"]], "size": [head["size"]],
@@ -207,16 +215,17 @@ def _shards(entries: DataFrame) -> DataFrame:
 
 
 def tables(entries: DataFrame) -> dict[tuple[int, bool, int], Table]:
-    """All tables on the driver: at most the sum of SLOTS, six bytes each, for every class."""
+    """All tables on the driver: for each class at most 2 * ORDER of them with the largest number of SLOTS."""
     out: dict[tuple[int, bool, int], Table] = {}
-    for row in _shards(entries).toLocalIterator():
-        size = SLOTS[row["size"] - row["back"]]
+    if not (sizes := _slots(entries)):
+        return out
+    for row in _shards(entries, sizes).toLocalIterator():
         if (key := (row["class"], row["back"], row["size"])) not in out:
-            room = -(-size // SHARD) * SHARD
-            out[key] = size, np.zeros(room, np.uint16), np.zeros(room, np.float32)
+            room = -(-sizes[key] // SHARD) * SHARD
+            out[key] = sizes[key], np.zeros(room, np.uint16), np.zeros(room, np.float16)
         at = row["shard"] * SHARD
         out[key][1][at:at + SHARD] = np.frombuffer(row["marks"], np.uint16)
-        out[key][2][at:at + SHARD] = np.frombuffer(row["numbers"], np.float32)
+        out[key][2][at:at + SHARD] = np.frombuffer(row["numbers"], np.float16)
     return out
 
 
@@ -227,7 +236,7 @@ def _looked_up(table: Table | None, keys: np.ndarray, missing: float) -> np.ndar
     quotient, slot = np.divmod(keys, np.uint64(size))
     slot = slot.astype(np.int64)
     hit = marks[slot] == (quotient % np.uint64(MARKS) + np.uint64(1)).astype(np.uint16)
-    return np.where(hit, numbers[slot], np.float32(missing))
+    return np.where(hit, numbers[slot].astype(np.float32), np.float32(missing))
 
 
 def probabilities(model: dict, kind: int, grams: np.ndarray, sizes: range, lower: np.ndarray | None = None) -> np.ndarray:
