@@ -33,6 +33,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Bound the bytes of a batch that goes to Python, as texts may be very long, and let workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    # The driver keeps the text of every plan that ran; some hold filters and long expressions.
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000")
     paths = spark.sparkContext.environment
     if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
         paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), ROOT]))
