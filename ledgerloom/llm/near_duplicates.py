@@ -4,9 +4,10 @@ A text is the sequence of its words in lower case. Of the runs of K words, label
 occurrence in the text, each sketch takes the PICKED with the smallest hashes and keeps them in the
 order of the text. Texts with an equal sketch are candidates: texts that share many runs in the
 same order, as those do that differ by few edits. In each group of candidates all are
-aligned with one leader, and once more with a leader of those with the same second sketch,
-so that pairs grow with the texts and not with the square of a group. Texts whose
-alignment has few enough edits are linked, and linked texts form a class.
+aligned with one leader of about their length, so that pairs grow with the texts and not with the
+square of a group. Those unlike their leader are sketched again by the runs that the leader has
+not, and so on until none is left: a passage that many texts share does not hide what else they
+share. Texts whose alignment has few enough edits are linked, and linked texts form a class.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from ledgerloom.session import shared_dir
 K, PICKED, SKETCHES = 5, 2, 24
 # Of the longer text's words at most this share may be inserted, deleted or replaced.
 MOST_EDITS = 0.2
+# Groups of so few texts are compared pair by pair; in each round for texts unlike their leaders, four times as many.
+FEW = 4
+# A text of which less than this share is not in its unlike leader is sketched whole once more.
+LEFT = 0.25
 
 _SEEDS = np.random.default_rng(6).integers(1, 2**63, SKETCHES, dtype=np.uint64)
 _ROLL = np.uint64(0xD6E8FEB86659FD93)
@@ -52,14 +57,12 @@ def _occurrences(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sketches of each text (rows by SKETCHES), two hashes of its word sequence, and its number of words.
+def _runs(words: np.ndarray, row: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labelled runs of K words in the order of the texts, their rows, and the number of words of each text.
 
-    A text of fewer than K words is one run; one without words has no run and zero sketches.
+    A text of fewer than K words is one run; one without words has none.
     """
-    words, row, texts = word_hashes(column)
     count = np.bincount(row, minlength=texts)
-    # Runs of K words, or the whole text if it is shorter.
     size = np.minimum(count, K)
     first = np.arange(len(words)) - (np.cumsum(count) - count)[row]
     begins = np.flatnonzero(first <= (count - size)[row])
@@ -69,32 +72,47 @@ def sketches(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         key[more] = key[more] * _ROLL + words[begins[more] + k]
     owner = row[begins]
     label = _occurrences(mixed(key) ^ mixed(owner.astype(np.uint64) + np.uint64(1)))
-    key = mixed(key + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(key + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owner, count
+
+
+def _sketch(key: np.ndarray, owner: np.ndarray, texts: int, salt: int = 0) -> np.ndarray:
+    """Sketches (rows by SKETCHES) of the runs of each text, zero for a text without runs."""
     out = np.zeros((texts, SKETCHES), np.uint64)
+    if not len(key):
+        return out
+    heads = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    have = owner[heads]
+    each = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(owner))))
+    place = np.arange(len(key))
+    seeds = mixed(_SEEDS + np.uint64(salt)) if salt else _SEEDS
+    for s in range(SKETCHES):
+        ranks = mixed(key ^ seeds[s])
+        picked = []
+        for _ in range(PICKED):
+            least = np.minimum.reduceat(ranks, heads)
+            found = np.flatnonzero(ranks == least[each])  # a run more than once only if all are picked
+            at = found[np.concatenate(([True], each[found][1:] != each[found][:-1]))]
+            picked.append(at)
+            ranks[at] = np.uint64(2**64 - 1)
+        value = np.full(len(heads), s + 1, np.uint64)
+        for at in np.sort(np.stack(picked), axis=0):
+            value = mixed(value * _ROLL + key[at])
+        out[have, s] = value
+    return out
+
+
+def sketches(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sketches of each text (rows by SKETCHES), two hashes of its word sequence, and its number of words."""
+    words, row, texts = word_hashes(column)
+    key, owner, count = _runs(words, row, texts)
+    first = np.arange(len(words)) - (np.cumsum(count) - count)[row]
     sums = np.zeros((texts, 2), np.uint64)
-    if len(begins):
-        heads = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-        have = owner[heads]
-        each = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(owner))))
-        place = np.arange(len(key))
-        for s in range(SKETCHES):
-            ranks = mixed(key ^ _SEEDS[s])
-            picked = []
-            for _ in range(PICKED):
-                least = np.minimum.reduceat(ranks, heads)
-                at = np.minimum.reduceat(np.where(ranks == least[each], place, len(key)), heads)
-                picked.append(at)
-                ranks[at] = np.uint64(2**64 - 1)
-            value = np.full(len(heads), s + 1, np.uint64)
-            for at in np.sort(np.stack(picked), axis=0):
-                value = mixed(value * _ROLL + key[at])
-            out[have, s] = value
     if len(words):
         heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
         for i in (0, 1):
             placed = mixed(words ^ mixed(first.astype(np.uint64) * np.uint64(2) + np.uint64(i + 1)))
             sums[row[heads], i] = np.add.reduceat(placed, heads)
-    return out, sums[:, 0], sums[:, 1], count
+    return _sketch(key, owner, texts), sums[:, 0], sums[:, 1], count
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
@@ -206,37 +224,117 @@ def row_keys(id: str, text: str) -> list:
             F.xxhash64(F.col(f"`{id}`"), F.lit(1), content).alias("row2")]
 
 
-def _candidates(texts: DataFrame) -> DataFrame:
-    """Distinct pairs (node, lead) of texts that share a sketch, of lengths that few enough edits can bridge."""
-    several = F.col("sketches")
-    keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), lambda i: F.array(
-        F.get(several, i), F.xxhash64(F.get(several, i), F.get(several, (i + 1) % SKETCHES)))))
-    rows = texts.filter("words > 0").select("node", "words", F.explode(keys).alias("key"))
-    leads = rows.groupBy("key").agg(F.min(F.struct("node", "words")).alias("lead"), F.count("*").alias("n")).filter(
-        "n > 1").select("key", "lead")
-    near = F.least("words", "lead.words") >= F.greatest("words", "lead.words") * (1 - MOST_EDITS) - 1e-9
-    return join_hot(rows, leads, ["key"], "inner").filter((F.col("node") != F.col("lead.node")) & near).select(
-        "node", F.col("lead.node").alias("lead")).distinct()
+def _led(rows: DataFrame) -> DataFrame:
+    """The rows of keys that several have, with the least node of the key, its rows (n) and its lengths (low, high)."""
+    leads = rows.groupBy("key").agg(
+        F.min("node").alias("lead"), F.count("*").alias("n"), F.min("words").alias("low"), F.max("words").alias("high")).filter("n > 1")
+    return join_hot(rows, leads, ["key"], "inner")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (node, lead) whose texts, from ``texts`` (node, text), align with few enough edits."""
+def _near(one: str, other: str):
+    """Can few enough edits bridge the two lengths."""
+    return F.least(one, other) >= F.greatest(one, other) * (1 - MOST_EDITS) - 1e-9
+
+
+def _candidates(texts: DataFrame, few: int = 2) -> DataFrame:
+    """Distinct pairs (node, lead, part) to align, of texts that share a sketch.
+
+    Up to ``few`` texts of a sketch are paired with each other, and ``part`` is null. In a larger group all are
+    paired with one leader of their band of lengths; ``part`` tells what to compare further if that fails.
+    """
+    part = F.col("part") if "part" in texts.columns else F.lit(0).cast("long").alias("part")
+    rows = texts.filter("words > 0").select("node", "words", part, F.explode("sketches").alias("key"))
+    if "part" in texts.columns:
+        rows = rows.groupBy("node", "words", "key").agg(F.min("part").alias("part"))
+    groups = _led(rows)
+    alike = _near("low", "high")
+    # Two texts that few enough edits bridge are in one of the two bands, a step of the allowed ratio each.
+    band = F.floor(F.log("words") / float(-np.log(1 - MOST_EDITS)))
+    banded = _led(groups.filter(~alike & (F.col("n") > few)).select(
+        "node", "words", "part", F.explode(F.array(*[F.xxhash64("key", band + i) for i in (0, 1)])).alias("key")))
+    nothing = F.lit(None).cast("long").alias("part")
+    one = groups.filter(alike & (F.col("n") > few)).unionByName(banded).filter("node != lead")
+    pairs = one.filter("n > 2").select("node", "lead", "part").unionByName(
+        one.filter((F.col("n") == 2) & alike).select("node", "lead", nothing))
+    if few == 2:
+        all_of_few = groups.filter((F.col("n") == 2) & alike & (F.col("node") != F.col("lead"))).select("node", "lead", nothing)
+    else:
+        listed = groups.filter(F.col("n") <= few).groupBy("key").agg(F.collect_list(F.struct("node", "words")).alias("all"))
+        all_of_few = listed.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b")).filter(
+            (F.col("a.node") > F.col("b.node")) & _near("a.words", "b.words")).select(
+            F.col("a.node").alias("node"), F.col("b.node").alias("lead"), nothing)
+    return pairs.unionByName(all_of_few).distinct()
+
+
+JUDGED = "node long, lead long, linked boolean, words long, rest binary, sketches array<long>"
+
+
+def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: int) -> DataFrame:
+    """Pairs (node, lead) whose texts align with few enough edits, and what to compare further of the others.
+
+    ``texts`` has (node, text), ``rests`` (part, rest) a bit for each run of a text that counts, all without it. If an
+    alignment with a leader fails, ``rest`` marks those of these runs that the leader has not, and
+    ``sketches`` are theirs. They differ between unlike texts that share a long passage with the leader.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for some in chunks(batch, "text", 1 << 20):
                 sides = []
                 for name in ("text", "other"):
-                    words, row, count = word_hashes(part.column(name))
+                    words, row, count = word_hashes(some.column(name))
                     borders = np.searchsorted(row, np.arange(count + 1))
                     sides.append([words[x:y] for x, y in zip(borders, borders[1:])])
-                kept = [edits_within(a, b, int(MOST_EDITS * max(len(a), len(b)) + 1e-9)) for a, b in zip(*sides)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), part.column("lead")], names=["node", "lead"]).filter(pa.array(kept, pa.bool_()))
-
+                linked = [edits_within(a, b, int(MOST_EDITS * max(len(a), len(b)) + 1e-9)) for a, b in zip(*sides)]
+                further = ~np.array(linked, bool) & pc.is_valid(some.column("part")).to_numpy(zero_copy_only=False)
+                marks, sets, owner = [None] * len(linked), [], []
+                for i in np.flatnonzero(further).tolist():
+                    whole, other = (_runs(x[i], np.zeros(len(x[i]), np.int64), 1)[0] for x in sides)
+                    own = ~np.isin(whole, other)
+                    if (before := some.column("rest")[i].as_py()) is not None:
+                        own &= np.unpackbits(np.frombuffer(before, np.uint8), count=len(whole)).view(bool)
+                    marks[i] = np.packbits(own).tobytes()
+                    some_left = own.sum()
+                    for runs in ([whole[own]] if some_left else []) + ([whole] if some_left < LEFT * len(whole) else []):
+                        sets.append(runs)
+                        owner.append(i)
+                sizes = [len(x) for x in sets]
+                found = _sketch(np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes), len(sets), salt)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(np.array(owner, np.int64), minlength=len(linked)) * SKETCHES)))
+                yield pa.RecordBatch.from_arrays([
+                    some.column("node"), some.column("lead"), pa.array(linked, pa.bool_()),
+                    pa.array([len(x) for x in sides[0]], pa.int64()), pa.array(marks, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.reshape(-1).view(np.int64))),
+                ], names=["node", "lead", "linked", "words", "rest", "sketches"]).filter(
+                    pa.array(np.array(linked, bool) | further))
+
+    if rests is None:
+        pairs = pairs.withColumn("rest", F.lit(None).cast("binary"))
+    else:
+        pairs = pairs.join(rests, "part", "left")
     others = texts.select(F.col("node").alias("lead"), F.col("text").alias("other"))
-    return pairs.join(texts, "node").join(others, "lead").select("node", "lead", "text", "other").mapInArrow(
-        run, "node long, lead long")
+    return pairs.join(texts, "node").join(others, "lead").select(
+        "node", "lead", "part", "rest", "text", "other").mapInArrow(run, JUDGED)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified pairs (node, lead): of ``pairs``, and of the texts that proved unlike their leaders.
+
+    These are sketched again by what their leader has not, and grouped by that, until no text has an unlike
+    leader. Groups compared pair by pair grow from round to round, so there is an end.
+    """
+    judged, few, salt = _judged(pairs, texts, None, 1).checkpoint(), FEW, 1
+    links = judged.filter("linked").select("node", "lead")
+    kept = None
+    while not (left := judged.filter("NOT linked")).isEmpty():
+        left = left.select("node", "words", "rest", "sketches", F.xxhash64("node", "rest", "sketches").alias("part")).dropDuplicates(
+            ["part"]).checkpoint()
+        if kept is None:
+            kept = texts.join(left.select("node").distinct(), "node").checkpoint()
+        salt += 1
+        judged = _judged(_candidates(left, few), kept, left.select("part", "rest"), salt).checkpoint()
+        links, few = links.unionByName(judged.filter("linked").select("node", "lead")), 4 * few
+    return links.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -275,7 +373,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         nodes.select("node", "first.row1", "first.row2"), "node")
     # One row has the text of a node; rows that repeat it are brought down to one.
     texts = docs.select(*row_keys(id, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(
-        wanted, ["row1", "row2"]).groupBy("row1", "row2", "node").agg(F.first("text").alias("text")).select("node", "text")
+        wanted, ["row1", "row2"]).groupBy("row1", "row2", "node").agg(F.first("text").alias("text")).select("node", "text").checkpoint()
     links = _verified(pairs, texts).checkpoint()
     roots = components(links)
     degrees = links.select(F.explode(F.array("node", "lead")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))

@@ -112,3 +112,32 @@ def test_against_all_pairs(spark):
     pairs = [(a, b) for i, (a, _) in enumerate(short) for b, _ in short[:i]
              if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])]
     assert pairs and all(classes[a] == classes[b] for a, b in pairs)
+
+def test_pairs_among_many_texts_with_one_passage(make):
+    rng = random.Random(12)
+    passage = [rng.randrange(10**6) for _ in range(70)]
+    rows = []
+    for g in range(200):
+        base = passage + [rng.randrange(10**6) for _ in range(30)]
+        copy = list(base)
+        for i in rng.sample(range(100), 8 + g % 2 * 4):
+            copy[i] = rng.randrange(10**6)
+        rows += [(2 * g, " ".join(map(str, base))), (2 * g + 1, " ".join(map(str, copy)))]
+    rng.shuffle(rows)
+    classes = dict(got(near.near_duplicates(make("doc_id long, text string", *rows)).select("doc_id", "class_id")))
+    assert all(classes[d] // 2 == d // 2 for d in classes)
+    assert sum(classes[2 * g + 1] == 2 * g for g in range(200)) >= 198
+
+
+def test_pairs_inside_longer_texts(make):
+    # The leader holds the whole of shorter texts, among which are pairs.
+    rng = random.Random(13)
+    long = [rng.randrange(10**6) for _ in range(400)]
+    rows = [(0, " ".join(map(str, long)))]
+    for k in range(1, 40, 2):
+        base = long[150:260] + [rng.randrange(10**6) for _ in range(40)]
+        other = list(base)
+        other[5], other[-5] = 1, 2
+        rows += [(k, " ".join(map(str, base))), (k + 1, " ".join(map(str, other)))]
+    classes = dict(got(near.near_duplicates(make("doc_id long, text string", *rows)).select("doc_id", "class_id")))
+    assert classes == {0: 0} | {d: d - (d + 1) % 2 for d in range(1, 41)}
