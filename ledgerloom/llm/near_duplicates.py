@@ -24,7 +24,7 @@ from ledgerloom.functions.skew import join_hot
 from ledgerloom.llm.text import WHITE, chunks, hashes, mixed, prepare, spans, text_bytes
 from ledgerloom.session import shared_dir
 
-K, PICKED, SKETCHES = 5, 2, 24
+K, PICKED, SKETCHES = 3, 2, 48
 # Of the longer text's words at most this share may be inserted, deleted or replaced.
 MOST_EDITS = 0.2
 # Groups of so few texts are compared pair by pair; in each round for texts unlike their leaders, four times as many.

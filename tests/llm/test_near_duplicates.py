@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL, got
 
@@ -113,6 +114,20 @@ def test_against_all_pairs(spark):
              if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])]
     assert pairs and all(classes[a] == classes[b] for a, b in pairs)
 
+def test_recall_at_the_edits_that_are_allowed():
+    rng = random.Random(31)
+    for length, share in ((60, 0.15), (60, 0.2), (300, 0.15), (300, 0.2)):
+        pairs = []
+        for _ in range(400):
+            a = [rng.randrange(10**6) for _ in range(length)]
+            b = list(a)
+            for i in rng.sample(range(length), int(share * length)):
+                b[i] = rng.randrange(10**6)
+            pairs.append((a, b))
+        one, other = (near.sketches(pa.array([" ".join(map(str, p[k])) for p in pairs]))[0] for k in (0, 1))
+        assert (one == other).any(axis=1).mean() >= 0.98
+
+
 def test_pairs_among_many_texts_with_one_passage(make):
     rng = random.Random(12)
     passage = [rng.randrange(10**6) for _ in range(70)]
