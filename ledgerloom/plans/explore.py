@@ -275,6 +275,35 @@ register("r4_discover_inclusions", _inclusion_sql(_INCLUDED, 0.5))(
     lambda t: keys.discover_inclusions({name: t[name] for name in _INCLUDED}, 0.5, columns=_INCLUDED)
 )
 
+# Every column of the driver's tables by kind: n(umber), t(ime), s(tring). Only the SQL needs the list.
+_ALL_COLUMNS = {
+    "region": "n r_regionkey s r_name", "nation": "n n_nationkey n_regionkey s n_name",
+    "customer": "n c_custkey c_nationkey c_acctbal s c_name c_mktsegment",
+    "supplier": "n s_suppkey s_nationkey s_acctbal s s_name",
+    "part": "n p_partkey p_size p_retailprice s p_name p_brand p_type",
+    "orders": "n o_orderkey o_custkey o_totalprice t o_orderdate s o_orderstatus o_orderpriority",
+    "lineitem": "n l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax t l_shipdate s l_returnflag l_linestatus",
+    "events": "n event_id user_id value t ts s event_type props",
+}
+_FORMS = {"n": "concat('n', CAST({c} AS DOUBLE))", "t": "concat('t', epoch_us({c}))", "s": "concat('s', {c})"}
+
+
+def _all_cells() -> str:
+    cells = []
+    for table, listed in _ALL_COLUMNS.items():
+        kind = "n"
+        for c in listed.split():
+            if c in _FORMS:
+                kind = c
+            else:
+                cells.append(f"SELECT '{table}.{c}' AS col, {_FORMS[kind].format(c=c)} AS value FROM {table} WHERE {c} IS NOT NULL")
+    return " UNION ALL ".join(cells)
+
+
+register("r4_inclusions_of_whole_tables", _inclusion_sql({}, 0.5).replace("WITH cells AS ()", f"WITH cells AS ({_all_cells()})"))(
+    lambda t: keys.discover_inclusions({name: t[name] for name in _ALL_COLUMNS}, 0.5)
+)
+
 _MIXED_SQL = """WITH cells AS (
       SELECT 'line.l_orderkey' AS col, CAST(l_orderkey AS VARCHAR) AS value FROM lineitem
       UNION ALL SELECT 'ord.o_orderkey', CAST(o_orderkey AS VARCHAR) FROM orders

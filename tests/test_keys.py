@@ -2,8 +2,9 @@ import itertools
 import random
 
 import pytest
-from conftest import got, one
+from conftest import SMALL, got, one
 
+from __spark_entry__ import queries
 from ledgerloom.operators import keys, lookup
 from ledgerloom.operators.keys import ForeignKey
 
@@ -160,3 +161,9 @@ def test_token_search_reads_whole_texts(make):
     assert [tuple(r) for r in lookup.token_search(df, "id", ["a", "b"], "Bolt blue").collect()] == [(2, 3, 1), (1, 2, 2)]
     with pytest.raises(ValueError):
         lookup.token_search(df, "id", ["a"], " ,. ")
+
+
+def test_inclusions_are_registered_over_whole_tables(spark):
+    found = {(r.child_col, r.parent_col) for r in queries()["r4_inclusions_of_whole_tables"](spark, SMALL).collect()}
+    assert {("customer.c_nationkey", "nation.n_nationkey"), ("nation.n_regionkey", "region.r_regionkey"),
+            ("lineitem.l_quantity", "part.p_size"), ("orders.o_custkey", "customer.c_custkey")} <= found
