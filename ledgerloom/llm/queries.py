@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    decontamination, near_duplicates, pieces, pseudonyms, quality, repetition, sharding, token_counts, toxicity, url_filter,
+    decontamination, fill_in_middle, near_duplicates, pieces, pseudonyms, quality, repetition, sharding, token_counts, toxicity, url_filter,
 )
 
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
@@ -71,10 +71,14 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_pseudonyms, op3_sharding, op4_sentencepiece, op5_decontamination, op6_near_duplicates,
-        op7_toxicity, op8_quality, op9_url_filter, op10_repetition)
+        op7_toxicity, op8_quality, op9_url_filter, op10_repetition, op11_fill_in_middle)
 }
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
@@ -93,4 +97,26 @@ fitting AS (
   FROM sites s LEFT JOIN rules r
     ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE place = 1""",
+    "op11_fill_in_middle": """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest FROM documents),
+drawn AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+         [('0x' || digest[8 * k + 1:8 * k + 8])::BIGINT FOR k IN range(4)] AS h
+  FROM hashed),
+cut AS (
+  SELECT doc_id, text, units, len(units) AS n, h,
+         least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS low, greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS high
+  FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+         array_to_string(units[high + 1:], '') AS suffix,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 100 THEN 'plain'
+              WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts""",
 }
