@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import (
-    decontamination, fill_in_middle, near_duplicates, pieces, pseudonyms, quality, repetition, sharding, token_counts, toxicity, url_filter,
+    decontamination, fill_in_middle, near_duplicates, pieces, pseudonyms, quality, ranked_search, repetition, sharding, token_counts,
+    toxicity, url_filter,
 )
 
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
@@ -75,14 +76,21 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_pseudonyms, op3_sharding, op4_sentencepiece, op5_decontamination, op6_near_duplicates,
-        op7_toxicity, op8_quality, op9_url_filter, op10_repetition, op11_fill_in_middle)
+        op7_toxicity, op8_quality, op9_url_filter, op10_repetition, op11_fill_in_middle,
+        op12_ranked_search)
 }
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
 
+_TERMS = f"regexp_extract_all(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 ORACLE_SQL = {
     "op9_url_filter": f"""
 WITH rules(verdict, host, path) AS (VALUES {_RULE_ROWS}),
@@ -119,4 +127,26 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefi
               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
        sha256(text) AS restored_sha256
 FROM parts""",
+    "op12_ranked_search": f"""
+WITH docs AS (SELECT row_number() OVER () AS place, doc_id, text FROM documents),
+counted AS (
+  SELECT place, term, count(*) AS tf FROM (SELECT place, unnest({_TERMS}) AS term FROM docs) GROUP BY place, term),
+lengths AS (SELECT place, sum(tf)::BIGINT AS n FROM counted GROUP BY place),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, corpus GROUP BY term, docs),
+asked AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT item, item_id, unnest({_TERMS}) AS term FROM (
+    SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+  GROUP BY item, item_id, term),
+scored AS (
+  SELECT item, item_id, place, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (place), corpus
+  GROUP BY item, item_id, place),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored JOIN docs USING (place) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
