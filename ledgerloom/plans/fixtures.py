@@ -252,7 +252,8 @@ FROM workflow_event""",
 SELECT event_id, ts, workflow_name, instance_id, seq, event_type, idempotency_key, expected_version, actor_id, actor_role,
        CASE WHEN event_type = 'OverrideTransition' AND event_id % 3 = 0 THEN 'Nowhere' ELSE target_state END AS target_state,
        override_reason
-FROM workflow_event e JOIN (VALUES (0), (1), (2)) AS c(copy) ON c.copy = 0 OR e.event_id % 10 < c.copy""",
+FROM (SELECT * FROM workflow_event UNION ALL SELECT * FROM workflow_event WHERE event_id % 10 < 1
+  UNION ALL SELECT * FROM workflow_event WHERE event_id % 10 < 2) e""",
     "deep_account": """
 SELECT CAST(l_partkey % 150 AS INT) AS account_id, CAST(nullif(l_partkey % 150, 0) - 1 AS INT) AS parent_account_id,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS net

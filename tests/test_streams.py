@@ -31,7 +31,7 @@ def test_stream_replay_equals_batch_whatever_the_order(make, spark, tmp_path, tr
         make(EVENTS, *part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = read_event_stream(spark, f"{tmp_path}/in", whole.schema, max_files=1)
     streamed = drain(stream_replay(stream, transitions), spark, tmp_path)
-    batch = workflow.replay(whole, transitions)
+    batch = workflow.replay(whole.unionByName(make(EVENTS, *events[::5])), transitions)
     batch = batch.withColumn("ts", batch.ts.cast("timestamp"))
     assert got(streamed.select(batch.columns)) == got(batch)
 
