@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    decontamination, fill_in_middle, near_duplicates, pieces, pseudonyms, quality, ranked_search, repetition, sharding, token_counts,
+    curve_search, decontamination, fill_in_middle, near_duplicates, pieces, pseudonyms, quality, ranked_search, repetition, sharding, token_counts,
     toxicity, url_filter,
 )
 
@@ -80,11 +81,15 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_pseudonyms, op3_sharding, op4_sentencepiece, op5_decontamination, op6_near_duplicates,
         op7_toxicity, op8_quality, op9_url_filter, op10_repetition, op11_fill_in_middle,
-        op12_ranked_search)
+        op12_ranked_search, op13_nearest_neighbours)
 }
 
 _RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
