@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import is_blank
 from ledgerloom.functions.skew import join_hot
-from ledgerloom.session import shared_dir
+from ledgerloom.operators import composition
 
 # Markers of the transition table and states no event leaves.
 ANY_STATE = "*"
@@ -178,32 +178,40 @@ def replay(
     ``guard_not_met``, ``applied``. Of an event delivered several times one row is the
     original, and the others are duplicates.
 
+    An event without a sequence number, or with one below 1, has no place in the order: it is ``no_seq``,
+    without states and version, and changes nothing, its key included.
+
     Events are grouped by instance and block of ``block_events`` sequence numbers, so no
-    group grows with the log. Instances of one block are folded directly. When there
-    are longer ones, all blocks are folded at once from a guessed start and only those
-    whose guess proves wrong again, until every block starts where the one before ends.
+    group grows with the log. Blocks of instances that have several are described as functions, which
+    compose to where each block begins (see `composition`); then every block is folded once.
     """
-    firsts = dedupe_idempotent(events).withColumn("seq", F.col("seq").cast("int"))
+    events = events.withColumn("seq", F.col("seq").cast("int"))
+    placed = F.coalesce(F.col("seq") >= 1, F.lit(False))
+    unplaced, events = events.filter(~placed), events.filter(placed)
     event = F.struct("seq", *_PASSED, "idempotency_key")
     block = F.floor((F.col("seq") - 1) / block_events).cast("long")
-    machine = _Machine(definition(transitions))
-    blocks = firsts.groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
-    beginning = F.struct(F.lit(initial), F.lit(0), *[F.lit(None)] * 2, F.array()).cast(_START_TYPE).alias("start")
-    longest = events.agg(F.max("seq")).first()[0] or 0
-    if longest > block_events:
-        shared_dir(events.sparkSession)
-        blocks = blocks.checkpoint()
-        long = blocks.filter("block > 0").select(*INSTANCE).distinct().checkpoint()
-        started = _with_starts(machine, blocks.join(long, INSTANCE, "left_semi"), initial)
-        blocks = started.unionByName(blocks.join(long, INSTANCE, "left_anti").select(*started.columns[:-1], beginning))
-    else:
-        blocks = blocks.select("*", beginning)
+    rows = definition(transitions)
+    machine = _Machine(rows)
+    blocks = dedupe_idempotent(events).groupBy(*INSTANCE, block.alias("block")).agg(F.sort_array(F.collect_list(event)).alias("events"))
+    beginning = F.struct(F.lit(initial), F.lit(0), *[F.lit(None)] * 2, F.array()).cast(_START_TYPE)
+    several = blocks.filter("block > 0").select(*INSTANCE).distinct()
+    starts = composition.block_starts(
+        join_hot(blocks, several, INSTANCE, "left_semi"),
+        composition.Machine(rows, machine.states, initial, HELD, TERMINAL, ANY_STATE, BEFORE_HOLD, GIVEN_TARGET),
+    )
+    blocks = blocks.join(starts, [*INSTANCE, "block"], "left").withColumn("start", F.coalesce("start", beginning))
     results = blocks.select(*INSTANCE, F.explode(_log(machine, blocks)).alias("entry")).select(
         *INSTANCE, "entry.seq", "entry.from_state", F.col("entry.state").alias("to_state"), "entry.version", "entry.outcome",
         F.col("entry.held_before").alias("held_seq"), *[f"entry.{c}" for c in [*_PASSED, "idempotency_key"]],
     )
+    nothing = F.lit(None)
+    lost = unplaced.select(
+        *INSTANCE, "seq", nothing.cast("string").alias("from_state"), nothing.cast("string").alias("to_state"),
+        nothing.cast("int").alias("version"), F.lit("no_seq").alias("outcome"), nothing.cast("int").alias("held_seq"),
+        *_PASSED, "idempotency_key",
+    )
     if not duplicates:
-        return results
+        return results.unionByName(lost)
     # Later deliveries of a key get the first one's result. Equal deliveries are counted, and one of
     # those that equal the first is the original.
     values = ["seq", *_PASSED, "idempotency_key"]
@@ -213,148 +221,13 @@ def replay(
         *[F.col(c).alias(f"{c}_") for c in ("from_state", "to_state", "version", "outcome", "held_seq")],
     )
     match = [F.col(c) == F.col(f"{c}_") for c in INSTANCE] + [_once_key() == F.col("once_")]
-    deliveries = events.withColumn("seq", F.col("seq").cast("int")).groupBy(*INSTANCE, *values).agg(F.count(F.lit(1)).alias("copies"))
+    deliveries = events.groupBy(*INSTANCE, *values).agg(F.count(F.lit(1)).alias("copies"))
     original = whole.eqNullSafe(F.col("whole_")) & (F.col("copy") == 1)
     return deliveries.join(first, match).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        *INSTANCE, F.col("seq").cast("int").alias("seq"),
-        *[F.col(f"{c}_").alias(c) for c in ("from_state", "to_state", "version")],
+        *INSTANCE, "seq", *[F.col(f"{c}_").alias(c) for c in ("from_state", "to_state", "version")],
         F.when(original, F.col("outcome_")).otherwise("duplicate").alias("outcome"), F.col("held_seq_").alias("held_seq"),
         *_PASSED, "idempotency_key",
-    )
-
-
-def _with_starts(machine: _Machine, blocks: DataFrame, initial: str) -> DataFrame:
-    """Give every block the state its instance is in when it begins.
-
-    A state here is a workflow state with the state a hold returns to; there are few of
-    them. Each block gets a table of where it ends for every state any block ends in.
-    Chaining the tables of an instance gives the start of each block.
-
-    Version and guard events seen are added up over the blocks before. They matter only
-    inside blocks that check them, and are first assumed from the events themselves; a
-    block whose assumption proves wrong is folded again. The first such block of
-    an instance then has the right values, so this ends, with the result of folding one
-    event after the other.
-    """
-    place = [*INSTANCE, "block"]
-    earlier = Window.partitionBy(*INSTANCE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # rows are blocks
-
-    def collected(holds: Callable[[str], Column]) -> Column:
-        """Guard events that some earlier block holds."""
-        found = [F.when(F.max(holds(name)).over(earlier), F.lit(name)) for name in machine.guards]
-        return F.array_compact(F.array(*found)).cast("array<string>")
-
-    expected = F.filter(F.transform("events", lambda e: e["expected_version"]), lambda version: version.isNotNull())
-    blocks = blocks.select(
-        *place, "events", (F.size(expected) > 0).alias("versioned"),
-        F.exists("events", lambda e: e["event_type"].isin(machine.guarded)).alias("guarded"),
-        F.coalesce(F.get(expected, F.lit(0)), F.lit(0)).alias("version"),
-        F.array_distinct(F.transform("events", lambda e: e["event_type"])).alias("kinds"),
-    ).checkpoint()
-    flags = ["versioned", "guarded"]
-    assumed = blocks.select(
-        *place, *flags, F.struct("version", collected(lambda name: F.array_contains("kinds", name)).alias("seen")).alias("start")
-    ).checkpoint()
-    blocks = blocks.select(*place, "events")
-
-    def ends(started: DataFrame, states: list[tuple]) -> DataFrame:
-        """Where each block ends for each of these states."""
-        def end(begin: Column) -> Column:
-            first = _first_state(started, [begin["state"], F.col("start")["version"], begin["held_from"], F.lit(None)], [])
-            last = F.aggregate("events", first, lambda now, event: _step(machine, now, event, []))
-            return _let(last, lambda last: F.struct(
-                begin.alias("begin"), F.struct(last["state"], last["held_from"]).alias("end"), last["held_seq"].alias("held_seq"),
-                (last["version"] - F.col("start")["version"]).alias("gain"), last["gained"].alias("gained"),
-            ))
-
-        begins = F.array(*[
-            F.struct(F.lit(state).alias("state"), F.lit(held_from).cast("string").alias("held_from")) for state, held_from in states
-        ])
-        return started.select(*place, *flags, "start", F.transform(begins, end).alias("table"))
-
-    states: list[tuple] = [(initial, None)]
-    tables = ends(blocks.join(assumed, place), states).checkpoint()
-    fresh = tables
-    while True:
-        while new := _new_states(fresh, states):
-            more = ends(tables.drop("table").join(blocks, place), new).select(*place, F.col("table").alias("more")).checkpoint()
-            tables = tables.join(more, place).withColumn("table", F.concat("table", "more")).drop("more").checkpoint()
-            fresh = more.withColumnRenamed("more", "table")
-            states += new
-        begun = tables.join(_chain(tables, states), place)
-        row = F.get(F.filter("table", lambda row: row["begin"].eqNullSafe(F.col("begin"))), F.lit(0))
-        begun = begun.withColumn("row", row).checkpoint()
-        due = begun.select(
-            *place, *flags, "start", "begin",
-            F.coalesce(F.sum("row.gain").over(earlier), F.lit(0)).cast("int").alias("version"),
-            collected(lambda name: F.array_contains("row.gained", name)).alias("seen"),
-            F.when(F.col("begin.state") == HELD, F.last("row.held_seq", ignorenulls=True).over(earlier)).alias("held_seq"),
-        )
-        unseen = F.col("guarded") & (F.col("start.seen") != F.col("seen"))
-        misnumbered = F.col("versioned") & (F.col("start.version") != F.col("version"))
-        due = due.withColumn("unseen", unseen).withColumn("misnumbered", misnumbered)
-        # One wrong version makes all after it look wrong: only the first is known to be.
-        again = F.col("unseen") | (F.col("misnumbered") & ~F.coalesce(F.max("misnumbered").over(earlier), F.lit(False)))
-        due = due.withColumn("again", again).checkpoint()
-        if due.filter("again").isEmpty():
-            start = F.struct("begin.state", "version", "begin.held_from", "held_seq", "seen").cast(_START_TYPE)
-            return blocks.join(due.select(*place, start.alias("start")), place)
-        wrong = due.filter("again").select(*place, *flags, F.struct("version", "seen").alias("start"))
-        fresh = ends(blocks.join(wrong, place), states).checkpoint()
-        tables = tables.join(wrong, place, "left_anti").unionByName(fresh).checkpoint()
-
-
-def _new_states(tables: DataFrame, known: list[tuple]) -> list[tuple]:
-    """States that some block ends in and that have not been tried as a start."""
-    found = tables.select(F.explode("table").alias("row")).select("row.end.*").distinct().take(MAX_TRANSITIONS + 1)
-    if len(found) > MAX_TRANSITIONS:
-        raise ValueError(f"a workflow has at most {MAX_TRANSITIONS} states")
-    return sorted({tuple(row) for row in found} - set(known), key=repr)
-
-
-def _follow(tables: Column, begin: Column) -> Column:
-    """The state after a run of block tables."""
-    return F.aggregate(tables, begin, lambda state, item: _lookup(item["table"], state))
-
-
-def _lookup(table: Column, state: Column) -> Column:
-    return F.get(F.filter(table, lambda row: row["begin"].eqNullSafe(state)), F.lit(0))["end"]
-
-
-def _starts(tables: Column, begin: Column, name: str) -> Column:
-    """(name, state at its begin) for each of a run of tables."""
-    nothing = F.slice(F.transform(tables, lambda item: F.struct(item[name].alias(name), begin.alias("begin"))), 1, 0)
-    return F.aggregate(
-        tables, F.struct(nothing.alias("done"), begin.alias("state")),
-        lambda acc, item: F.struct(
-            F.concat(acc["done"], F.array(F.struct(item[name].alias(name), acc["state"].alias("begin")))).alias("done"),
-            _lookup(item["table"], acc["state"]).alias("state"),
-        ),
-        lambda acc: acc["done"],
-    )
-
-
-def _chain(tables: DataFrame, states: list[tuple], width: int = 1024) -> DataFrame:
-    """The state each block begins in.
-
-    Blocks are chained in stretches of ``width``, a stretch for every state, then the
-    stretches of an instance, and then the blocks again.
-    """
-    kind = "struct<state:string,held_from:string>"
-    begins = F.array(*[F.struct(F.lit(s).alias("state"), F.lit(h).cast("string").alias("held_from")).cast(kind) for s, h in states])
-    item = F.struct("block", F.transform("table", lambda row: F.struct(row["begin"].cast(kind).alias("begin"), row["end"].cast(kind).alias("end"))).alias("table"))
-    stretches = (
-        tables.select(*INSTANCE, F.floor(F.col("block") / width).alias("stretch"), item.alias("item"))
-        .groupBy(*INSTANCE, "stretch").agg(F.sort_array(F.collect_list("item")).alias("items")).checkpoint()
-    )
-    whole = stretches.select(*INSTANCE, F.struct("stretch", F.transform(
-        begins, lambda begin: F.struct(begin.alias("begin"), _follow(F.col("items"), begin).alias("end"))
-    ).alias("table")).alias("item"))
-    per_instance = whole.groupBy(*INSTANCE).agg(F.sort_array(F.collect_list("item")).alias("items"))
-    started = per_instance.select(*INSTANCE, F.inline(_starts(F.col("items"), F.get(begins, F.lit(0)), "stretch")))
-    return stretches.join(started, [*INSTANCE, "stretch"]).select(
-        *INSTANCE, F.inline(_starts(F.col("items"), F.col("begin"), "block"))
-    )
+    ).unionByName(lost)
 
 
 def applied(log: DataFrame) -> DataFrame:

@@ -83,6 +83,17 @@ register("w1_replay_redelivered", f"WITH {_replay_sql('redelivered_event')} SELE
 register("w1_redelivered_in_blocks", f"WITH {_replay_sql('redelivered_event')} SELECT * FROM replay_log")(
     lambda t: workflow.replay(t["redelivered_event"], t["transition"], block_events=5)
 )
+register("w1_versioned_in_blocks", f"WITH {_replay_sql('versioned_event')} SELECT * FROM replay_log")(
+    # Nearly every block meets versions that depend on the blocks before.
+    lambda t: workflow.replay(t["versioned_event"], t["transition"], block_events=5)
+)
+_UNNUMBERED = f"""{_LOG} SELECT * FROM replay_log
+    UNION ALL SELECT workflow_name, instance_id, seq, NULL, NULL, NULL, 'no_seq', NULL, {_CARRIED}
+    FROM unnumbered_event WHERE seq IS NULL OR seq < 1"""
+register("w1_replay_unnumbered", _UNNUMBERED)(lambda t: workflow.replay(t["unnumbered_event"], t["transition"]))
+register("w1_unnumbered_in_blocks", _UNNUMBERED)(
+    lambda t: workflow.replay(t["unnumbered_event"], t["transition"], block_events=5)
+)
 register("w2_transition_history", f"""{_LOG} SELECT workflow_name, instance_id, version AS seq, from_state, to_state, event_type, actor_id, ts,
     CAST(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY instance_id ORDER BY version) AS DOUBLE) / 1000000 AS gap_seconds
     FROM transitions""")(lambda t: workflow.transition_history(_transitions(t)))
@@ -310,6 +321,8 @@ register("w9_stream_redelivered", f"WITH {_replay_sql('redelivered_event')} SELE
     lambda t: _replayed_stream(t, t["redelivered_event"])
 )
 
+register("w9_stream_unnumbered", _UNNUMBERED)(lambda t: _replayed_stream(t, t["unnumbered_event"]))
+
 
 @register("o4_stream_dedupe", "SELECT DISTINCT workflow_name, instance_id, idempotency_key FROM workflow_event")
 def _deduped(t):

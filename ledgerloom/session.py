@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
 # Runtime settings every operator was planned with.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,6 +45,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package, from a file system that they share."""
+    paths = spark.sparkContext.environment
+    if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), ROOT]))
+
+
 def sizing(input_bytes: int, cores: int, partition_bytes: int = 200 << 20) -> dict[str, str]:
     """Partition settings for a volume of input.
 

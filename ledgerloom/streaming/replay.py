@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,8 +14,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ledgerloom.operators.workflow import (
     ANY_STATE, BEFORE_HOLD, GIVEN_TARGET, HELD, INITIAL, INSTANCE, TERMINAL, definition, known_states,
 )
+from ledgerloom.session import reach_workers
 
 FRAME_ROWS = 10_000
+# Events of an instance that a batch holds in memory; more wait in the state.
+HELD_EVENTS = 50_000
 EVENT_FIELDS = (
     "seq int, event_id long, ts timestamp, event_type string, actor_id long, actor_role string, "
     "target_state string, override_reason string, expected_version int, idempotency_key string"
@@ -41,17 +47,33 @@ def _event(row) -> tuple:
     )
 
 
+def _order(event: tuple) -> tuple:
+    """By sequence number, then by the other values, missing ones first."""
+    return tuple((value is not None, value) for value in event)
+
+
+def _stored(event: tuple) -> list:
+    """An event as values of JSON."""
+    return [value.value // 1000 if isinstance(value, pd.Timestamp) else value for value in event]
+
+
+def _restored(values: list) -> tuple:
+    at = _EVENT.index("ts")
+    return tuple(pd.Timestamp(value, unit="us") if i == at and value is not None else value for i, value in enumerate(values))
+
+
 def _once(event: dict) -> str:
     """The idempotency key; an event without one is only itself."""
     key = event["idempotency_key"]
     return f"e{event['event_id']}" if key is None else f"k{key}"
 
 
+_WHOLE = {"seq": "Int32", "version": "Int32", "held_seq": "Int32", "expected_version": "Int32", "event_id": "Int64", "actor_id": "Int64"}
+
+
 def _frame(rows: list[dict]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=[field.split()[0] for field in OUTPUT.split(", ")])
-    for name in ("held_seq", "expected_version"):
-        frame[name] = frame[name].astype("Int32")
-    return frame
+    return frame.astype(_WHOLE).astype({"ts": "datetime64[us]"})
 
 
 def decide(current: dict, event: dict, moves: dict, guards: set, states: set) -> tuple[dict, tuple]:
@@ -88,82 +110,180 @@ def decide(current: dict, event: dict, moves: dict, guards: set, states: set) ->
 
 
 class ReplayProcessor(StatefulProcessor):
-    """State of one instance: where it stands, the keys it has seen, events that came early."""
+    """State of one instance: where it stands, the keys it has seen, events that came early by their numbers."""
 
-    def __init__(self, transitions: list[tuple], initial: str, key_ttl_ms: int | None):
+    def __init__(self, transitions: list[tuple], initial: str, key_ttl_ms: int | None, gap_ms: int | None, event_time: bool):
         self.moves = {(row[0], row[1]): (row[2], row[3]) for row in transitions}
         self.guards = {row[3] for row in transitions if row[3]}
         self.states = set(known_states(transitions))
-        self.initial = initial
-        self.key_ttl_ms = key_ttl_ms
+        self.initial, self.key_ttl_ms, self.gap_ms, self.event_time = initial, key_ttl_ms, gap_ms, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.current = handle.getValueState(
-            "current", "state string, version int, held_from string, held_seq int, seen string, next_seq int"
+            "current",
+            "state string, version int, held_from string, held_seq int, seen string, next_seq int, waiting int, timer long",
         )
         self.results = handle.getMapState(
             "results", "once string",
             "from_state string, to_state string, version int, outcome string, held_seq int", self.key_ttl_ms,
         )
-        self.early = handle.getListState("early", EVENT_FIELDS)
+        self.early = handle.getMapState("early", "seq int", "events string, since long")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        stored = self.current.get() if self.current.exists() else None
-        if stored is None:
-            current = {"state": self.initial, "version": 0, "held_from": None, "held_seq": None, "seen": []}
-            due = 1
-        else:
-            names = ("state", "version", "held_from", "held_seq")
-            current = dict(zip(names, _plain(stored[:4])))
-            current["seen"] = [name for name in stored[4].split(",") if name]
-            due = stored[5]
-        waiting: dict[int, list[tuple]] = {}
-        for row in self.early.get() if self.early.exists() else ():
-            waiting.setdefault(row[0], []).append(_event(row))
-        for frame in rows:
-            for row in frame[_EVENT].itertuples(index=False, name=None):
-                waiting.setdefault(row[0], []).append(_event(row))
-        out = []
-        while (earliest := min(waiting, default=due + 1)) <= due:  # an earlier number comes again
-            for values in sorted(waiting.pop(earliest), key=repr):
-                event = dict(zip(_EVENT, values))
-                once = _once(event)
-                if self.results.containsKey((once,)):
-                    first = _plain(self.results.getValue((once,)))
-                    result = (*first[:3], "duplicate", first[4])
-                else:
-                    current, result = decide(current, event, self.moves, self.guards, self.states)
-                    self.results.updateValue((once,), result)
-                out.append({**dict(zip(INSTANCE, key)), **dict(zip(_RESULT, result)), **event})
-                if len(out) == FRAME_ROWS:
-                    yield _frame(out)
-                    out = []
-            due = max(due, earliest + 1)
+    def _load(self, key) -> None:
+        self.key = dict(zip(INSTANCE, key))
+        stored = _plain(self.current.get()) if self.current.exists() else (self.initial, 0, None, None, "", 1, 0, None)
+        self.stand = dict(zip(("state", "version", "held_from", "held_seq"), stored[:4]))
+        self.stand["seen"] = [name for name in stored[4].split(",") if name]
+        # The number that is due, how many numbers wait, and when a missing one is given up.
+        self.due, self.waiting, self.timer = stored[5:]
+
+    def _save(self, now: int, due_before: int) -> None:
+        """Store the state, and set the timer anew when another number is missing."""
+        if self.gap_ms is not None and (self.timer is None or self.due != due_before or not self.waiting):
+            if self.timer is not None:
+                self.handle.deleteTimer(self.timer)
+            self.timer = now + self.gap_ms if self.waiting else None
+            if self.timer is not None:
+                self.handle.registerTimer(self.timer)
         self.current.update((
-            current["state"], current["version"], current["held_from"], current["held_seq"],
-            ",".join(current["seen"]), due,
+            self.stand["state"], self.stand["version"], self.stand["held_from"], self.stand["held_seq"],
+            ",".join(self.stand["seen"]), self.due, self.waiting, self.timer,
         ))
-        if waiting:
-            self.early.put([event for seq in sorted(waiting) for event in waiting[seq]])
+
+    def _now(self, values) -> int:
+        return values.getCurrentWatermarkInMs() if self.event_time else values.getCurrentProcessingTimeInMs()
+
+    def _row(self, result: tuple, event: dict) -> dict:
+        return {**self.key, **dict(zip(_RESULT, result)), **event}
+
+    def _decided(self, values: tuple) -> dict:
+        """The outcome of an event whose turn it is."""
+        event = dict(zip(_EVENT, values))
+        once = (_once(event),)
+        if self.results.containsKey(once):
+            first = _plain(self.results.getValue(once))
+            result = (*first[:3], "duplicate", first[4])
         else:
-            self.early.clear()
-        if out:
-            yield _frame(out)
+            self.stand, result = decide(self.stand, event, self.moves, self.guards, self.states)
+            self.results.updateValue(once, result)
+        return self._row(result, event)
+
+    def _taken(self) -> list[tuple]:
+        """Events that wait under the number that is due."""
+        if not self.waiting or not self.early.containsKey((self.due,)):
+            return []
+        events = [_restored(values) for values in json.loads(self.early.getValue((self.due,))[0])]
+        self.early.removeKey((self.due,))
+        self.waiting -= 1
+        return events
+
+    def _put_aside(self, events: list[tuple], now: int) -> None:
+        """Keep events under their numbers until these are due. ``events`` are in order."""
+        for seq, some in groupby(events, key=lambda event: event[0]):
+            stored, since = [_stored(event) for event in some], now
+            if self.early.containsKey((seq,)):
+                before, since = self.early.getValue((seq,))
+                stored = json.loads(before) + stored
+            else:
+                self.waiting += 1
+            self.early.updateValue((seq,), (json.dumps(stored), since))
+
+    def _due_rows(self, heap: list) -> Iterator[dict]:
+        """Outcomes in the order of the numbers, up to the first that is missing."""
+        while True:
+            events = self._taken()
+            while heap and heap[0][1][0] == self.due:
+                events.append(heappop(heap)[1])
+            if not events:
+                return
+            for event in sorted(events, key=_order):
+                yield self._decided(event)
+            self.due += 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self._load(key)
+        now = self._now(timerValues) if self.gap_ms is not None else 0
+        due_before = self.due
+
+        def results() -> Iterator[dict]:
+            heap: list[tuple] = []
+            for frame in rows:
+                for row in frame[_EVENT].itertuples(index=False, name=None):
+                    event = _event(row)
+                    if event[0] is None or event[0] < 1:
+                        yield self._row((None, None, None, "no_seq", None), dict(zip(_EVENT, event)))
+                    elif event[0] < due_before:  # an earlier number comes again
+                        yield self._decided(event)
+                    else:
+                        heappush(heap, (_order(event), event))
+                if len(heap) > HELD_EVENTS:  # the later half waits outside
+                    heap.sort()
+                    self._put_aside([event for _, event in heap[HELD_EVENTS // 2:]], now)
+                    del heap[HELD_EVENTS // 2:]
+            yield from self._due_rows(heap)
+            self._put_aside([event for _, event in sorted(heap)], now)
+
+        yield from _frames(results())
+        self._save(now, due_before)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Give up numbers for which later ones have waited long enough: a row ``gap`` for each run of them."""
+        self._load(key)
+        if expiredTimerInfo.getExpiryTimeInMs() != self.timer:
+            return
+        now, due_before, self.timer = self._now(timerValues), self.due, None
+
+        def results() -> Iterator[dict]:
+            seqs = [row[0] for row in self.early.keys()]
+            heapify(seqs)
+            while seqs:
+                seq = heappop(seqs)
+                if seq < self.due:
+                    continue
+                if seq > self.due:
+                    if self.early.getValue((seq,))[1] + self.gap_ms > now:
+                        return
+                    stand = self.stand
+                    yield self._row(
+                        (stand["state"], stand["state"], stand["version"], "gap", stand["held_seq"]),
+                        {**dict.fromkeys(_EVENT), "seq": self.due})
+                    self.due = seq
+                yield from self._due_rows([])
+
+        yield from _frames(results())
+        self._save(now, due_before)
 
     def close(self) -> None:
         pass
 
 
+def _frames(rows: Iterator[dict]) -> Iterator[pd.DataFrame]:
+    while some := list(islice(rows, FRAME_ROWS)):
+        yield _frame(some)
+
+
 def stream_replay(
-    events: DataFrame, transitions: DataFrame, initial: str = INITIAL, key_ttl_ms: int | None = None
+    events: DataFrame, transitions: DataFrame, initial: str = INITIAL, key_ttl_ms: int | None = None,
+    gap_ms: int | None = None, event_time: bool = False,
 ) -> DataFrame:
     """Outcome of every event as it arrives, the same as `replay` gives on the whole log.
 
     The transition table becomes part of the operator. Sequence numbers of an instance start at 1
     without gaps; an event that comes early waits for the missing ones, one that comes again is a
-    duplicate. Needs the RocksDB state store. ``key_ttl_ms`` lets the keys of events expire.
+    duplicate, one without a number (or below 1) is ``no_seq`` at once. With ``gap_ms`` a missing number is given up when
+    a later one has waited so long: one row ``gap`` bears the first missing number of the run, with the state as
+    it stands, and the instance goes on after it. A lost event that comes after that is decided by the state of
+    then. Time is that of processing, or with ``event_time`` the watermark of the stream. Needs the RocksDB
+    state store. ``key_ttl_ms`` lets the keys of events expire, by processing time.
+
+    Early events lie in a map by number, so that a batch touches only those whose turn has come; of the events of one
+    instance in a batch at most ``HELD_EVENTS`` and a frame are held in memory.
     """
-    columns = [*INSTANCE, *_EVENT]
-    return events.select(*columns).groupBy(*INSTANCE).transformWithStateInPandas(
-        ReplayProcessor(definition(transitions), initial, key_ttl_ms), OUTPUT, "Append", "ProcessingTime" if key_ttl_ms else "None"
+    if event_time and key_ttl_ms:
+        raise ValueError("keys expire by processing time only")
+    reach_workers(events.sparkSession)
+    mode = "EventTime" if event_time else "ProcessingTime" if key_ttl_ms or gap_ms is not None else "None"
+    return events.select(*INSTANCE, *_EVENT).groupBy(*INSTANCE).transformWithStateInPandas(
+        ReplayProcessor(definition(transitions), initial, key_ttl_ms, gap_ms, event_time), OUTPUT, "Append", mode
     )

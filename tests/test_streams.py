@@ -1,14 +1,16 @@
 import datetime
 
+import pandas as pd
 import pytest
 from conftest import got, one
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 from test_workflow import EVENTS, event, random_events, transitions  # noqa: F401
 
 from ledgerloom.operators import migrate, projections, workflow
 from ledgerloom.sources import sinks
 from ledgerloom.sources.streams import read_event_stream
-from ledgerloom.streaming import projection
-from ledgerloom.streaming.replay import stream_replay
+from ledgerloom.streaming import projection, replay
+from ledgerloom.streaming.replay import ReplayProcessor, stream_replay
 
 KEYS = projections.SUMMARY_KEYS
 
@@ -71,3 +73,132 @@ def test_event_time_is_a_timestamp(make, spark, tmp_path):
     make("ts timestamp_ntz, v int", (datetime.datetime(2024, 1, 1), 1)).write.parquet(f"{tmp_path}/in")
     stream = read_event_stream(spark, f"{tmp_path}/in", "ts timestamp_ntz, v int")
     assert stream.isStreaming and dict(stream.dtypes)["ts"] == "timestamp"
+
+
+class Value:
+    """A value state in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class Map:
+    """A map state in memory that counts what is asked of it."""
+
+    def __init__(self):
+        self.values, self.calls, self.bytes = {}, 0, 0
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.values
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.values[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.bytes += len(repr(value))
+        self.values[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.values[key]
+
+    def keys(self):
+        return iter(list(self.values))
+
+
+class Handle:
+    def __init__(self):
+        self.maps, self.timers = {}, set()
+
+    def getValueState(self, name, schema):
+        return Value()
+
+    def getMapState(self, name, keys, values, ttl=None):
+        return self.maps.setdefault(name, Map())
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+def processor(transitions, **more):  # noqa: F811
+    made = ReplayProcessor(workflow.definition(transitions), "DraftScope", None, more.get("gap_ms"), False)
+    made.init(Handle())
+    return made
+
+
+def frames(events, size=5000):
+    names = [field.split()[0] for field in EVENTS.split(", ")]
+    for k in range(0, len(events), size):
+        yield pd.DataFrame(events[k:k + size], columns=names)
+
+
+def outcomes(batches):
+    return [tuple(None if pd.isna(v) else v for v in row) for frame in batches for row in frame[["seq", "outcome", "version"]].itertuples(index=False)]
+
+
+@pytest.mark.parametrize("held", [100, 50_000])
+def test_one_instance_costs_in_proportion(transitions, monkeypatch, held):  # noqa: F811
+    """What the state is asked, and what is written to it, follows the events, though all come in the wrong order."""
+    monkeypatch.setattr(replay, "HELD_EVENTS", held)
+    cost = {}
+    for count in (2_000, 8_000):
+        events = [event(1, seq, "EstimateUpdated") for seq in range(count, 0, -1)]
+        made = processor(transitions)
+        first = outcomes(made.handleInputRows(("w", 1), frames(events[:-1], 500), TimerValues(0, 0)))
+        assert first == []
+        rows = outcomes(made.handleInputRows(("w", 1), frames(events[-1:]), TimerValues(0, 0)))
+        assert [r[0] for r in rows] == list(range(1, count + 1))
+        cost[count] = sum(m.calls for m in made.handle.maps.values()), sum(m.bytes for m in made.handle.maps.values())
+    assert all(big < 4.2 * small for small, big in zip(cost[2_000], cost[8_000]))
+
+
+def test_lost_numbers_are_given_up(transitions):  # noqa: F811
+    made = processor(transitions, gap_ms=1000)
+    events = [event(1, seq, kind) for seq, kind in ((1, "ScopeDefined"), (4, "QuoteIssued"), (5, "EstimateUpdated"), (9, "QuoteIssued"))]
+    assert [r[:2] for r in outcomes(made.handleInputRows(("w", 1), frames(events[:3]), TimerValues(100, 0)))] == [(1, "applied")]
+    assert made.handle.timers == {1100}
+    assert outcomes(made.handleInputRows(("w", 1), frames(events[3:]), TimerValues(600, 0))) == []
+    assert made.handle.timers == {1100}
+    assert outcomes(made.handleExpiredTimer(("w", 1), TimerValues(1200, 0), ExpiredTimerInfo(999))) == []
+    rows = outcomes(made.handleExpiredTimer(("w", 1), TimerValues(1200, 0), ExpiredTimerInfo(1100)))
+    assert [r[:2] for r in rows] == [(2, "gap"), (4, "applied"), (5, "no_transition")]
+    # The next missing number has its own time.
+    later = max(made.handle.timers)
+    rows = outcomes(made.handleExpiredTimer(("w", 1), TimerValues(later, 0), ExpiredTimerInfo(later)))
+    assert [r[:2] for r in rows] == [(6, "gap"), (9, "no_transition")] and made.waiting == 0
+
+
+def test_gap_in_a_stream(make, spark, tmp_path, transitions):  # noqa: F811
+    """By event time: a number is given up when the watermark has passed it by."""
+    schema = make(EVENTS).schema
+    make(EVENTS, event(1, 1, "ScopeDefined"), event(1, 3, "QuoteIssued")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    make(EVENTS, event(2, 60, "ScopeDefined")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    events = read_event_stream(spark, f"{tmp_path}/in", schema, max_files=1).withWatermark("ts", "0 seconds")
+    found = got(drain(stream_replay(events, transitions, gap_ms=600_000, event_time=True), spark, tmp_path).select("instance_id", "seq", "outcome"))
+    # The other instance lacks all numbers before its first; one row stands for the run.
+    assert found == [(1, 1, "applied"), (1, 2, "gap"), (1, 3, "applied"), (2, 1, "gap"), (2, 60, "applied")]
+
+
+def test_events_without_a_number_hold_nobody_back(make, spark, tmp_path, transitions):  # noqa: F811
+    events = [event(1, i + 1, kind) for i, kind in enumerate(["ScopeDefined", "QuoteIssued", "CustomerPOAttached"])]
+    bare = [tuple(seq if i == 2 else v for i, v in enumerate(event(1, 700 + k, "Closed"))) for k, seq in enumerate((None, 0))]
+    whole = make(EVENTS, bare[0], *events, bare[1])
+    whole.coalesce(1).write.parquet(f"{tmp_path}/in")
+    streamed = drain(stream_replay(read_event_stream(spark, f"{tmp_path}/in", whole.schema), transitions), spark, tmp_path)
+    batch = workflow.replay(whole, transitions)
+    assert got(streamed.select(batch.columns)) == got(batch.withColumn("ts", batch.ts.cast("timestamp")))
