@@ -2,17 +2,20 @@
 
 A text is encoded with an agenda of adjacent symbol pairs ordered by score. The pieces of
 such a vocabulary have spaces only in front, so a text falls into segments (spaces and what
-follows them) that no merge can cross; each distinct segment of a batch is encoded once, and
-the library encodes the same segments as a check.
+follows them) that no merge can cross; each distinct segment that a worker meets is encoded once, and
+the library encodes and decodes the same segments as a check. Vocabulary and segments stay in a worker from task to task.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,8 +25,11 @@ from ledgerloom.llm.text import chunks, plain, prepare
 
 SPACE = "▁"
 START = "\ud800"  # in no UTF-8 text
-# Segments whose ids a worker remembers; then it starts anew.
-REMEMBERED = 600_000
+# Letters of the segments whose ids a worker remembers; then it starts anew. Longer segments are not remembered.
+REMEMBERED, LONGEST = 6_000_000, 64
+# Segments of up to so many letters are encoded together with others of their length.
+FEW = 48
+NO_RANK = np.int64(1 << 40)
 
 
 def agenda(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
@@ -65,6 +71,66 @@ def agenda(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
 GONE = 0xFFFFF
 
 
+class PairTable:
+    """The pairs of a vocabulary for lookups of whole arrays: open addressing in a table that is mostly empty."""
+
+    def __init__(self, pairs: dict[int, tuple[int, int]]):
+        self.bits = max(8, (8 * len(pairs)).bit_length())
+        size = 1 << self.bits
+        self.keys, self.ranks, self.joined = np.full(size, -1, np.int64), np.full(size, NO_RANK), np.zeros(size, np.int64)
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        values = np.array(list(pairs.values()), np.int64).reshape(-1, 2)
+        place = self._place(keys)
+        while len(keys):
+            # Of the pairs that meet in a free slot one stays there, the others go on.
+            free = self.keys[place] == -1
+            self.keys[place[free]] = keys[free]
+            stays = self.keys[place] == keys
+            self.ranks[place[stays]], self.joined[place[stays]] = values[stays, 0], values[stays, 1]
+            keys, values, place = keys[~stays], values[~stays], (place[~stays] + 1) & (size - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (NO_RANK where there is none) and merged symbol of each pair."""
+        keys = left << 20 | right
+        place = self._place(keys)
+        there = self.keys[place]
+        while (on := np.flatnonzero((there != keys) & (there != -1))).size:
+            place[on] = (place[on] + 1) & (len(self.keys) - 1)
+            there[on] = self.keys[place[on]]
+        return self.ranks[place], self.joined[place]
+
+
+def agendas(symbols: np.ndarray, table: PairTable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As `agenda`, for segments of one length (rows), step by step together: rows that are done, and their symbols.
+
+    The agenda of a segment is its row of ranks; in each step every segment takes its least, the leftmost of equal ones.
+    """
+    rows = np.arange(len(symbols))
+    ranks, joined = (x.reshape(len(rows), symbols.shape[1] - 1) for x in table.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
+    while len(rows):
+        size = ranks.shape[1]
+        going = ranks.min(axis=1) != NO_RANK if size else np.zeros(len(rows), bool)
+        if not going.all():
+            yield rows[~going], symbols[~going]
+            rows, symbols, ranks, joined = rows[going], symbols[going], ranks[going], joined[going]
+            if not len(rows):
+                return
+        at, each = ranks.argmin(axis=1), np.arange(len(rows))
+        merged = joined[each, at]
+        left = np.arange(size)
+        symbols = np.take_along_axis(symbols, left + (left > at[:, None]), axis=1)
+        symbols[each, at] = merged
+        left = np.arange(size - 1)
+        kept = left + (left >= at[:, None])
+        ranks, joined = np.take_along_axis(ranks, kept, axis=1), np.take_along_axis(joined, kept, axis=1)
+        for some, where in ((at > 0, at - 1), (at < size - 1, at)):
+            row, where = each[some], where[some]
+            ranks[row, where], joined[row, where] = table.find(symbols[row, where], symbols[row, where + 1])
+
+
 class Pieces:
     """A vocabulary, its encoder and the library's one beside it."""
 
@@ -93,25 +159,60 @@ class Pieces:
                 left, right = self.symbols.get(piece[:cut]), self.symbols.get(piece[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 20 | right] = rank[scores[i]], i
+        self.table = PairTable(self.pairs)
+        self.letter = np.full(0x110000, -1, np.int64)
+        for symbol, i in self.symbols.items():
+            if len(symbol) == 1 and i < size:
+                self.letter[ord(symbol)] = i
         self.segment = regex.compile(f"{SPACE}+[^{SPACE}\n]*|\n?[^{SPACE}\n]+|\n")
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Ids of segments as decimals with commas.
+        self.known: dict[str, str] = {}
+        self.names = [str(i) for i in range(size)]
+        self.letters = 0
 
-    def segments(self, text: str) -> list[str]:
-        """Segments of a text as the library normalises it.
+    def segments(self, text: str) -> tuple[list[str], str]:
+        """Segments of a text as the library normalises it, and what they decode to.
 
         A segment is a run of spaces or a line feed and what follows up to the next; no piece
         goes across. One space in front is left out of the segment.
         """
         text = self.library.normalize(text)
+        decoded = text.replace(SPACE, " ").removeprefix(" ")
         if "\n" in text:
             text = text.replace("\n", SPACE + "\n")
         found = text.split(SPACE)
         if found[0] == "" and "" not in found[1:]:
-            return found[1:]
+            return found[1:], decoded
         text = text.replace(SPACE + "\n", "\n")
-        return [s[1:] if s[0] == SPACE else s if s[0] == "\n" else START + s for s in self.segment.findall(text)]
-
-    def encode_segment(self, segment: str) -> tuple[int, ...]:
+        return [s[1:] if s[0] == SPACE else s if s[0] == "\n" else START + s for s in self.segment.findall(text)], decoded
+
+    def encode_segments(self, segments: list[str]) -> list[list[int]]:
+        """Ids of segments: of those of usual letters for each length together, of others one by one."""
+        out: list = [None] * len(segments)
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for i, segment in enumerate(segments):
+            by_length[len(segment) if segment[:1] != START else 0].append(i)
+        for length, places in by_length.items():
+            if 0 < length <= FEW:
+                text = "".join([segments[i] for i in places])
+                symbols = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)].reshape(-1, length)
+                usual = (symbols >= 0).all(axis=1)
+                places = np.array(places)
+                # After a line feed no space stands in front.
+                for spaced in (True, False):
+                    some = usual & ((symbols[:, 0] != self.symbols["\n"]) == spaced)
+                    own, mine = symbols[some], places[some]
+                    if spaced:
+                        own = np.concatenate((np.full((len(own), 1), self.space), own), axis=1)
+                    for rows, ids in agendas(own, self.table):
+                        for i, row in zip(mine[rows].tolist(), ids.tolist()):
+                            out[i] = row
+                places = places[~usual].tolist()
+            for i in places:
+                out[i] = self.encode_segment(segments[i])
+        return out
+
+    def encode_segment(self, segment: str) -> list[int]:
         """Ids of a segment: after a line feed, at the start without a space (marked by START), or after one space."""
         if segment[:1] == START:
             segment = segment[1:]
@@ -121,9 +222,9 @@ class Pieces:
         symbols = [get(c, -1) for c in segment]
         if -1 in symbols or max(symbols) >= size:
             return self._with_bytes(segment)
-        return tuple(agenda(symbols, self.pairs))
+        return agenda(symbols, self.pairs)
 
-    def _with_bytes(self, segment: str) -> tuple[int, ...]:
+    def _with_bytes(self, segment: str) -> list[int]:
         """Letters that are in no piece, or left over without being one, become the pieces of their bytes."""
         symbols, letters = [], {}
         for c in segment:
@@ -139,28 +240,45 @@ class Pieces:
                 out.extend(self.bytes[b] for b in letters[symbol].encode("utf-8"))
             else:
                 out.append(symbol)
-        return tuple(out)
-
-    def learn(self, segments: set[str]) -> None:
-        """Encode segments not met before and hold them against the library."""
-        if len(self.known) + len(segments) > REMEMBERED:
-            self.known = {s: self.known[s] for s in segments if s in self.known}
-        new = [s for s in segments if s not in self.known]
-        for segment, ids in zip(new, self.library.encode([s.lstrip(START) for s in new], num_threads=1)):
-            own = self.encode_segment(segment)
-            # The library puts a space in front, which a segment after a line feed does not have.
-            if segment and segment[0] != START and (*([self.space] if segment[0] == "\n" else []), *own) != tuple(ids):
-                raise ValueError(f"encoding differs from the library: {segment!r} {own} {ids}")
-            self.known[segment] = own
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        return out
+
+    def learn(self, segments: set[str]) -> list[str]:
+        """Know the ids of segments, those not met before held against the library. Returns the new ones."""
+        if self.letters > REMEMBERED:
+            self.known, self.letters = {}, 0
+        known, names = self.known, self.names
+        new = [s for s in segments if s not in known]
+        if not new:
+            return new
+        plain = [s.lstrip(START) for s in new]
+        own = self.encode_segments(new)
+        theirs, decoded = self.library.encode(plain, num_threads=1), self.library.decode(own, num_threads=1)
+        for segment, text, mine, ids, back in zip(new, plain, own, theirs, decoded):
+            if mine != ids and not self._agrees(segment, mine, ids) or back != text and back != text.replace(SPACE, " "):
+                raise ValueError(f"encoding differs from the library: {segment!r} {mine} {ids} {back!r}")
+            known[segment] = ",".join([names[i] for i in mine])
+        self.letters += sum(map(len, new))
+        return new
+
+    def _agrees(self, segment: str, mine: list[int], ids: list[int]) -> bool:
+        """The library puts a space in front, which a segment after a line feed does not have; by itself it has none."""
+        return segment[:1] in ("", START) or segment[:1] == "\n" and [self.space, *mine] == ids
+
+    def encode(self, texts: list[str]) -> list[tuple[str, str]]:
+        """Ids of each text as decimals with commas, and the text they decode to."""
         split = [self.segments(text) for text in texts]
-        self.learn(set(chain.from_iterable(split)))
-        known = self.known
-        return [list(chain.from_iterable([known[s] for s in segments])) for segments in split]
+        new, known = self.learn(set(chain.from_iterable([segments for segments, _ in split]))), self.known
+        out = [(",".join([known[s] for s in segments]), decoded) for segments, decoded in split]
+        for segment in [s for s in new if len(s) > LONGEST]:
+            del known[segment]
+            self.letters -= len(segment)
+        return out
+
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.library.decode(ids, num_threads=1) if ids else []
+@lru_cache(maxsize=4)
+def vocabulary(path: str) -> Pieces:
+    """One vocabulary of each path in a worker."""
+    return Pieces(path)
 
 
 def hexdigest(text: str) -> str:
@@ -171,8 +289,9 @@ def encode(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text")
     """Ids of every whole text and the text they decode to: id, ids array<int>, decoded string.
 
     One row per row of ``docs``, repeated rows and null ids included. A null text is empty and has
-    no ids. Other columns of ``docs`` do not come out. ``model`` is a path that every executor
-    has. A segment that the library encodes otherwise ends the job.
+    no ids; no rows give no rows. Other columns of ``docs``, whatever their names, do not come out. ``model`` is a path that
+    every executor has. A segment that the library encodes otherwise ends the job. A text may be of any length;
+    a worker holds one and its symbols at a time, and remembers short segments only, up to a number of letters.
     """
     return _encoded(docs, model, id, text, digests=False)
 
@@ -187,17 +306,16 @@ def _encoded(docs: DataFrame, model: str, id: str, text: str, digests: bool) ->
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
-        names = [str(i) for i in range(pieces.library.vocab_size())]
+        pieces = vocabulary(model)
         for batch in batches:
             for part in chunks(batch, "text", 1 << 20):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = pieces.encode(texts)
-                decoded = pieces.decode(ids)
-                columns = [pa.array([len(x) for x in ids], pa.int64()),
-                           pa.array([hexdigest(",".join([names[i] for i in x])) for x in ids], pa.string()),
-                           pa.array([hexdigest(x) for x in decoded], pa.string())] if digests else [
-                               pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                found = pieces.encode([t or "" for t in part.column("text").to_pylist()])
+                if digests:
+                    columns = [pa.array([ids.count(",") + 1 if ids else 0 for ids, _ in found], pa.int64()),
+                               *[pa.array([hexdigest(x) for x in some], pa.string()) for some in zip(*found)]]
+                else:
+                    ids, decoded = zip(*found)
+                    columns = [pa.array([list(map(int, x.split(","))) if x else [] for x in ids], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                 labels = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names=[id, *labels])
 

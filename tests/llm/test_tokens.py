@@ -34,14 +34,38 @@ def test_merging_counts_merges_only():
 def test_ids_and_decoded_texts_are_those_of_the_library():
     own, library = pieces.Pieces(PIECES), SentencePieceProcessor(model_file=PIECES)
     texts = odd_texts(3000, 2)
-    for text, ids in zip(texts, own.encode(texts)):
-        assert ids == library.encode(text), repr(text)
-        assert own.decode([ids]) == [library.decode(ids)]
+    for text, (ids, decoded) in zip(texts, own.encode(texts)):
+        wanted = library.encode(text)
+        assert ids == ",".join(map(str, wanted)), repr(text)
+        assert decoded == library.decode(wanted), repr(text)
+
+
+def test_segments_together_are_as_each_by_itself():
+    own, rng = pieces.Pieces(PIECES), random.Random(4)
+    segments = ["".join(rng.choice(rng.choice(["abcdefghinorst", ODD])) for _ in range(rng.randint(1, 60))) for _ in range(3000)] + ["", "\n", "\na"]
+    assert own.encode_segments(segments) == [own.encode_segment(s) for s in segments]
+    # Equal scores: the leftmost pair first.
+    pairs = {1 << 20 | 2: (0, 7), 2 << 20 | 3: (0, 6), 3 << 20 | 1: (1, 8)}
+    table = pieces.PairTable(pairs)
+    for symbols in ([1, 2, 3], [2, 3, 1, 2], [2, 3, 3, 1], [3, 3]):
+        (_, ids), = pieces.agendas(pieces.np.array([symbols]), table)
+        assert ids[0].tolist() == pieces.agenda(symbols, pairs)
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 100)
+    own, library = pieces.Pieces(PIECES), SentencePieceProcessor(model_file=PIECES)
+    long = "x" * 500 + "yé" * 300
+    for k in range(50):
+        text = f"some words {k} {k * 7919} again {long}"
+        assert own.encode([text])[0][0] == ",".join(map(str, library.encode(text)))
+        assert sum(map(len, own.known)) < 200 and long not in own.known
 
 
 def test_a_difference_from_the_library_is_not_passed_over():
     own = pieces.Pieces(PIECES)
     own.pairs.clear()
+    own.table = pieces.PairTable({})
     with pytest.raises(ValueError, match="differs"):
         own.encode(["hello"])
 
