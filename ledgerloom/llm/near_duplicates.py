@@ -3,33 +3,32 @@
 A text is the sequence of its words in lower case. Of the runs of K words, labelled by their
 occurrence in the text, each sketch takes the PICKED with the smallest hashes and keeps them in the
 order of the text. Texts with an equal sketch are candidates: texts that share many runs in the
-same order, as those do that differ by few edits. In each group of candidates all are
-aligned with one leader of about their length, so that pairs grow with the texts and not with the
-square of a group. Those unlike their leader are sketched again by the runs that the leader has
-not, and so on until none is left: a passage that many texts share does not hide what else they
-share. Texts whose alignment has few enough edits are linked, and linked texts form a class.
+same order, as those do that differ by few edits. Sketches are sorted once; where texts of about
+one length follow each other with an equal one, all are aligned with the first of them, their leader, so that pairs
+grow with the texts and not with the square of a group. Those unlike their leader are sketched again by the runs
+that the leader has not, and so on until none is left: a passage that many texts share does not hide what else they
+share. A text loses runs in every round, so there is an end. Texts whose alignment has few enough edits are linked,
+and linked texts form a class.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.skew import join_hot
 from ledgerloom.llm.text import WHITE, chunks, hashes, mixed, prepare, spans, text_bytes
-from ledgerloom.session import shared_dir
+from ledgerloom.session import shared_dir, work_dir
 
 K, PICKED, SKETCHES = 3, 2, 48
 # Of the longer text's words at most this share may be inserted, deleted or replaced.
 MOST_EDITS = 0.2
-# Groups of so few texts are compared pair by pair; in each round for texts unlike their leaders, four times as many.
-FEW = 4
-# A text of which less than this share is not in its unlike leader is sketched whole once more.
+# What a text has beside its unlike leader is also sketched run by run if it is less than this share.
 LEFT = 0.25
 
 _SEEDS = np.random.default_rng(6).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -75,8 +74,8 @@ def _runs(words: np.ndarray, row: np.ndarray, texts: int) -> tuple[np.ndarray, n
     return mixed(key + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), owner, count
 
 
-def _sketch(key: np.ndarray, owner: np.ndarray, texts: int, salt: int = 0) -> np.ndarray:
-    """Sketches (rows by SKETCHES) of the runs of each text, zero for a text without runs."""
+def _sketch(key: np.ndarray, owner: np.ndarray, texts: int, salt: int = 0, count: int = PICKED) -> np.ndarray:
+    """Sketches (rows by SKETCHES) of ``count`` runs of each text, zero for a text without runs."""
     out = np.zeros((texts, SKETCHES), np.uint64)
     if not len(key):
         return out
@@ -88,7 +87,7 @@ def _sketch(key: np.ndarray, owner: np.ndarray, texts: int, salt: int = 0) -> np
     for s in range(SKETCHES):
         ranks = mixed(key ^ seeds[s])
         picked = []
-        for _ in range(PICKED):
+        for _ in range(count):
             least = np.minimum.reduceat(ranks, heads)
             found = np.flatnonzero(ranks == least[each])  # a run more than once only if all are picked
             at = found[np.concatenate(([True], each[found][1:] != each[found][:-1]))]
@@ -120,7 +119,8 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
 
     The alignment matrix is filled row by row within the band that ``most`` edits can reach, each row
     in a few operations on whole numbers whose bits are the differences along the band. The band
-    starts narrow and widens while it proves too narrow.
+    starts narrow and widens while it proves too narrow. Memory follows the lengths, as the places of a word are kept in
+    stretches of STRETCH, only where it stands.
     """
     if abs(len(a) - len(b)) > most:
         return False
@@ -153,6 +153,37 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
         width *= 4
 
 
+# Words up to which the places of a word are one number; places in a stretch beyond.
+SHORT, STRETCH = 16_384, 1024
+
+
+def _places(b: list[int]) -> Callable[[int, int], tuple[int, int]]:
+    """Looks up at which places a word stands: the place of the lowest bit, and the bits."""
+    places: dict[int, int] = {}
+    for j, word in enumerate(b):
+        places[word] = places.get(word, 0) | 1 << j
+    get = places.get
+    return lambda word, first: (0, get(word, 0))
+
+
+def _places_in_stretches(b: list[int], width: int) -> Callable[[int, int], tuple[int, int]]:
+    """As `_places`, for places from ``first`` over the band alone."""
+    stretches: list[dict[int, bytes]] = []
+    for start in range(0, len(b), STRETCH):
+        own: dict[int, int] = {}
+        for j, word in enumerate(b[start:start + STRETCH]):
+            own[word] = own.get(word, 0) | 1 << j
+        stretches.append({word: bits.to_bytes(STRETCH // 8, "little") for word, bits in own.items()})
+    nothing = bytes(STRETCH // 8)
+
+    def find(word: int, first: int) -> tuple[int, int]:
+        low = max(0, first) // STRETCH
+        high = min(len(stretches), (first + 2 * width) // STRETCH + 1)
+        return low * STRETCH, int.from_bytes(b"".join([some.get(word, nothing) for some in stretches[low:high]]), "little")
+
+    return find
+
+
 def _banded(a: list[int], b: list[int], width: int) -> int:
     """Edit distance of two sequences if it is at most ``width``, else something larger.
 
@@ -160,18 +191,16 @@ def _banded(a: list[int], b: list[int], width: int) -> int:
     column i (places of ``a``), bit k being row i - width + k. ``plus`` and ``minus`` mark where the
     distance grows or falls by one from row to row, already moved to the next step's rows.
     """
-    places: dict[int, int] = {}
-    for j, word in enumerate(b):
-        places[word] = places.get(word, 0) | 1 << j
+    found_at = _places(b) if len(b) <= SHORT else _places_in_stretches(b, width)
     full, top = (1 << 2 * width + 1) - 1, 1 << 2 * width
     plus, minus = full ^ ((1 << width) - 1), 0
     # First the lower border of the band is followed down the diagonal, then the last row to its end.
     score, turn = min(width, len(b)), len(b) - width
     most = width + len(a) - turn  # the last row can take back one edit a column
-    get = places.get
     for i, word in enumerate(a):
-        found = get(word, 0)
-        equal = (found >> i - width if i > width else found << width - i) & full
+        base, found = found_at(word, i - width)
+        move = i - width - base
+        equal = (found >> move if move > 0 else found << -move) & full
         diagonal = ((((equal & plus) + plus) ^ plus) | equal | minus) & full
         right = minus | (full ^ (diagonal | plus))
         left = diagonal & plus
@@ -224,46 +253,79 @@ def row_keys(id: str, text: str) -> list:
             F.xxhash64(F.col(f"`{id}`"), F.lit(1), content).alias("row2")]
 
 
-def _led(rows: DataFrame) -> DataFrame:
-    """The rows of keys that several have, with the least node of the key, its rows (n) and its lengths (low, high)."""
-    leads = rows.groupBy("key").agg(
-        F.min("node").alias("lead"), F.count("*").alias("n"), F.min("words").alias("low"), F.max("words").alias("high")).filter("n > 1")
-    return join_hot(rows, leads, ["key"], "inner")
+PAIRS = "node long, lead long, part long, key long, band long, words long"
 
 
-def _near(one: str, other: str):
-    """Can few enough edits bridge the two lengths."""
-    return F.least(one, other) >= F.greatest(one, other) * (1 - MOST_EDITS) - 1e-9
-
-
-def _candidates(texts: DataFrame, few: int = 2) -> DataFrame:
-    """Distinct pairs (node, lead, part) to align, of texts that share a sketch.
+def _led(rows: DataFrame) -> DataFrame:
+    """Texts of an equal key with their leaders: node, lead, part; and the leaders that other partitions may have too (lead null).
 
-    Up to ``few`` texts of a sketch are paired with each other, and ``part`` is null. In a larger group all are
-    paired with one leader of their band of lengths; ``part`` tells what to compare further if that fails.
+    Rows (key, words, node, part) are dealt by ranges of key and node, so that a key that many texts have is
+    dealt to several tasks, and pass by in order of key and length. Of the texts of a key the first of each of two
+    staggered bands of lengths leads: two texts that few enough edits bridge are in one band of the two. ``part``
+    tells what to compare further if the alignment fails; it is null where no third text has the key.
     """
+    step = 2 * float(-np.log(1 - MOST_EDITS)) * (1 + 1e-9)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The first row's key, and for each system of bands the key, band and leader of the last row.
+        first, last = None, [(None, None, None)] * 2
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, words, node, part = (batch.column(k).to_numpy() for k in ("key", "words", "node", "part"))
+            begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            sizes = np.diff(np.append(begins, len(key)))
+            each = np.repeat(np.arange(len(begins)), sizes)
+            first = key[0] if first is None else first
+            closed = np.ones(len(begins), bool)
+            closed[[0, -1]] = False
+            lone = (closed & (sizes == 2))[each]
+            out = []
+            for system in (0, 1):
+                band = np.floor(np.log(words) / step + system / 2).astype(np.int64)
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (band[1:] != band[:-1])))
+                heads = np.flatnonzero(new)
+                lead = node[heads]
+                if (key[0], band[0]) == last[system][:2]:
+                    lead[0] = last[system][2]
+                    new[0] = False
+                group = np.cumsum(np.concatenate(([True], new[1:]))) - 1
+                last[system] = key[-1], band[-1], lead[-1]
+                pair = node != lead[group]
+                out.append(([node[pair], lead[group][pair], part[pair], key[pair], band[pair], words[pair]], lone[pair]))
+                # Leaders of the first key and of the last key so far.
+                edge = new & ((key == first) | (key == key[-1]))
+                yield _pairs([node[edge], None, part[edge], key[edge], band[edge] * 2 + system, words[edge]], None)
+            for columns, alone in out:
+                yield _pairs(columns, alone)
+
+    return rows.repartitionByRange("key", "node").sortWithinPartitions("key", "words", "node").mapInArrow(run, PAIRS)
+
+
+def _pairs(columns: list[np.ndarray | None], alone: np.ndarray | None) -> pa.RecordBatch:
+    size = len(columns[0])
+    arrays = [pa.nulls(size, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in columns]
+    if alone is not None:
+        arrays[2] = pa.array(columns[2], pa.int64(), mask=alone)
+    return pa.RecordBatch.from_arrays(arrays, names=["node", "lead", "part", "key", "band", "words"])
+
+
+def _candidates(texts: DataFrame) -> DataFrame:
+    """Distinct pairs (node, lead, part) to align, of texts that share a sketch."""
     part = F.col("part") if "part" in texts.columns else F.lit(0).cast("long").alias("part")
-    rows = texts.filter("words > 0").select("node", "words", part, F.explode("sketches").alias("key"))
-    if "part" in texts.columns:
-        rows = rows.groupBy("node", "words", "key").agg(F.min("part").alias("part"))
-    groups = _led(rows)
-    alike = _near("low", "high")
-    # Two texts that few enough edits bridge are in one of the two bands, a step of the allowed ratio each.
-    band = F.floor(F.log("words") / float(-np.log(1 - MOST_EDITS)))
-    banded = _led(groups.filter(~alike & (F.col("n") > few)).select(
-        "node", "words", "part", F.explode(F.array(*[F.xxhash64("key", band + i) for i in (0, 1)])).alias("key")))
-    nothing = F.lit(None).cast("long").alias("part")
-    one = groups.filter(alike & (F.col("n") > few)).unionByName(banded).filter("node != lead")
-    pairs = one.filter("n > 2").select("node", "lead", "part").unionByName(
-        one.filter((F.col("n") == 2) & alike).select("node", "lead", nothing))
-    if few == 2:
-        all_of_few = groups.filter((F.col("n") == 2) & alike & (F.col("node") != F.col("lead"))).select("node", "lead", nothing)
-    else:
-        listed = groups.filter(F.col("n") <= few).groupBy("key").agg(F.collect_list(F.struct("node", "words")).alias("all"))
-        all_of_few = listed.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b")).filter(
-            (F.col("a.node") > F.col("b.node")) & _near("a.words", "b.words")).select(
-            F.col("a.node").alias("node"), F.col("b.node").alias("lead"), nothing)
-    return pairs.unionByName(all_of_few).distinct()
+    rows = texts.filter("words > 0").select("node", "words", part, F.explode(F.array_distinct("sketches")).alias("key"))
+    found = _stored(_led(rows), "led")
+    # A key that goes on in the next partition has a leader in each: they meet here.
+    order = Window.partitionBy("key", "band").orderBy("words", "node")
+    heads = found.filter("lead IS NULL").withColumn("lead", F.first("node").over(order)).filter("node != lead")
+    return found.filter("lead IS NOT NULL").select("node", "lead", "part").unionByName(
+        heads.select("node", "lead", "part")).groupBy("node", "lead").agg(F.min("part").alias("part"))
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    path = work_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 JUDGED = "node long, lead long, linked boolean, words long, rest binary, sketches array<long>"
@@ -287,20 +349,24 @@ def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: i
                     sides.append([words[x:y] for x, y in zip(borders, borders[1:])])
                 linked = [edits_within(a, b, int(MOST_EDITS * max(len(a), len(b)) + 1e-9)) for a, b in zip(*sides)]
                 further = ~np.array(linked, bool) & pc.is_valid(some.column("part")).to_numpy(zero_copy_only=False)
-                marks, sets, owner = [None] * len(linked), [], []
+                marks, sets, owner, little = [None] * len(linked), [], [], []
                 for i in np.flatnonzero(further).tolist():
                     whole, other = (_runs(x[i], np.zeros(len(x[i]), np.int64), 1)[0] for x in sides)
                     own = ~np.isin(whole, other)
                     if (before := some.column("rest")[i].as_py()) is not None:
                         own &= np.unpackbits(np.frombuffer(before, np.uint8), count=len(whole)).view(bool)
                     marks[i] = np.packbits(own).tobytes()
-                    some_left = own.sum()
-                    for runs in ([whole[own]] if some_left else []) + ([whole] if some_left < LEFT * len(whole) else []):
-                        sets.append(runs)
+                    if own.any():
+                        sets.append(whole[own])
                         owner.append(i)
+                        little.append(own.sum() < LEFT * len(whole))
                 sizes = [len(x) for x in sets]
-                found = _sketch(np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes), len(sets), salt)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(np.array(owner, np.int64), minlength=len(linked)) * SKETCHES)))
+                runs, of = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes)
+                found = _sketch(runs, of, len(sets), salt)
+                if any(little):
+                    singles = _sketch(runs, of, len(sets), salt + 1, 1)
+                    found = np.concatenate((found, np.where(np.array(little)[:, None], singles, found)), axis=1)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(np.array(owner, np.int64), minlength=len(linked)) * found.shape[1])))
                 yield pa.RecordBatch.from_arrays([
                     some.column("node"), some.column("lead"), pa.array(linked, pa.bool_()),
                     pa.array([len(x) for x in sides[0]], pa.int64()), pa.array(marks, pa.binary()),
@@ -320,20 +386,19 @@ def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: i
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified pairs (node, lead): of ``pairs``, and of the texts that proved unlike their leaders.
 
-    These are sketched again by what their leader has not, and grouped by that, until no text has an unlike
-    leader. Groups compared pair by pair grow from round to round, so there is an end.
+    These are sketched again by what their leader has not, and led by that, until no text has an unlike leader.
     """
-    judged, few, salt = _judged(pairs, texts, None, 1).checkpoint(), FEW, 1
+    judged, salt = _stored(_judged(pairs, texts, None, 1), "judged"), 1
     links = judged.filter("linked").select("node", "lead")
     kept = None
-    while not (left := judged.filter("NOT linked")).isEmpty():
-        left = left.select("node", "words", "rest", "sketches", F.xxhash64("node", "rest", "sketches").alias("part")).dropDuplicates(
-            ["part"]).checkpoint()
+    while not (left := judged.filter("NOT linked AND size(sketches) > 0")).isEmpty():
+        left = _stored(left.select("node", "words", "rest", "sketches", F.xxhash64("node", "rest", "sketches").alias("part")).dropDuplicates(
+            ["part"]), "left")
         if kept is None:
-            kept = texts.join(left.select("node").distinct(), "node").checkpoint()
-        salt += 1
-        judged = _judged(_candidates(left, few), kept, left.select("part", "rest"), salt).checkpoint()
-        links, few = links.unionByName(judged.filter("linked").select("node", "lead")), 4 * few
+            kept = _stored(texts.join(left.select("node").distinct(), "node"), "unlike")
+        salt += 2
+        judged = _stored(_judged(_candidates(left), kept, left.select("part", "rest"), salt), "judged")
+        links = links.unionByName(judged.filter("linked").select("node", "lead"))
     return links.distinct()
 
 
@@ -364,17 +429,20 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (id, row1, row2, first, links) of every row of ``docs``: ``first`` is the least (id, row1, row2) of its class."""
     shared_dir(prepare(docs.sparkSession))
-    found = _sketched(docs, id, text).checkpoint()
-    nodes = found.groupBy("text1", "text2").agg(
-        F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "row1", "row2")).alias("first"), F.first("words").alias("words"),
-        F.first("sketches").alias("sketches")).checkpoint().withColumn("node", F.monotonically_increasing_id())
-    pairs = _candidates(nodes).checkpoint()
-    wanted = pairs.select("node").union(pairs.select("lead")).distinct().join(
-        nodes.select("node", "first.row1", "first.row2"), "node")
-    # One row has the text of a node; rows that repeat it are brought down to one.
-    texts = docs.select(*row_keys(id, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(
-        wanted, ["row1", "row2"]).groupBy("row1", "row2", "node").agg(F.first("text").alias("text")).select("node", "text").checkpoint()
-    links = _verified(pairs, texts).checkpoint()
+    found = _stored(_sketched(docs, id, text).withColumn("place", F.monotonically_increasing_id()), "sketches")
+    # Repeated rows are counted first, so that only where there are any one has to be picked.
+    rows = found.groupBy("text1", "text2", "id", "row1", "row2").agg(F.count("*").alias("copies"), F.min("place").alias("node"))
+    first = F.struct(F.col("id").isNull().alias("bare"), "id", "row1", "row2", "copies", "node")
+    nodes = _stored(rows.groupBy("text1", "text2").agg(F.min(first).alias("first")).withColumn("node", F.col("first.node")), "nodes")
+    sketched = found.select(F.col("place").alias("node"), "words", "sketches").join(nodes.select("node"), "node")
+    pairs = _stored(_candidates(sketched), "pairs")
+    wanted = _stored(pairs.select("node").union(pairs.select("lead")).distinct().join(
+        nodes.select("node", "first.row1", "first.row2", "first.copies"), "node"), "wanted")
+    # One row has the text of a node.
+    rows = docs.select(*row_keys(id, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(wanted, ["row1", "row2"])
+    texts = _stored(rows.filter("copies = 1").select("node", "text").unionByName(
+        rows.filter("copies > 1").dropDuplicates(["node"]).select("node", "text")), "texts")
+    links = _stored(_verified(pairs, texts), "links")
     roots = components(links)
     degrees = links.select(F.explode(F.array("node", "lead")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     placed = nodes.select("node", "text1", "text2", "first").join(roots, "node", "left").join(degrees, "node", "left").select(
@@ -391,7 +459,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     ``class_id`` is the least id of the rows of a class (null if all are null), ``n_links`` the verified
     links of the row's word sequence with others. Rows with equal word sequences are in one class
     without a link; texts without words only if their bytes are equal, a null text being empty.
-    One row per row of ``docs``, repeated rows and null ids included. Other columns do not come out.
+    One row per row of ``docs``, repeated rows and null ids included; no rows give none. Other columns do not come out.
+    Texts may be of any length: an alignment holds two, and bits for the places of their words.
     """
     return classes(docs, id, text).select(
         F.col("id").alias(id), F.col("first.id").alias("class_id"), F.col("links").alias("n_links"))
