@@ -5,9 +5,9 @@ before it within the word; the word has blanks in front. An n-gram is packed int
 counts are exact. Tasks count in numpy and send each n-gram once; Spark sums, derives
 the continuation counts and joins each n-gram with the totals of its context.
 
-For scoring, probabilities and backoff weights go into hash tables, built shard by shard. A table has
-sixteen times as many slots as entries, up to a fixed number whatever the corpus: a broadcast of the
-tables is bounded. Where n-grams meet in a slot, the most frequent one stays and the others back off.
+For scoring, probabilities and backoff weights go into sorted tables that hold every entry. n-grams of
+bytes within words saturate: their number follows the alphabets more than the corpus. A model of more than
+MOST_ENTRIES is refused, never thinned, so that a broadcast of the tables is bounded.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -27,10 +26,8 @@ from ledgerloom.llm.text import WHITE, chunks, hashes, spans, text_bytes
 ORDER = 5
 BLANK, AGAIN = 0x20, 0x01
 
-# Slots a table may have: primes, so that keys spread by remainder. Each takes four bytes.
-SLOTS = [257, 4_099, 65_537, 262_147, 1_048_573, 2_097_143]
-MARKS = 65_521
-SHARD = 1 << 15
+# Entries of all tables of a model together, of twelve bytes each.
+MOST_ENTRIES = 24_000_000
 
 # Distinct n-grams a task holds before it sends them on.
 HELD = 2_000_000
@@ -141,7 +138,7 @@ def _suffix(gram, size):
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """Table entries (class, back boolean, size int, key, value, weight) of the model of each class.
+    """Table entries (class, back boolean, size int, key, value) of the model of each class.
 
     ``counts`` (class, gram, n) is read twice and should be stored. Entries with ``back`` false give the
     discounted probability of an n-gram of ``size`` bytes, the others the weight that the lower
@@ -171,76 +168,48 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     seen = grams.join(contexts, ["class", "size", "context"]).select(
         "class", F.lit(False).alias("back"), "size", F.col("gram").alias("key"),
-        (F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")).alias("value"), F.col("n").alias("weight"))
+        (F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")).cast("float").alias("value"))
+    # Discounts are above nothing, so an unseen byte is never impossible.
     back = contexts.select(
         "class", F.lit(True).alias("back"), "size", F.col("context").alias("key"),
-        # Never nothing, as an unseen byte would then be impossible.
-        F.greatest((F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total"),
-                   F.lit(1e-4)).alias("value"), F.col("total").alias("weight"))
+        ((F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total")).cast("float").alias("value"))
     return seen.unionByName(back)
 
 
-Table = tuple[int, np.ndarray, np.ndarray]
-
-
-def _slots(entries: DataFrame) -> dict[tuple[int, bool, int], int]:
-    """Slots of each table (class, back, size)."""
-    counted = entries.groupBy("class", "back", "size").count().collect()  # a row for each table
-    return {(r["class"], r["back"], r["size"]): next((s for s in SLOTS if s >= 16 * r["count"]), SLOTS[-1]) for r in counted}
-
-
-def _shards(entries: DataFrame, sizes: dict[tuple[int, bool, int], int]) -> DataFrame:
-    """Dense shards (class, back, size, shard, marks, numbers) of the slots of each table."""
-    number = lambda kind, back, size: (kind * 2 + back) * (ORDER + 1) + size
-    slots = F.create_map(*[F.lit(x) for key, s in sizes.items() for x in (number(*key), s)])
-    which = number(F.col("class"), F.col("back").cast("int"), F.col("size"))
-    placed = entries.withColumn("slots", F.element_at(slots, which).cast("long")).select(
-        "class", "back", "size", F.pmod("key", F.col("slots")).alias("slot"),
-        (F.pmod(F.expr("key div slots"), F.lit(MARKS)) + 1).cast("int").alias("mark"),
-        F.col("value").cast("float").alias("value"), "weight", "key")
-    best = placed.groupBy("class", "back", "size", "slot").agg(
-        F.max_by(F.struct("mark", "value"), F.struct("weight", "key")).alias("best"))
-    dealt = best.select("class", "back", "size", (F.col("slot") / SHARD).cast("int").alias("shard"),
-                        F.pmod("slot", F.lit(SHARD)).cast("int").alias("slot"), "best.*")
-
-    def dense(rows: pd.DataFrame) -> pd.DataFrame:
-        marks, numbers = np.zeros(SHARD, np.uint16), np.zeros(SHARD, np.float16)
-        marks[rows["slot"]], numbers[rows["slot"]] = rows["mark"], rows["value"]
-        head = rows.iloc[0]
-        return pd.DataFrame({"class": [head["class"]], "back": [head["back"]], "size": [head["size"]],
-                             "shard": [head["shard"]], "marks": [marks.tobytes()], "numbers": [numbers.tobytes()]})
-
-    return dealt.groupBy("class", "back", "size", "shard").applyInPandas(
-        dense, "class int, back boolean, size int, shard int, marks binary, numbers binary")
+Table = tuple[np.ndarray, np.ndarray]
 
 
 def tables(entries: DataFrame) -> dict[tuple[int, bool, int], Table]:
-    """All tables on the driver: for each class at most 2 * ORDER of them with the largest number of SLOTS."""
+    """Keys in order and values of all tables (class, back, size). More than MOST_ENTRIES are refused."""
+    entries = entries.checkpoint()
+    if (count := entries.count()) > MOST_ENTRIES:
+        raise ValueError(f"the model has {count} entries, more than {MOST_ENTRIES}: train it with a smaller ORDER, or raise the bound")
+    found = entries.toArrow()  # of bounded size
+    kind, back, size, key, value = (found.column(name).to_numpy() for name in ("class", "back", "size", "key", "value"))
+    key = key.view(np.uint64)
+    order = np.lexsort((key, size, back, kind))
+    kind, back, size, key, value = (x[order] for x in (kind, back, size, key, value))
+    borders = np.flatnonzero((np.diff(kind) != 0) | (np.diff(back.astype(np.int8)) != 0) | (np.diff(size) != 0)) + 1
     out: dict[tuple[int, bool, int], Table] = {}
-    if not (sizes := _slots(entries)):
-        return out
-    for row in _shards(entries, sizes).toLocalIterator():
-        if (key := (row["class"], row["back"], row["size"])) not in out:
-            room = -(-sizes[key] // SHARD) * SHARD
-            out[key] = sizes[key], np.zeros(room, np.uint16), np.zeros(room, np.float16)
-        at = row["shard"] * SHARD
-        out[key][1][at:at + SHARD] = np.frombuffer(row["marks"], np.uint16)
-        out[key][2][at:at + SHARD] = np.frombuffer(row["numbers"], np.float16)
+    for start, stop in zip([0, *borders], [*borders, len(key)]):
+        if start < stop:
+            out[int(kind[start]), bool(back[start]), int(size[start])] = key[start:stop].copy(), value[start:stop].astype(np.float32)
     return out
 
 
 def _looked_up(table: Table | None, keys: np.ndarray, missing: float) -> np.ndarray:
     if table is None:
         return np.full(len(keys), missing, np.float32)
-    size, marks, numbers = table
-    quotient, slot = np.divmod(keys, np.uint64(size))
-    slot = slot.astype(np.int64)
-    hit = marks[slot] == (quotient % np.uint64(MARKS) + np.uint64(1)).astype(np.uint16)
-    return np.where(hit, numbers[slot].astype(np.float32), np.float32(missing))
+    own, values = table
+    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    return np.where(own[at] == keys, values[at], np.float32(missing))
 
 
 def probabilities(model: dict, kind: int, grams: np.ndarray, sizes: range, lower: np.ndarray | None = None) -> np.ndarray:
-    """Interpolated probability of each event with the orders ``sizes`` of a class above ``lower``."""
+    """Interpolated probability of each event with the orders ``sizes`` of a class above ``lower``.
+
+    ``grams`` are best distinct and in order.
+    """
     p = np.full(len(grams), 1 / 256, np.float32) if lower is None else lower
     for size in sizes:
         gram = grams & np.uint64((1 << 8 * size) - 1)
@@ -249,6 +218,12 @@ def probabilities(model: dict, kind: int, grams: np.ndarray, sizes: range, lower
     return p
 
 
+def per_event(words: Words, value: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """A value of each event, which ``value`` gives for distinct n-grams."""
+    distinct, which = np.unique(words.grams, return_inverse=True)
+    return value(distinct)[which.reshape(-1)]
+
+
 def per_word(words: Words, values: np.ndarray) -> np.ndarray:
     """Sum over the events of each distinct word."""
     return np.add.reduceat(values.astype(np.float64), words.heads) if len(words.heads) else np.zeros(0)

@@ -10,7 +10,6 @@ fitted to training rows that the models have not seen.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,12 +36,15 @@ def part_of(id: Column) -> Column:
 def evidence(tables: dict, column: pa.Array) -> dict[str, np.ndarray]:
     """The two measures of each text; without words the least there is."""
     words = ngram.words_of(column, lower=True, mark_repeats=False)
-    grams = words.grams
-    shared = ngram.probabilities(tables, SHARED, grams, range(1, SHARED_ORDERS + 1))
-    own = range(SHARED_ORDERS + 1, ngram.ORDER + 1)
-    toxic = ngram.probabilities(tables, TOXIC, grams, own, shared)
-    ordinary = ngram.probabilities(tables, ORDINARY, grams, own, shared)
-    each = ngram.per_word(words, np.log(toxic) - np.log(ordinary))
+
+    def difference(grams: np.ndarray) -> np.ndarray:
+        shared = ngram.probabilities(tables, SHARED, grams, range(1, SHARED_ORDERS + 1))
+        own = range(SHARED_ORDERS + 1, ngram.ORDER + 1)
+        toxic = ngram.probabilities(tables, TOXIC, grams, own, shared)
+        ordinary = ngram.probabilities(tables, ORDINARY, grams, own, shared)
+        return np.log(toxic) - np.log(ordinary)
+
+    each = ngram.per_word(words, ngram.per_event(words, difference))
     count = ngram.per_row(words, np.ones(len(each)), np.add, 0.0)
     excess = ngram.per_row(words, np.maximum(each - NOISE, 0.0), np.add, 0.0)
     return {"peak": ngram.per_row(words, each / np.maximum(words.sizes, 1), np.maximum, 0.0),
@@ -106,7 +108,8 @@ def scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     Labels of part 0 of the ids are never used. An id is toxic if any of its labels is 1; null
     labels count for nothing. A null text or one without words has a score near 0. Without
     labels of both classes no text is called toxic unless all labels are. One row per row of ``docs``,
-    repeated rows and null ids included. Other columns do not come out.
+    repeated rows and null ids included; no rows give none. Other columns do not come out. Texts may be of any length;
+    a batch holds a bounded number of bytes, or one text.
     """
     rows = plain(docs, id, text).toDF("id", "text")
     marks = plain(labels, id, toxic).toDF("id", "toxic").filter((part_of(F.col("id")) != 0)).groupBy("id").agg(

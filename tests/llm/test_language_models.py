@@ -60,9 +60,7 @@ def model(spark):
     rows = spark.createDataFrame([(0, t) for t in TEXTS], "class int, text string")
     counts = ngram.count_grams(rows, lower=True, mark_repeats=False).checkpoint()
     assert {(r["gram"], r.n) for r in counts.collect()} == {(int.from_bytes(g, "big"), n) for g, n in Counter(events(TEXTS)).items()}
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(ngram, "SLOTS", ngram.SLOTS[-1:])  # so many that no two n-grams meet
-        return ngram.tables(ngram.kneser_ney(counts))
+    return ngram.tables(ngram.kneser_ney(counts))
 
 
 def test_probabilities(model):
@@ -70,10 +68,10 @@ def test_probabilities(model):
     seen = [*events(TEXTS), *events(["unseen word cats", "zzz"])]
     grams = np.array([int.from_bytes(g, "big") for g in seen], np.uint64)
     found = ngram.probabilities(model, 0, grams, range(1, ngram.ORDER + 1))
-    assert np.allclose(found, [p(g, ngram.ORDER) for g in seen], rtol=3e-3)  # half-precision tables
+    assert np.allclose(found, [p(g, ngram.ORDER) for g in seen], rtol=1e-4)
     context = b" the"
     whole = ngram.probabilities(model, 0, np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint64), range(1, 6))
-    assert math.isclose(whole.sum(), 1.0, rel_tol=3e-3)
+    assert math.isclose(whole.sum(), 1.0, rel_tol=1e-4)
 
 
 def test_words_and_repeats():
@@ -83,13 +81,29 @@ def test_words_and_repeats():
     assert [spelled[w] for w in words.which] == ["a ", "\x01 ", "\x01 ", "b ", "b ", "\x01 "]
 
 
-def test_a_full_table_backs_off(spark, monkeypatch):
-    monkeypatch.setattr(ngram, "SLOTS", [257])
+def test_a_model_that_is_too_large_is_refused(spark, monkeypatch):
     rows = spark.createDataFrame([(0, f"word{i} other{i * 7}") for i in range(300)], "class int, text string")
-    tables = ngram.tables(ngram.kneser_ney(ngram.count_grams(rows, True, False).checkpoint()))
-    grams = ngram.words_of(pa.array(["word1 zebra"]), True, False).grams
-    found = ngram.probabilities(tables, 0, grams, range(1, 6))
-    assert ((found > 0) & (found <= 1.01)).all()
+    entries = ngram.kneser_ney(ngram.count_grams(rows, True, False).checkpoint())
+    monkeypatch.setattr(ngram, "MOST_ENTRIES", 1000)
+    with pytest.raises(ValueError, match="entries"):
+        ngram.tables(entries)
+
+
+def test_the_production_tables_hold_everything(tables):
+    """All trusted text of a table: every n-gram has its entry, and the bytes after any context sum to one."""
+    docs, labels = tables
+    trusted = docs.join(labels.filter("quality = 1"), "doc_id").select(F.lit(0).alias("class"), "text")
+    counts = ngram.count_grams(trusted, lower=False, mark_repeats=True).checkpoint()
+    model = ngram.tables(ngram.kneser_ney(counts))
+    grams = np.sort(np.array([r.gram for r in counts.select("gram").collect()], np.int64).view(np.uint64))
+    for size in range(1, ngram.ORDER + 1):
+        wanted = np.unique(grams & np.uint64((1 << 8 * size) - 1))
+        assert np.array_equal(model[0, False, size][0], wanted)
+        assert np.array_equal(model[0, True, size][0], np.unique(wanted >> np.uint64(8)))
+    contexts = np.random.default_rng(1).choice(np.unique(grams >> np.uint64(8)), 300)
+    events = (contexts[:, None] << np.uint64(8) | np.arange(256, dtype=np.uint64)[None, :]).ravel()
+    sums = ngram.probabilities(model, 0, events, range(1, ngram.ORDER + 1)).reshape(-1, 256).sum(axis=1)
+    assert np.abs(sums - 1).max() < 1e-4
 
 
 @pytest.fixture(scope="module")

@@ -11,7 +11,7 @@ ROOT = Path(ledgerloom.llm.__file__).parent
 def test_source():
     text = "\n".join(p.read_text() for p in ROOT.glob("*.py"))
     assert not re.search(r"localCheckpoint|toPandas|crossJoin|\.rdd\b|F\.broadcast", text)
-    # Broadcasts are of model tables, whose size is fixed.
+    # Broadcasts are of model tables, whose size has a bound.
     assert text.count("sparkContext.broadcast(") == text.count("sparkContext.broadcast(ngram.tables(") == 2
 
 
