@@ -251,6 +251,19 @@ def _upserted(t):
     return sinks.read_model(t.spark, path, projections.SUMMARY_KEYS, "version")
 
 
+@register("s5_read_model_compacted", f"{_SUMMARY} SELECT * FROM summary")
+def _compacted(t):
+    path, log = work_dir(t.spark, "read-model"), _transitions(t)
+    for batch_id in range(4):
+        part = projections.instance_summary(log.filter(F.col("seq") % 4 == (batch_id + 2) % 4))
+        sinks.upsert_read_model(part, batch_id, path, projections.SUMMARY_KEYS, "version")
+        if batch_id % 2:
+            sinks.compact_read_model(t.spark, path, projections.SUMMARY_KEYS, "version")
+            # A batch that comes again after it has been folded changes nothing.
+            sinks.upsert_read_model(part.limit(0), batch_id, path, projections.SUMMARY_KEYS, "version")
+    return sinks.read_model(t.spark, path, projections.SUMMARY_KEYS, "version")
+
+
 @register("s6_append_undated", "SELECT period_id, count(*) AS lines, CAST(sum(debit) AS DECIMAL(38,4)) AS debit FROM undated_line GROUP BY period_id")
 def _appended_undated(t):
     path = work_dir(t.spark, "ledger")

@@ -290,3 +290,39 @@ def test_quality_rule(make):
         (1, 2, 1, 50.0, "approved"), (2, 1, 1, 100.0, "open"), (3, 0, 0, None, "none"),
     ]
     assert got(jobshop.qa_violations(jobs, routings, ops, qa)) == [(1, 1)]
+
+
+def test_a_batch_reads_the_ids_of_its_own_buckets(make, spark, tmp_path):
+    path = f"{tmp_path}/ledger"
+    rows = spark.range(20_000).selectExpr("id AS entry_id", "1 AS amount", "cast(id % 3 as int) AS period_id")
+    sinks.append_ledger(rows, path)
+    files = sinks._Files(spark, path)
+    batch = make("entry_id int, amount int, period_id int", (5, 9, 7), (6, 9, None), (30_000, 1, 1))
+    buckets = [r[0] for r in batch.select(sinks._bucket("entry_id")).distinct().collect()]
+    read = sinks._indexed(spark, files, buckets)
+    # Files of three buckets, and no file of the ledger itself.
+    assert len(read.inputFiles()) <= 3 * 4 and all("/_ids/" in name for name in read.inputFiles())
+    assert read.count() < 20_000 * 6 / sinks.ID_BUCKETS
+    sinks.append_ledger(batch, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 20_001 and got(stored.filter("entry_id in (5, 6, 30000)").select("entry_id", "amount")) == [(30_000, 1), (5, 1), (6, 1)]
+
+
+def test_an_append_that_broke_off_is_made_good(make, spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/ledger"
+    schema = "entry_id int, amount int, period_id int"
+    make(schema, (1, 1, 1)).write.partitionBy("period_id").parquet(path)  # a ledger without an index
+    real = sinks._index
+
+    def broken(rows, files, key):
+        if files.exists("_appending"):
+            raise RuntimeError("lost")
+        real(rows, files, key)
+
+    monkeypatch.setattr(sinks, "_index", broken)
+    with pytest.raises(RuntimeError):
+        sinks.append_ledger(make(schema, (1, 5, 2), (2, 1, 1)), path)
+    monkeypatch.setattr(sinks, "_index", real)
+    sinks.append_ledger(make(schema, (1, 5, 2), (2, 5, 2), (3, 1, 1)), path)
+    assert got(spark.read.parquet(path).select("entry_id", "amount")) == [(1, 1), (2, 1), (3, 1)]
+    assert not (tmp_path / "ledger" / "_appending").exists() and not list((tmp_path / "ledger" / "_making").glob("[!.]*"))

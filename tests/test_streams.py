@@ -46,9 +46,66 @@ def test_read_model_ignores_replays_and_late_rows(make, spark, tmp_path):
         sinks.upsert_read_model(batch, batch_id, path, KEYS, "version")
     expected = [("w", 1, "B", 2), ("w", 2, "A", 1), ("w", 3, "A", 1)]
     assert got(sinks.read_model(spark, path, KEYS, "version").select(new.columns)) == expected
-    sinks.compact_read_model(spark, path, f"{tmp_path}/rm2", KEYS, "version")
-    assert got(sinks.read_model(spark, f"{tmp_path}/rm2", KEYS, "version").select(new.columns)) == expected
-    assert len(list((tmp_path / "rm2" / "writer=compacted").iterdir())) == 1
+    assert sinks.compact_read_model(spark, path, KEYS, "version")
+    assert got(sinks.read_model(spark, path, KEYS, "version").select(new.columns)) == expected
+
+
+def test_read_model_generations(make, spark, tmp_path):
+    schema = "workflow_name string, instance_id int, current_state string, version int"
+    path = f"{tmp_path}/rm"
+    write = lambda batch_id, *rows: sinks.upsert_read_model(make(schema, *rows), batch_id, path, KEYS, "version")
+    read = lambda: sinks.read_model(spark, path, KEYS, "version").select(make(schema).columns)
+    with pytest.raises(FileNotFoundError):
+        read()
+    write(0, ("w", 1, "A", 1))
+    write(2, ("w", 2, "A", 1))
+    before = read()
+    assert sinks.compact_read_model(spark, path, KEYS, "version")
+    write(1, ("w", 1, "B", 2))  # an id between those folded is a batch of its own
+    write(2, ("w", 2, "Z", 9))  # one that was folded comes again
+    write(3, ("w", 3, "A", 1))
+    # Somebody who began to read before the switch still sees what there was.
+    assert got(before) == [("w", 1, "A", 1), ("w", 2, "A", 1)]
+    expected = [("w", 1, "B", 2), ("w", 2, "A", 1), ("w", 3, "A", 1)]
+    assert got(read()) == expected
+    sinks.vacuum_read_model(spark, path, 3600)
+    assert got(before) == [("w", 1, "A", 1), ("w", 2, "A", 1)]
+    assert sinks.compact_read_model(spark, path, KEYS, "version")
+    sinks.vacuum_read_model(spark, path, 0)
+    assert got(read()) == expected
+    names = lambda folder: [p.name for p in (tmp_path / "rm" / folder).iterdir() if not p.name.startswith(".")]
+    assert len(names("generations")) == 1 and names("batches/main") == [] and len(names("manifests")) == 1
+
+
+def test_of_two_compactions_one_wins(make, spark, tmp_path, monkeypatch):
+    schema, path = "workflow_name string, instance_id int, version int", f"{tmp_path}/rm"
+    sinks.upsert_read_model(make(schema, ("w", 1, 1)), 0, path, KEYS, "version")
+    real, once = sinks._merged, []
+
+    def slow(*args):
+        found = real(*args)
+        if not once:
+            once.append(1)
+            assert sinks.compact_read_model(spark, path, KEYS, "version")
+            sinks.upsert_read_model(make(schema, ("w", 2, 1)), 1, path, KEYS, "version")
+        return found
+
+    monkeypatch.setattr(sinks, "_merged", slow)
+    assert not sinks.compact_read_model(spark, path, KEYS, "version")
+    assert got(sinks.read_model(spark, path, KEYS, "version").select("instance_id")) == [(1,), (2,)]
+
+
+def test_a_stream_goes_on_across_compactions(make, spark, tables, tmp_path):
+    log = workflow.applied(workflow.replay(tables["workflow_event"], tables["transition"]))
+    log.repartitionByRange(7, "event_id").write.parquet(f"{tmp_path}/log")
+    stored = spark.read.parquet(f"{tmp_path}/log")
+    stream = read_event_stream(spark, f"{tmp_path}/log", stored.schema, max_files=1)
+    projection.stream_instance_summary(stream, f"{tmp_path}/rm", f"{tmp_path}/state", compact_every=2, keep_seconds=0).awaitTermination()
+    kept = sinks.read_model(spark, f"{tmp_path}/rm", KEYS, "version")
+    rebuilt = projections.rebuild(stored.withColumn("ts", stored.ts.cast("timestamp")))
+    assert one(migrate.same_rows(kept.select(rebuilt.columns), rebuilt))["same"]
+    folders = [p for p in (tmp_path / "rm").glob("*/*") if not p.name.startswith(".") and p.parent.name in ("batches", "generations")]
+    assert len([p for p in folders if p.parent.name == "generations"]) <= 2
 
 
 def test_streamed_projection_equals_rebuild(spark, tables, tmp_path):
