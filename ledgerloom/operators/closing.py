@@ -6,68 +6,85 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY_TOTAL, total, zero
+from ledgerloom.functions.skew import join_hot
 from ledgerloom.operators.ledger import assign_period, posted_lines
 from ledgerloom.operators.migrate import reconcile
 from ledgerloom.session import shared_dir
 
 
-def account_lineage(accounts: DataFrame) -> DataFrame:
-    """Each account with itself and all accounts above it.
+def _jumped(nodes: DataFrame, many: int) -> DataFrame:
+    """Follow parents by doubling: (account_id, hop, depth, issue, top, low, net) after all that matters.
 
-    Columns: account_id, ancestor_id, distance, issue. A parent that does not exist
-    ends the walk with ``missing_parent``, one that the walk has already passed with ``cycle``.
-
-    The reach doubles in each round: who is 2n above is n above the account n above. So any depth
-    takes its logarithm in rounds, and a chain that goes on after as many as there are accounts
-    is a cycle.
+    After k rounds ``hop`` is the account 2^k above, if there is one, ``net`` the sum of those less than 2^k below,
+    itself included; ``depth`` counts the accounts above, ``top`` is the last and ``low`` the least of them, as far as
+    2^k. Each round adds to an account what those have whose ``hop`` it is, so that rows stay as many as accounts.
+    What still has a hop after as many steps as there are accounts leads into a cycle.
     """
-    shared_dir(accounts.sparkSession)
-    parents = accounts.select("account_id", F.col("parent_account_id").alias("parent_id")).checkpoint()
-    known = parents.select(F.col("account_id").alias("parent_id"))
-    hops = parents.join(known, "parent_id").select("account_id", F.col("parent_id").alias("hop"))
-    lineage = parents.select("account_id", F.col("account_id").alias("ancestor_id"), F.lit(0).cast("long").alias("distance"))
-    reach, many = 1, parents.count()
-    while reach < 2 * many and not hops.isEmpty():
-        above = lineage.select(F.col("account_id").alias("hop"), "ancestor_id", (F.col("distance") + reach).alias("distance"))
-        lineage = (
-            lineage.unionByName(hops.join(above, "hop").select("account_id", "ancestor_id", "distance"))
-            .groupBy("account_id", "ancestor_id").agg(F.min("distance").alias("distance")).checkpoint()
+    reach = 1
+    while True:
+        nodes = nodes.checkpoint()
+        if reach > many or nodes.filter("hop is not null").isEmpty():
+            return nodes
+        above = nodes.select(
+            F.col("account_id").alias("at"), F.col("hop").alias("hop2"), F.col("depth").alias("depth2"), F.col("issue").alias("issue2"),
+            F.col("top").alias("top2"), F.col("low").alias("low2"),
+        )
+        below = nodes.filter("hop is not null").groupBy(F.col("hop").alias("account_id")).agg(total("net").alias("more"))
+        moved = join_hot(nodes, above, {"hop": "at"}, "left")
+        nodes = moved.join(below, "account_id", "left").select(
+            "account_id", F.col("hop2").alias("hop"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
+            F.coalesce("issue", "issue2").alias("issue"), F.coalesce("top2", "top").alias("top"), F.least("low", "low2").alias("low"),
+            (F.col("net") + F.coalesce("more", zero())).cast(MONEY_TOTAL).alias("net"),
         )
-        onward = hops.select(F.col("account_id").alias("hop"), F.col("hop").alias("next"))
-        hops = hops.join(onward, "hop").select("account_id", F.col("next").alias("hop")).checkpoint()
         reach *= 2
-    ends = lineage.groupBy("account_id").agg(F.max_by("ancestor_id", "distance").alias("last"), F.max("distance").alias("distance"))
-    beyond = ends.join(
-        parents.filter("parent_id is not null").select(F.col("account_id").alias("last"), "parent_id"), "last"
-    ).join(known.select("parent_id", F.lit(True).alias("exists")), "parent_id", "left")
-    issues = beyond.select(
-        "account_id", F.col("parent_id").alias("ancestor_id"), (F.col("distance") + 1).alias("distance"),
-        F.when(F.col("exists"), "cycle").otherwise("missing_parent").alias("issue"),
-    )
-    return lineage.withColumn("issue", F.lit(None).cast("string")).unionByName(issues)
 
 
 def account_rollup(tb: DataFrame, accounts: DataFrame) -> DataFrame:
     """Own and subtree balance of each account, its depth, and what is wrong with its chain.
 
-    Balances reach every real ancestor once, also when the chain ends in an issue.
+    Balances reach every real ancestor once, also when the chain ends in an issue: ``missing_parent``, or ``cycle``, of
+    which all members have one subtree. An account named twice has the least of its parents. Sums are carried up by
+    doubling steps; no row is made for an account and one of those above it.
     """
-    lineage = account_lineage(accounts)
-    shape = lineage.groupBy("account_id").agg(
-        F.count_if(F.col("issue").isNull() & (F.col("distance") > 0)).alias("depth"), F.max("issue").alias("issue")
-    )
-    own = tb.select("account_id", F.col("net").cast(MONEY_TOTAL).alias("net"))
-    subtree = (
-        lineage.filter("issue is null").select("account_id", "ancestor_id").join(own, "account_id")
-        .groupBy("ancestor_id").agg(total("net").alias("subtree_net"))
-    )
-    return (
-        shape.join(own, "account_id", "left")
-        .join(subtree, F.col("account_id") == F.col("ancestor_id"), "left")
+    shared_dir(accounts.sparkSession)
+    parents = accounts.groupBy("account_id").agg(F.min("parent_account_id").alias("parent_id"))
+    own = tb.groupBy("account_id").agg(total("net").alias("own_net"))
+    known = parents.select(F.col("account_id").alias("known"))
+    hop = F.col("known")
+    started = (
+        join_hot(parents, known.withColumn("found", F.col("known")), {"parent_id": "known"}, "left").withColumnRenamed("found", "known")
+        .join(own, "account_id", "left")
         .select(
-            "account_id", F.coalesce("net", zero()).alias("own_net"),
-            F.coalesce("subtree_net", zero()).alias("subtree_net"), "depth", "issue",
-        )
+            "account_id", F.coalesce("own_net", zero()).alias("own_net"), hop.alias("hop"),
+            F.when(hop.isNotNull(), 1).otherwise(0).cast("long").alias("depth"),
+            F.when(F.col("parent_id").isNotNull() & hop.isNull(), "missing_parent").alias("issue"),
+            F.coalesce(hop, "account_id").alias("top"), F.least("account_id", hop).alias("low"),
+            F.coalesce("own_net", zero()).alias("net"),
+        ).checkpoint()
+    )
+    many = started.count()
+    nodes = _jumped(started.drop("own_net"), many)
+    result = ["account_id", "own_net", F.col("net").alias("subtree_net"), "depth", "issue"]
+    owned = started.select("account_id", "own_net")
+    ended = nodes.join(owned, "account_id")
+    if nodes.filter("hop is not null").isEmpty():
+        return ended.select(*result)
+    # After so many steps a hop is a member of the cycle, and each member is the hop of some account; the
+    # least account that members meet names their cycle.
+    members = nodes.join(nodes.select(F.col("hop").alias("account_id")).filter("account_id is not null").distinct(), "account_id").select(
+        "account_id", F.col("low").alias("cycle"))
+    cut = started.join(members, "account_id", "left")
+    open_hop = F.when(F.col("cycle").isNull(), F.col("hop"))
+    trees = _jumped(cut.select(
+        "account_id", open_hop.alias("hop"), F.when(open_hop.isNotNull(), 1).otherwise(0).cast("long").alias("depth"), "issue",
+        F.coalesce(open_hop, "account_id").alias("top"), "low", F.col("own_net").alias("net")), many)
+    cycles = trees.join(members, "account_id").groupBy("cycle").agg(F.count(F.lit(1)).alias("length"), total("net").alias("whole"))
+    member = members.join(cycles, "cycle").select(F.col("account_id").alias("member"), "length", "whole")
+    placed = join_hot(trees, member, {"top": "member"}, "left").join(owned, "account_id")
+    return placed.select(
+        "account_id", "own_net", F.when(F.col("account_id") == F.col("top"), F.coalesce("whole", "net")).otherwise(F.col("net")).alias("subtree_net"),
+        (F.col("depth") + F.coalesce(F.col("length") - 1, F.lit(0))).alias("depth"),
+        F.when(F.col("length").isNotNull(), "cycle").otherwise(F.col("issue")).alias("issue"),
     )
 
 
