@@ -28,8 +28,8 @@ from ledgerloom.session import shared_dir, work_dir
 K, PICKED, SKETCHES = 3, 2, 48
 # Of the longer text's words at most this share may be inserted, deleted or replaced.
 MOST_EDITS = 0.2
-# What a text has beside its unlike leader is also sketched run by run if it is less than this share.
-LEFT = 0.25
+# What a text has beside its unlike leader is also sketched by so many single runs if it is less than this share.
+LEFT, SINGLES = 0.25, 16
 
 _SEEDS = np.random.default_rng(6).integers(1, 2**63, SKETCHES, dtype=np.uint64)
 _ROLL = np.uint64(0xD6E8FEB86659FD93)
@@ -364,8 +364,9 @@ def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: i
                 runs, of = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes)
                 found = _sketch(runs, of, len(sets), salt)
                 if any(little):
-                    singles = _sketch(runs, of, len(sets), salt + 1, 1)
-                    found = np.concatenate((found, np.where(np.array(little)[:, None], singles, found)), axis=1)
+                    singles = _sketch(runs, of, len(sets), salt + 1, 1)[:, :SINGLES]
+                    usual = found[:, :SINGLES]
+                    found = np.concatenate((found, np.where(np.array(little)[:, None], singles, usual)), axis=1)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(np.array(owner, np.int64), minlength=len(linked)) * found.shape[1])))
                 yield pa.RecordBatch.from_arrays([
                     some.column("node"), some.column("lead"), pa.array(linked, pa.bool_()),
@@ -397,7 +398,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         if kept is None:
             kept = _stored(texts.join(left.select("node").distinct(), "node"), "unlike")
         salt += 2
-        judged = _stored(_judged(_candidates(left), kept, left.select("part", "rest"), salt), "judged")
+        # Stored, the pairs have a size by which the join with texts is planned: the last rounds have few.
+        pairs = _stored(_candidates(left), "pairs")
+        judged = _stored(_judged(pairs, kept, left.select("part", "rest"), salt), "judged")
         links = links.unionByName(judged.filter("linked").select("node", "lead"))
     return links.distinct()
 
@@ -438,8 +441,9 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     pairs = _stored(_candidates(sketched), "pairs")
     wanted = _stored(pairs.select("node").union(pairs.select("lead")).distinct().join(
         nodes.select("node", "first.row1", "first.row2", "first.copies"), "node"), "wanted")
-    # One row has the text of a node.
-    rows = docs.select(*row_keys(id, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(wanted, ["row1", "row2"])
+    # One row has the text of a node. Rows wanted grow with the corpus: they are never broadcast, small as they may be in a test.
+    rows = docs.select(*row_keys(id, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(
+        wanted.hint("merge"), ["row1", "row2"])
     texts = _stored(rows.filter("copies = 1").select("node", "text").unionByName(
         rows.filter("copies > 1").dropDuplicates(["node"]).select("node", "text")), "texts")
     links = _stored(_verified(pairs, texts), "links")
