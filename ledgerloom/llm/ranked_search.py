@@ -301,7 +301,6 @@ def _ranked(scored: DataFrame, most: int) -> DataFrame:
 
 def _prepared(texts: list[str], found: DataFrame, documents: int, words: int, most: int) -> Queries:
     """The terms of a block of items with their weights."""
-    spark = found.sparkSession
     counted = [Counter(TERMS.findall(text.encode("utf-8").lower())) for text in texts]
     terms = sorted(set().union(*counted))
     data = np.frombuffer(b"".join(terms), np.uint8)
@@ -309,9 +308,21 @@ def _prepared(texts: list[str], found: DataFrame, documents: int, words: int, mo
     keys = hashes(data, ends - [len(t) for t in terms], ends)
     if len(np.unique(keys)) < len(keys):
         raise ValueError("two terms have one hash")
-    asked = spark.createDataFrame([(k,) for k in keys.view(np.int64).tolist()], "term long")
-    often = dict(found.filter(F.size("terms") > 0).select(F.explode(F.arrays_zip("terms", "counts")).alias("e")).select(
-        F.col("e.terms").alias("term"), F.col("e.counts").alias("n")).join(asked, "term").groupBy("term").agg(F.sum("n")).collect())
+    asked = np.sort(keys.view(np.int64))
+
+    def counted_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents that hold each of the terms, in one task."""
+        held = np.zeros(len(asked), np.int64)
+        for batch in batches:
+            own, often = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in ("terms", "counts"))
+            at = np.minimum(np.searchsorted(asked, own), len(asked) - 1)
+            some = asked[at] == own
+            held += np.bincount(at[some], often[some], len(asked)).astype(np.int64)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(asked[some]), pa.array(held[some])], names=["term", "n"])
+
+    often = dict(found.filter(F.size("terms") > 0).select("terms", "counts").mapInArrow(counted_here, "term long, n long").groupBy(
+        "term").agg(F.sum("n")).collect())
     weights = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * often.get(k, 0) + 1)))
                         for k in keys.view(np.int64).tolist()], np.int64)
     place = {t: i for i, t in enumerate(terms)}
