@@ -162,18 +162,30 @@ def roll_forward(entries: DataFrame, lines: DataFrame, periods: DataFrame, accou
 def close_snapshot(entries: DataFrame, lines: DataFrame, periods: DataFrame, close_events: DataFrame) -> DataFrame:
     """Balance of each account in a period as each close of that period saw it.
 
-    An entry belongs to a close when it was posted on or before that day. Lines are
-    reduced to period, account and posting day before they meet the closes.
+    An entry belongs to a close when it was posted on or before that day. Each posting day falls to the first close
+    that saw it; the sums so far run on from close to close, so that no row is made for a posting day and each close after it.
     """
-    daily = (
-        assign_period(posted_lines(entries, lines, None, "entry_date", "posted_at"), periods)
-        .groupBy("period_id", "account_id", "posted_at")
+    # The closes of one period are few: they travel as a list in the order of their days.
+    closes = close_events.filter("closed_on is not null").groupBy("period_id").agg(
+        F.sort_array(F.collect_set(F.struct("closed_on", "close_version"))).alias("closes"))
+    posted = assign_period(posted_lines(entries, lines, None, "entry_date", "posted_at"), periods)
+    place = F.size(F.filter("closes", lambda close: close["closed_on"] < F.col("posted_at")))
+    moved = (
+        posted.filter("posted_at is not null").groupBy("period_id", "account_id", "posted_at")
         .agg((total("debit") - total("credit")).cast(MONEY_TOTAL).alias("net"))
+        .join(closes, "period_id").withColumn("place", place).filter(F.col("place") < F.size("closes"))
+        .groupBy("period_id", "account_id", "place").agg(total("net").alias("net"))
     )
-    return (
-        daily.join(close_events, "period_id").filter("posted_at <= closed_on")
-        .groupBy("close_version", "period_id", "account_id").agg(total("net").alias("balance"))
-    )
+    so_far = Window.partitionBy("period_id", "account_id").orderBy("place")  # rows are closes
+    carried = moved.select(
+        "period_id", "account_id", "place",
+        F.sum("net").over(so_far.rowsBetween(Window.unboundedPreceding, 0)).cast(MONEY_TOTAL).alias("balance"),
+        F.lead("place").over(so_far).alias("next"),
+    ).join(closes, "period_id")
+    until = F.coalesce(F.col("next"), F.size("closes"))
+    return carried.select(
+        "period_id", "account_id", "balance", F.explode(F.slice("closes", F.col("place") + 1, until - F.col("place"))).alias("close")
+    ).select("close.close_version", "period_id", "account_id", "balance")
 
 
 def close_diff(
@@ -183,40 +195,45 @@ def close_diff(
     """Accounts whose balance in a period differs between two closes of it.
 
     Only periods that have both closes are compared. Given the ledger as well, the
-    adjusting entries posted between the two closes are counted and summed.
+    adjusting entries posted between the two closes are counted and summed; balances and entries then come
+    from one pass over the ledger, and ``snapshots`` is not read.
     """
-    def balance_at(version: int) -> Column:
-        return total(F.when(F.col("close_version") == version, F.col("balance")))
-
-    two = F.col("close_version").isin(v1, v2)
-    closes = close_events if close_events is not None else snapshots
-    reclosed = (
-        closes.filter(two).groupBy("period_id").agg(F.count_distinct("close_version").alias("versions")).filter("versions = 2")
-    )
-    diff = (
-        snapshots.filter(two).groupBy("period_id", "account_id")
-        .agg(balance_at(v1).alias("old_balance"), balance_at(v2).alias("new_balance"))
-        .join(reclosed.select("period_id"), "period_id", "left_semi")
-        .withColumn("change", (F.col("new_balance") - F.col("old_balance")).cast(MONEY_TOTAL))
-        .filter("change <> 0")
-    )
+    change = (F.col("new_balance") - F.col("old_balance")).cast(MONEY_TOTAL)
     if entries is None:
-        return diff
-    spans = close_events.groupBy("period_id").agg(
-        F.max(F.when(F.col("close_version") == v1, F.col("closed_on"))).alias("first_on"),
-        F.max(F.when(F.col("close_version") == v2, F.col("closed_on"))).alias("second_on"),
-    )
-    adjusting = (
-        assign_period(posted_lines(entries.filter("is_adjusting"), lines, None, "entry_date", "posted_at"), periods)
-        .join(spans, "period_id").filter("posted_at > first_on and posted_at <= second_on")
-        .groupBy("period_id", "account_id", "entry_id")
-        .agg((total("debit") - total("credit")).cast(MONEY_TOTAL).alias("net"))
-        .groupBy("period_id", "account_id")
-        .agg(F.count(F.lit(1)).alias("adjusting_entries"), total("net").alias("adjusting_net"))
+        def balance_at(version: int) -> Column:
+            return total(F.when(F.col("close_version") == version, F.col("balance")))
+
+        two = snapshots.filter(F.col("close_version").isin(v1, v2))
+        reclosed = two.groupBy("period_id").agg(F.count_distinct("close_version").alias("versions")).filter("versions = 2")
+        return (
+            two.groupBy("period_id", "account_id").agg(balance_at(v1).alias("old_balance"), balance_at(v2).alias("new_balance"))
+            .join(reclosed.select("period_id"), "period_id", "left_semi").withColumn("change", change).filter("change <> 0")
+        )
+
+    def closed_on(version: int) -> Column:
+        return F.max(F.when(F.col("close_version") == version, F.col("closed_on")))
+
+    spans = close_events.groupBy("period_id").agg(closed_on(v1).alias("first_on"), closed_on(v2).alias("second_on")).filter(
+        "first_on is not null and second_on is not null")
+    between = F.col("is_adjusting") & (F.col("posted_at") > F.col("first_on")) & (F.col("posted_at") <= F.col("second_on"))
+    net = F.col("debit") - F.col("credit")
+
+    def part(condition: Column | str) -> Column:
+        return total(F.when(F.expr(condition) if isinstance(condition, str) else condition, net))
+
+    # Per adjusting entry first, to count them; all other lines of an account come together at once.
+    parts = (
+        assign_period(posted_lines(entries, lines, None, "entry_date", "posted_at", "is_adjusting"), periods)
+        .join(spans, "period_id").withColumn("adjusting", F.coalesce(between, F.lit(False)))
+        .groupBy("period_id", "account_id", F.when(F.col("adjusting"), F.col("entry_id")).alias("entry"))
+        .agg(part("posted_at <= first_on").alias("old"), part("posted_at <= second_on").alias("new"), part(F.col("adjusting")).alias("net"))
     )
-    return diff.join(adjusting, ["period_id", "account_id"], "left").select(
-        *diff.columns, F.coalesce("adjusting_entries", F.lit(0)).alias("adjusting_entries"),
-        F.coalesce("adjusting_net", zero()).alias("adjusting_net"),
+    return (
+        parts.groupBy("period_id", "account_id").agg(
+            total("old").alias("old_balance"), total("new").alias("new_balance"),
+            F.count("entry").alias("adjusting_entries"), total("net").alias("adjusting_net"))
+        .withColumn("change", change).filter("change <> 0")
+        .select("period_id", "account_id", "old_balance", "new_balance", "change", "adjusting_entries", "adjusting_net")
     )
 
 
@@ -228,10 +245,10 @@ def subledger_reconcile(
     Issued invoices count as open. A ledger line belongs to the customer of the invoice
     its entry was made from.
     """
+    # Lines of other invoices are dropped before they are summed.
     billed = (
-        invoice_lines.groupBy("invoice_id").agg(total("amount").alias("open"))
-        .join(invoices.filter("status = 'issued'").select("invoice_id", "customer_id"), "invoice_id")
-        .select("customer_id", "open")
+        invoice_lines.join(invoices.filter("status = 'issued'").select("invoice_id", "customer_id"), "invoice_id")
+        .groupBy("invoice_id", "customer_id").agg(total("amount").alias("open")).select("customer_id", "open")
     )
     control = posted_lines(entries, lines.filter(F.col("account_id") == control_account), None, "source_id")
     booked = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import all_of
@@ -10,6 +10,8 @@ from ledgerloom.functions.skew import join_hot
 
 # Fixed value: rows of a search.
 SEARCH_LIMIT = 25
+# Folders of a word index.
+WORD_BUCKETS = 256
 
 
 def ranked_search(
@@ -137,3 +139,51 @@ def token_search(df: DataFrame, key: str, cols: list[str], query: str, limit: in
 
 def _words(query: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in query.lower()).split()
+
+
+def _word_bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def index_words(df: DataFrame, key: str, cols: list[str], path: str) -> None:
+    """Add rows to a word index: which rows hold a word, and how often.
+
+    ``key`` names a row, and each row is added once, by one load or another. Postings are dealt into folders by a hash of the
+    word and sorted by word there, so that a search reads the folders, and of these the parts, of its own words. The
+    folder of a frequent word is written by several tasks.
+    """
+    text = F.lower(F.concat_ws(" ", *[F.col(c) for c in cols]))
+    words = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda word: word != "")
+    postings = (
+        df.select(F.col(key).alias("key"), F.explode(words).alias("word"))
+        .groupBy("key", "word").agg(F.count(F.lit(1)).cast("int").alias("hits"))
+        .withColumn("bucket", _word_bucket(F.col("word")))
+    )
+    postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word").write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def postings(spark: SparkSession, path: str, words: list[str]) -> DataFrame:
+    """Rows (key, word, hits) of some words of an index."""
+    buckets = [_word_bucket(F.lit(word)) for word in words]
+    return spark.read.parquet(path).filter(F.col("bucket").isin(*buckets) & F.col("word").isin(*words)).select("key", "word", "hits")
+
+
+def indexed_search(spark: SparkSession, path: str, key: str, query: str, limit: int = SEARCH_LIMIT) -> DataFrame:
+    """As `token_search`, from an index that `index_words` has made: the texts are not read.
+
+    The rarest word's rows come first and the others' are joined to them, so that a frequent word costs no
+    more than the scan of its postings.
+    """
+    words = sorted(set(_words(query)))
+    if not words:
+        raise ValueError("the query has no words")
+    rows = postings(spark, path, words)
+    counts = dict(rows.groupBy("word").count().collect())  # a row for each word of the query
+    ordered = sorted(words, key=lambda word: (counts.get(word, 0), word))
+    found = rows.filter(F.col("word") == ordered[0]).select("key", "hits")
+    for word in ordered[1:]:
+        more = rows.filter(F.col("word") == word).select("key", F.col("hits").alias("more"))
+        found = found.join(more, "key").select("key", (F.col("hits") + F.col("more")).alias("hits"))
+    best = found.orderBy(F.desc("hits"), "key").limit(limit)
+    place = F.row_number().over(Window.orderBy(F.desc("hits"), "key"))  # over the rows kept
+    return best.select(F.col("key").alias(key), "hits", place.alias("rank"))

@@ -8,6 +8,7 @@ from ledgerloom.operators import keys, lookup, profile
 from ledgerloom.operators.keys import ForeignKey
 from ledgerloom.plans.fixtures import BASE
 from ledgerloom.plans.registry import register
+from ledgerloom.session import work_dir
 from ledgerloom.sources import tables as source
 
 # -- scans, ad-hoc queries, samples -----------------------------------------------
@@ -444,6 +445,25 @@ register("t2_suggest_customers", _suggested_sql(
     )
 )
 
+_FOUND = """WITH words AS (
+      SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+    found AS (SELECT doc_id, count(*) AS hits FROM words WHERE word IN ({words})
+              GROUP BY doc_id HAVING count(DISTINCT word) = {n})
+    SELECT doc_id, CAST(hits AS INT) AS hits, CAST(row_number() OVER (ORDER BY hits DESC, doc_id) AS INT) AS rank
+    FROM found ORDER BY hits DESC, doc_id LIMIT 25"""
+
+
+def _word_index(t) -> str:
+    """The word index of all documents, in two loads."""
+    path = work_dir(t.spark, "words")
+    for load in (0, 1):
+        lookup.index_words(t["documents"].filter(F.pmod("doc_id", F.lit(2)) == load), "doc_id", ["text"], path)
+    return path
+
+
+register("t3_indexed_search", _FOUND.format(words="'the', 'on'", n=2))(
+    lambda t: lookup.indexed_search(t.spark, _word_index(t), "doc_id", "On, THE")
+)
 register("t3_token_search", """WITH words AS (
       SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents),
     found AS (SELECT doc_id, count(*) AS hits FROM words WHERE word IN ('the', 'on')

@@ -167,3 +167,22 @@ def test_inclusions_are_registered_over_whole_tables(spark):
     found = {(r.child_col, r.parent_col) for r in queries()["r4_inclusions_of_whole_tables"](spark, SMALL).collect()}
     assert {("customer.c_nationkey", "nation.n_nationkey"), ("nation.n_regionkey", "region.r_regionkey"),
             ("lineitem.l_quantity", "part.p_size"), ("orders.o_custkey", "customer.c_custkey")} <= found
+
+
+def test_indexed_search_reads_its_own_words(make, spark, tmp_path):
+    rng = random.Random(4)
+    vocabulary = ["the", "The", "état", "x1", "naïve", "b", "日本"] + [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary) + rng.choice([" ", ", ", "-", "_"]) for _ in range(30)), rng.choice([None, "b b", ""])) for i in range(200)]
+    rows += [(900, None, None), (901, "", "the")]
+    path, frame = f"{tmp_path}/words", make("id int, text string, more string", *rows)
+    for load in (frame.filter("id < 90"), frame.filter("id >= 90"), frame.limit(0)):
+        lookup.index_words(load, "id", ["text", "more"], path)
+    for query in ("the", "THE w7", "état b", "w1 w2 w3", "nowhere", "the nowhere", "日本 x1 b the"):
+        wanted = lookup.token_search(frame, "id", ["text", "more"], query).select("id", "hits", "rank")
+        assert got(lookup.indexed_search(spark, path, "id", query)) == got(wanted)
+    with pytest.raises(ValueError):
+        lookup.indexed_search(spark, path, "id", " ,-")
+    found = lookup.postings(spark, path, ["w7", "w8"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(word" in plan and "PartitionFilters: [bucket" in plan
+    assert found.filter("word not in ('w7', 'w8')").count() == 0 < found.count()

@@ -358,3 +358,36 @@ def test_rollup_of_a_long_chain_keeps_a_row_an_account(spark):
     tb = accounts.selectExpr("account_id", "cast(1 as decimal(38,4)) as net")
     found = closing.account_rollup(tb, accounts)
     assert found.filter("subtree_net = 20001 - account_id and depth = account_id - 1 and issue is null").count() == found.count() == 20_000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_closes_see_what_was_posted_by_their_day(make, seed):
+    rng = random.Random(seed)
+    days = lambda low, high: day(rng.randint(low, high), rng.randint(1, 28))
+    periods = [(m, day(m, 1), day(m, 28), "closed") for m in (1, 2, 3)]
+    entries = [(i, days(1, 3), "manual", None, rng.choice(["posted", "posted", "draft"]), rng.choice([None, days(1, 6), days(1, 6)]),
+                rng.random() < 0.4, None) for i in range(60)]
+    lines = [(e[0], rng.randint(10, 13), D(rng.randint(0, 9)), D(rng.randint(0, 9)), 1, 1, 1) for e in entries for _ in range(2)]
+    # Versions do not follow the days; two closes may be on one day.
+    closes = [(v, p, days(2, 6)) for p in (1, 2) for v in (1, 2, 3, 4)] + [(9, 1, None)]
+    closes += [(5, 1, closes[0][2]), (1, 3, days(2, 6))]
+    frames = (make(ENTRIES, *entries), make(LINES, *lines), make(PERIODS, *periods), make("close_version int, period_id int, closed_on date", *closes))
+    found = {(r.close_version, r.period_id, r.account_id): r.balance for r in closing.close_snapshot(*frames).collect()}
+
+    def balance(period, account, until, after=None, adjusting=False):
+        rows = [(e[0], n[2] - n[3]) for e in entries for n in lines if n[0] == e[0] and n[1] == account and e[4] == "posted" and e[1].month == period
+                and e[5] and e[5] <= until and (after is None or e[5] > after) and (e[6] or not adjusting)]
+        return (sum(x for _, x in rows), len({i for i, _ in rows})) if rows else None
+
+    wanted = {(v, p, a): balance(p, a, on)[0] for v, p, on in closes if on for a in range(10, 14) if balance(p, a, on)}
+    assert found == wanted
+    diff = {(r.period_id, r.account_id): tuple(r)[2:] for r in closing.close_diff(None, 1, 2, *frames).collect()}
+    on = {(v, p): d for v, p, d in closes if d}
+    expected = {}
+    for p in (1, 2):
+        for a in range(10, 14):
+            old, new = ((balance(p, a, on[v, p]) or (D(0), 0))[0] for v in (1, 2))
+            net, count = balance(p, a, on[2, p], on[1, p], True) or (D(0), 0)
+            if old != new:
+                expected[p, a] = (old, new, new - old, count, net)
+    assert diff == expected
