@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,6 +233,76 @@ def discover_inclusions(
     return pairs.orderBy(F.desc("coverage"), F.desc("matched"), "child_col", "parent_col").limit(max_pairs)
 
 
+def discover_composite_inclusions(
+    tables: dict[str, DataFrame], width: int = 2, columns: dict[str, list[str]] | None = None, max_candidates: int = 10_000,
+) -> DataFrame:
+    """Lists of up to ``width`` columns of one table whose rows all occur in columns of another.
+
+    Columns: child_table, child_cols, parent_table, parent_cols, child_distinct, parent_unique. Rows with a missing part do not count.
+    Lists grow column by column. A list counts only if each part of it is included too, down to its columns by themselves, as is always
+    so where no value is missing: the candidates of a level are put together from the inclusions of the level before. All lists of a level are then
+    compared in one pass over the tables, as `discover_inclusions` compares columns. Names of columns, never values, pass
+    through the driver; more than ``max_candidates`` of a level are refused.
+    """
+    if width < 2:
+        raise ValueError("width is 2 at least")
+    kept = {name: [f for f in df.schema if _value_kind(f.dataType) and (columns is None or f.name in columns.get(name, []))]
+            for name, df in tables.items()}
+    single = discover_inclusions(tables, columns={name: [f.name for f in fields] for name, fields in kept.items()})
+    # Inclusions of a level: for two tables, pairs (column, column it is in) by name of the first.
+    level: set[tuple] = set()
+    for row in single.select("child_col", "parent_col").collect():
+        child, one = row.child_col.split(".", 1)
+        parent, other = row.parent_col.split(".", 1)
+        if child != parent:
+            level.add((child, parent, ((one, other),)))
+    found: list[DataFrame] = []
+    for size in range(2, width + 1):
+        candidates = set()
+        for child, parent, pairs in level:
+            for child2, parent2, more in level:
+                if (child, parent, pairs[:-1]) == (child2, parent2, more[:-1]) and pairs[-1][0] < more[-1][0]:
+                    joined = (*pairs, more[-1])
+                    parts = [joined[:i] + joined[i + 1:] for i in range(size)]
+                    if len({p for _, p in joined}) == size and all((child, parent, part) in level for part in parts):
+                        candidates.add((child, parent, joined))
+        if not candidates:
+            break
+        if len(candidates) > max_candidates:
+            raise ValueError(f"{len(candidates)} candidates of {size} columns; name the columns to look at")
+        lists: dict[str, set[tuple]] = {}
+        for child, parent, pairs in candidates:
+            lists.setdefault(child, set()).add(tuple(c for c, _ in pairs))
+            lists.setdefault(parent, set()).add(tuple(p for _, p in pairs))
+        numbered = {name: sorted(some) for name, some in lists.items()}
+        fields = {name: {f.name: f for f in some} for name, some in kept.items()}
+        whole = {
+            name: tables[name].select(*[_joined_text([fields[name][c] for c in some]).alias(str(i)) for i, some in enumerate(numbered[name])])
+            for name in numbered
+        }
+        place = {(name, some): f"{name}.{i}" for name, all_lists in numbered.items() for i, some in enumerate(all_lists)}
+        spark = next(iter(tables.values())).sparkSession
+        asked = spark.createDataFrame(
+            [(place[c, tuple(x for x, _ in pairs)], place[p, tuple(y for _, y in pairs)], c, [x for x, _ in pairs], p, [y for _, y in pairs])
+             for c, p, pairs in sorted(candidates)],
+            "child_col string, parent_col string, child_table string, child_cols array<string>, parent_table string, parent_cols array<string>")
+        here = discover_inclusions(whole).join(asked, ["child_col", "parent_col"]).select(
+            "child_table", "child_cols", "parent_table", "parent_cols", "child_distinct", "parent_unique")
+        found.append(here)
+        if size < width:
+            level = {(r.child_table, r.parent_table, tuple(zip(r.child_cols, r.parent_cols))) for r in here.collect()}
+    if not found:
+        return next(iter(tables.values())).sparkSession.createDataFrame(
+            [], "child_table string, child_cols array<string>, parent_table string, parent_cols array<string>, child_distinct long, parent_unique boolean")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _joined_text(fields: list[T.StructField]) -> Column:
+    """One text for several values, which equal lists share and others do not; NULL if a value is."""
+    parts = [comparable_text(field) for field in fields]
+    return F.concat(*[x for part in parts for x in (F.length(part).cast("string"), F.lit(":"), part)])
+
+
 def join_along_path(
     tables: dict[str, DataFrame],
     path: list[str],

@@ -320,6 +320,35 @@ register("r4_inclusions_of_mixed_types", _inclusion_sql({}, 0.01).replace("WITH
     }, 0.01)
 )
 
+_COMPOSITE = {
+    "lineitem": ["l_linenumber", "l_partkey", "l_suppkey"], "supply": ["lines", "part_id", "supplier_id"], "part": ["p_partkey", "p_size"],
+    "orders": ["o_custkey", "o_orderkey"],
+}
+
+
+def _composite_sql() -> str:
+    """All lists of two columns of a table, held against all of the others."""
+    cells = " UNION ALL ".join(
+        f"SELECT '{table}' AS tab, ['{a}', '{b}'] AS cols, concat({a}, ':', {b}) AS value FROM {table} WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+        for table, names in _COMPOSITE.items() for a in names for b in names if a != b
+    )
+    return f"""WITH cells AS ({cells}), uniq AS (SELECT DISTINCT tab, cols, value FROM cells),
+        sizes AS (SELECT tab, cols, count(*) AS n FROM uniq GROUP BY tab, cols),
+        filled AS (SELECT tab, cols, count(*) AS n FROM cells GROUP BY tab, cols),
+        matched AS (SELECT c.tab AS child, c.cols AS one, p.tab AS parent, p.cols AS other, count(*) AS n
+                    FROM uniq c JOIN uniq p ON c.value = p.value AND c.tab <> p.tab WHERE c.cols[1] < c.cols[2] GROUP BY ALL)
+        SELECT child AS child_table, array_to_string(one, ',') AS child_cols, parent AS parent_table, array_to_string(other, ',') AS parent_cols,
+               m.n AS child_distinct, f.n = ps.n AS parent_unique
+        FROM matched m JOIN sizes s ON s.tab = child AND s.cols = one AND s.n = m.n
+        JOIN sizes ps ON ps.tab = parent AND ps.cols = other JOIN filled f ON f.tab = parent AND f.cols = other"""
+
+
+register("r4_composite_inclusions", _composite_sql())(
+    lambda t: keys.discover_composite_inclusions({name: t[name] for name in _COMPOSITE}, columns=_COMPOSITE).selectExpr(
+        "child_table", "array_join(child_cols, ',') AS child_cols", "parent_table", "array_join(parent_cols, ',') AS parent_cols",
+        "child_distinct", "parent_unique")
+)
+
 _KEYS = [
     ForeignKey("line_order", "lineitem", "orders", (("l_orderkey", "o_orderkey"),)),
     ForeignKey("order_customer", "orders", "customer", (("o_custkey", "c_custkey"),)),

@@ -262,6 +262,8 @@ UNION ALL
 SELECT event_id + 1000000000, ts, workflow_name, instance_id, CASE WHEN event_id % 2 = 0 THEN 0 END, event_type, idempotency_key,
        expected_version, actor_id, actor_role, target_state, override_reason
 FROM workflow_event WHERE event_id % 7 = 0""",
+    "supply": """
+SELECT l_partkey AS part_id, l_suppkey AS supplier_id, count(*) AS lines FROM lineitem GROUP BY l_partkey, l_suppkey""",
     "deep_account": """
 SELECT CAST(l_partkey % 150 AS INT) AS account_id, CAST(nullif(l_partkey % 150, 0) - 1 AS INT) AS parent_account_id,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS net

@@ -186,3 +186,42 @@ def test_indexed_search_reads_its_own_words(make, spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(word" in plan and "PartitionFilters: [bucket" in plan
     assert found.filter("word not in ('w7', 'w8')").count() == 0 < found.count()
+
+
+def brute_composites(tables, width):
+    """Every list of columns of one table against every list of another, row by row; its parts must be included too."""
+    def included(child, some, parent, into):
+        (names, rows), (others, more) = tables[child], tables[parent]
+        held = {v for v in (tuple(r[names.index(c)] for c in some) for r in rows) if None not in v}
+        there = [v for v in (tuple(r[others.index(c)] for c in into) for r in more) if None not in v]
+        return (len(held), len(there) == len(set(there))) if held and held <= set(there) else None
+
+    out = set()
+    for child, parent in itertools.permutations(tables, 2):
+        for size in range(2, width + 1):
+            for some in itertools.combinations(sorted(tables[child][0]), size):
+                for into in itertools.permutations(tables[parent][0], size):
+                    parts = [p for n in range(1, size) for p in itertools.combinations(range(size), n)]
+                    if all(included(child, [some[i] for i in p], parent, [into[i] for i in p]) for p in parts) and (
+                            found := included(child, some, parent, into)):
+                        out.add((child, some, parent, into, *found))
+    return out
+
+
+def test_composite_inclusions(make):
+    rng = random.Random(6)
+    pairs = [(i % 7, i // 7 + 10) for i in range(40)]
+    parent = [(a, b, a * 3 % 5, f"n{a}") for a, b in pairs]
+    child = [(*rng.choice(pairs), rng.choice([1, 2, None])) for _ in range(60)] + [(None, 11, 1)]
+    other = [(float(a), f"n{a}", b) for a, b in rng.sample(pairs, 20)] + [(2.0, None, 99)]
+    tables = {"p": (["a", "b", "m", "name"], parent), "c": (["x", "y", "z"], child), "o": (["fa", "fn", "fb"], other)}
+    frames = {"p": make("a int, b long, m int, name string", *parent), "c": make("x long, y int, z int", *child),
+              "o": make("fa double, fn string, fb int", *other)}
+    for width in (2, 3):
+        found = keys.discover_composite_inclusions(frames, width).collect()
+        mine = {(r.child_table, tuple(r.child_cols), r.parent_table, tuple(r.parent_cols), r.child_distinct, r.parent_unique) for r in found}
+        assert mine == brute_composites(tables, width) and len(found) == len(mine)
+    assert any(r.child_cols == ["x", "y"] and r.parent_cols == ["a", "b"] and r.parent_unique for r in found)
+    assert keys.discover_composite_inclusions({"c": frames["c"], "e": frames["p"].limit(0)}).collect() == []
+    with pytest.raises(ValueError):
+        keys.discover_composite_inclusions(frames, max_candidates=0)
