@@ -41,6 +41,24 @@ def test_alignment():
             assert near.edits_within(np.array(a, np.uint64), np.array(b, np.uint64), most) == (d <= most)
 
 
+def test_alignment_of_long_texts(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(near, "SHORT", 20)
+    monkeypatch.setattr(near, "STRETCH", 16)
+    for _ in range(300):
+        a = [rng.randrange(rng.choice([6, 400])) for _ in range(rng.randint(30, 120))]
+        b = changed(rng, a, rng.randint(0, 30))
+        d = distance(a, b)
+        for most in (3, 12, 40):
+            assert near.edits_within(np.array(a, np.uint64), np.array(b, np.uint64), most) == (d <= most)
+    monkeypatch.undo()
+    # Many different words: the places take memory in proportion to the length.
+    a = np.array([rng.randrange(10**9) for _ in range(200_000)], np.uint64)
+    b = a.copy()
+    b[rng.sample(range(len(b)), 100)] += np.uint64(1)
+    assert near.edits_within(a, b, 40_000) and not near.edits_within(a, np.roll(b, 120_000), 40)
+
+
 def test_components(make):
     rng = random.Random(8)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000, i) for i in range(1001, 1060)]
