@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Folders of ids that the ledger's index is split into.
-ID_BUCKETS = 256
+ID_BUCKETS = 64
 
 
 class _Files:
@@ -259,6 +260,86 @@ def append_ledger(df: DataFrame, path: str, key: str = "entry_id", period: str =
     files.drop(making)
 
 
+def _loads(files: _Files) -> list[str]:
+    """Folders of a roll-up that count: those whose numbers no other covers."""
+    ranges = sorted((tuple(map(int, name.split("-"))) for name in files.names("loads")), key=lambda r: (r[0], -r[1]))
+    out: list[tuple[int, int]] = []
+    for low, high in ranges:
+        if not out or high > out[-1][1]:
+            out.append((low, high))
+    return [f"{low:09d}-{high:09d}" for low, high in out]
+
+
+def fold_rollup(
+    lines: DataFrame, path: str, dimensions: list[str], measures: list[str], key: str = "entry_id", tries: int = 5
+) -> None:
+    """Add the lines of entries not yet in to figures kept by ``dimensions``; late periods are figures like others.
+
+    A load is one folder with the sums it adds and the ids it brings, in buckets, that gets its number in one step. An
+    entry is in or out as a whole, whatever was lost or comes again; of two loads at once one has the number, and
+    the other looks again at what is known. Reads the ids of the batch's buckets, never the ledger or the figures.
+    """
+    spark = lines.sparkSession
+    files = _Files(spark, path)
+    buckets = [row[0] for row in lines.select(_bucket(key)).distinct().collect()]
+    for _ in range(tries):
+        loads = _loads(files)
+        ids = [f"{files.path}/loads/{load}/ids/bucket={b}" for load in loads for b in buckets if files.exists(f"loads/{load}/ids/bucket={b}")]
+        fresh = lines
+        if ids:
+            fresh = _unknown(lines, spark.read.schema("`stored/key` string").parquet(*ids), key)
+        making = f"_making/{uuid.uuid4().hex}"
+        fresh.groupBy(*dimensions).agg(*[F.sum(m).alias(m) for m in measures]).write.parquet(f"{files.path}/{making}/figures")
+        fresh.select(_id(key).alias("stored/key"), _bucket(key).alias("bucket")).distinct().hint("rebalance", "bucket").write.partitionBy(
+            "bucket").parquet(f"{files.path}/{making}/ids")
+        number = int(loads[-1].split("-")[1]) + 1 if loads else 0
+        if files.move(making, f"loads/{number:09d}-{number:09d}"):
+            return
+        files.drop(making)
+    raise RuntimeError(f"others kept adding to {path}")
+
+
+def rollup(spark: SparkSession, path: str, dimensions: list[str], measures: list[str]) -> DataFrame:
+    """The figures kept by `fold_rollup`: sums over all loads."""
+    files = _Files(spark, path)
+    parts = [f"{files.path}/loads/{load}/figures" for load in _loads(files)]
+    return spark.read.parquet(*parts).groupBy(*dimensions).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def compact_rollup(spark: SparkSession, path: str, dimensions: list[str], measures: list[str]) -> bool:
+    """Fold all loads into one folder, which covers their numbers from the moment it has its name; replaced ones are left
+    for `vacuum_rollup`. False if another compaction was first."""
+    files = _Files(spark, path)
+    loads = _loads(files)
+    if len(loads) < 2:
+        return True
+    making = f"_making/{uuid.uuid4().hex}"
+    figures = spark.read.parquet(*[f"{files.path}/loads/{load}/figures" for load in loads])
+    figures.groupBy(*dimensions).agg(*[F.sum(m).cast(figures.schema[m].dataType).alias(m) for m in measures]).write.parquet(
+        f"{files.path}/{making}/figures")
+    ids = reduce(DataFrame.unionByName, [
+        spark.read.schema("`stored/key` string, bucket int").parquet(f"{files.path}/loads/{load}/ids") for load in loads])
+    ids.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{files.path}/{making}/ids")
+    if files.move(making, f"loads/{loads[0].split('-')[0]}-{loads[-1].split('-')[1]}"):
+        return True
+    files.drop(making)
+    return False
+
+
+def vacuum_rollup(spark: SparkSession, path: str, keep_seconds: float = 86_400) -> None:
+    """Delete loads that a folder of such an age covers, and what was begun then and never finished."""
+    files = _Files(spark, path)
+    old = [name for name in _loads(files) if files.age(f"loads/{name}") >= keep_seconds]
+    covered = [tuple(map(int, name.split("-"))) for name in old]
+    for name in files.names("loads"):
+        low, high = map(int, name.split("-"))
+        if name not in old and any(a <= low and high <= b for a, b in covered):
+            files.drop(f"loads/{name}")
+    for name in files.names("_making"):
+        if files.age(f"_making/{name}") >= keep_seconds:
+            files.drop(f"_making/{name}")
+
+
 def export_table(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Write a table for a warehouse, split by column values.
 

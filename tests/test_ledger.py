@@ -391,3 +391,40 @@ def test_closes_see_what_was_posted_by_their_day(make, seed):
             if old != new:
                 expected[p, a] = (old, new, new - old, count, net)
     assert diff == expected
+
+
+def test_a_rollup_takes_every_entry_once(make, spark, tmp_path, monkeypatch):
+    path, schema = f"{tmp_path}/rollup", "entry_id long, period_id int, account_id int, debit decimal(18,4)"
+    dims, sums = ["period_id", "account_id"], ["debit"]
+    rows = [(i, i % 3 if i % 7 else None, i % 2, D(i)) for i in range(60) for _ in range(2)]
+    fold = lambda some: sinks.fold_rollup(make(schema, *some), path, dims, sums)
+    wanted = lambda some: got(make(schema, *some).groupBy(*dims).agg(F.sum("debit")))
+    read = lambda: got(sinks.rollup(spark, path, dims, sums))
+    fold(rows[:40])
+    fold(rows[20:80])
+    assert read() == wanted(rows[:80])
+    # A load that broke off leaves nothing behind.
+    real = sinks._Files.move
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks._Files, "move", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            fold(rows)
+    assert read() == wanted(rows[:80])
+    assert sinks.compact_rollup(spark, path, dims, sums) and read() == wanted(rows[:80])
+    # Another load is first: what it brought is looked at again.
+    first = []
+
+    def late(files, source, target):
+        if not first:
+            first.append(1)
+            fold(rows[80:100])
+        return real(files, source, target)
+
+    monkeypatch.setattr(sinks._Files, "move", late)
+    fold([*rows[70:], *rows[:2]])
+    assert read() == wanted(rows)
+    assert sinks.compact_rollup(spark, path, dims, sums)
+    sinks.vacuum_rollup(spark, path, 0)
+    assert read() == wanted(rows) and len([p for p in (tmp_path / "rollup" / "loads").iterdir() if not p.name.startswith(".")]) == 1
+    fold(rows)
+    assert read() == wanted(rows)
