@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,8 @@ from ledgerloom.functions.columns import NESTED, NUMERIC, groupable_text, pct
 
 # Fixed value: rows of a sampled profile.
 SAMPLE_ROWS = 50_000
+# Values that a sketch of frequent values tracks, and how many of them are counted exactly.
+TRACKED, CANDIDATES = 20_000, 1_000
 
 
 def profilable(df: DataFrame) -> DataFrame:
@@ -169,3 +171,64 @@ def grouped_concat(df: DataFrame, keys: list[str], col: str, order: list[str], s
 def segment_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per value of a column, sorted by it."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.asc_nulls_first(key))
+
+
+def keep_profile(df: DataFrame, path: str, part: str) -> None:
+    """Sketches of the columns of one part of a table, beside those of its other parts.
+
+    For each column that is not nested: rows, filled rows, a HyperLogLog sketch of the different values and one of the frequent ones.
+    Only this part is read; kept again, it replaces itself.
+    """
+    fields = [f for f in profilable(df).schema if not isinstance(f.dataType, NESTED)]
+    texts = [groupable_text(field).alias(str(i)) for i, field in enumerate(fields)]
+    found = df.select(*texts).agg(F.count(F.lit(1)).alias("rows"), *[
+        measure for i in range(len(fields)) for measure in (
+            F.count(F.col(f"`{i}`")).alias(f"{i}_filled"), F.hll_sketch_agg(F.col(f"`{i}`")).alias(f"{i}_distinct"),
+            F.expr(f"approx_top_k_accumulate(`{i}`, {TRACKED})").alias(f"{i}_frequent"))
+    ])
+    columns = [
+        F.struct(F.lit(field.name).alias("column"), F.lit(field.dataType.simpleString()).alias("type"),
+                 *[F.col(f"{i}_{m}").alias(m) for m in ("filled", "distinct", "frequent")])
+        for i, field in enumerate(fields)
+    ]
+    found.select("rows", F.inline(F.array(*columns))).write.mode("overwrite").parquet(f"{path}/part={part}")
+
+
+def kept_profile(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, null share and estimated distinct count of each column, from the sketches of all parts."""
+    parts = spark.read.parquet(path)
+    return parts.groupBy("column", "type").agg(
+        F.sum("rows").alias("rows_profiled"), F.sum("filled").alias("filled"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct"),
+    ).select(
+        "rows_profiled", "column", "type", (F.col("rows_profiled") - F.col("filled")).alias("nulls"),
+        pct(F.col("rows_profiled") - F.col("filled"), F.col("rows_profiled")).alias("null_pct"), "distinct",
+    )
+
+
+def kept_top_values(df: DataFrame, path: str, col: str, k: int = 15) -> DataFrame:
+    """As `top_values` of the whole table, counting exactly only what the sketches of its parts call frequent.
+
+    A sketch of TRACKED values loses none that stands in more than 7 / TRACKED of the rows, and those beyond the first
+    CANDIDATES are no more frequent than the last of these. Where the k-th of the counted values is not above that, all values
+    are counted.
+    """
+    spark = df.sparkSession
+    parts = spark.read.parquet(path).filter(F.col("column") == col)
+    known = parts.agg(F.sum("rows").alias("rows"), F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(frequent, {TRACKED}), {CANDIDATES})").alias("items")).first()
+    column, text = F.col(f"`{col}`"), groupable_text(df.schema[col])
+    texts = [item["item"] for item in known["items"] or () if item["item"] is not None]
+    some = df.filter(column.isNull() | text.isin(texts)) if texts else df.filter(column.isNull())
+    counted = some.groupBy(column.alias("value")).agg(F.count(F.lit(1)).alias("cnt")).orderBy(
+        F.desc("cnt"), F.asc_nulls_first("value")).limit(k)
+    rows = counted.collect()  # k rows
+    most = 7 * known["rows"] / TRACKED  # of a value that was not counted
+    if len(texts) >= CANDIDATES - 1:
+        most = max(most, min(item["count"] for item in known["items"]))
+    whole = sum(row["cnt"] for row in rows) == known["rows"]
+    if not whole and (len(rows) < k or rows[-1]["cnt"] <= most):
+        return top_values(df, col, k)
+    top = spark.createDataFrame(rows, counted.schema)
+    shown = F.sum("cnt").over(Window.partitionBy())  # over the k rows kept
+    return top.select("value", "cnt", pct(F.col("cnt"), shown).alias("pct_of_top"), pct(F.col("cnt"), F.lit(known["rows"])).alias("pct_of_rows"))

@@ -146,6 +146,20 @@ _WITHIN_SQL = " UNION ALL ".join(
 register("p2_estimate_within", _WITHIN_SQL)(
     lambda t: _within(t, profile.profile_table(t["lineitem"].select(*_MEASURED), exact=False), 0.15)
 )
+
+
+def _kept(t, columns: list[str]) -> str:
+    """Profiles of three parts of the order lines; the last is kept twice."""
+    path = work_dir(t.spark, "profiles")
+    for part in (0, 1, 2, 2):
+        lines = t["lineitem"].filter(F.pmod("l_orderkey", F.lit(3)) == part)
+        profile.keep_profile(lines.select(*columns), path, str(part))
+    return path
+
+
+register("p2_kept_profile_within", _WITHIN_SQL)(
+    lambda t: _within(t, profile.kept_profile(t.spark, _kept(t, _MEASURED)).withColumn("is_estimate", F.lit(True)), 0.15)
+)
 register("p3_sample_within", _WITHIN_SQL)(
     # Rows of the smaller tables are all drawn; of larger ones a column with few values shows all of them.
     lambda t: _within(t, profile.profile_sampled(t["lineitem"].select(*_MEASURED), n=1_000_000, seed=7), 0.01)
@@ -187,6 +201,11 @@ for _table, _column in [("lineitem", "l_partkey"), ("journal_line", "business_un
         lambda t, table=_table, column=_column: profile.top_values(t[table], column)
     )
 
+for _column in ("l_quantity", "l_shipdate"):
+    register(f"p5_kept_top_{_column}", _top_sql("lineitem", _column))(
+        lambda t, column=_column: profile.kept_top_values(t["lineitem"], _kept(t, [column]), column)
+    )
+
 register("p6_grouped_concat", "SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS n_name FROM nation GROUP BY n_regionkey")(
     lambda t: profile.grouped_concat(t["nation"], ["n_regionkey"], "n_name", ["n_name"])
 )

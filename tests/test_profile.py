@@ -101,3 +101,24 @@ def test_query_cap_is_taken_as_given(spark):
 def test_query_cap_is_outermost(spark):
     assert source.query(spark, "SELECT * FROM (SELECT id FROM range(9) LIMIT 5) UNION ALL SELECT id FROM range(9)", 8).count() == 8
     assert source.query(spark, "SELECT DISTINCT id % 3 AS r FROM range(9)", 2).count() == 2
+
+
+def test_kept_profiles_are_merged(make, spark, tmp_path, monkeypatch):
+    rows = [(i, None if i % 5 == 0 else i % 7, f"v{i % 40}", [i]) for i in range(2000)]
+    frame, path = make("id int, small int, name string, nested array<int>", *rows), f"{tmp_path}/kept"
+    for part in range(4):
+        profile.keep_profile(frame.filter(f"id % 4 = {part}"), path, str(part))
+    profile.keep_profile(frame.filter("id % 4 = 1"), path, "1")  # kept again
+    found = {r.column: r for r in profile.kept_profile(spark, path).collect()}
+    assert set(found) == {"id", "small", "name"} and found["small"].nulls == 400 and found["id"].rows_profiled == 2000
+    assert found["small"].distinct == 7 and found["name"].distinct == 40 and abs(found["id"].distinct - 2000) < 100
+    full = []
+    real = profile.top_values
+    monkeypatch.setattr(profile, "top_values", lambda *args: full.append(args[1]) or real(*args))
+    for col, k in (("small", 5), ("small", 20), ("name", 3), ("id", 4)):
+        assert got(profile.kept_top_values(frame, path, col, k)) == got(real(frame, col, k))
+    # Where no value is frequent all are counted, by the same rule at every size.
+    assert full.count("small") == 0
+    monkeypatch.setattr(profile, "TRACKED", 100)
+    profile.keep_profile(frame, f"{tmp_path}/few", "0")
+    assert got(profile.kept_top_values(frame, f"{tmp_path}/few", "id", 4)) == got(real(frame, "id", 4)) and "id" in full
