@@ -216,7 +216,7 @@ def kept_top_values(df: DataFrame, path: str, col: str, k: int = 15) -> DataFram
     spark = df.sparkSession
     parts = spark.read.parquet(path).filter(F.col("column") == col)
     known = parts.agg(F.sum("rows").alias("rows"), F.expr(
-        f"approx_top_k_estimate(approx_top_k_combine(frequent, {TRACKED}), {CANDIDATES})").alias("items")).first()
+        f"approx_top_k_estimate(approx_top_k_combine(frequent, {TRACKED}), {min(CANDIDATES, TRACKED)})").alias("items")).first()
     column, text = F.col(f"`{col}`"), groupable_text(df.schema[col])
     texts = [item["item"] for item in known["items"] or () if item["item"] is not None]
     some = df.filter(column.isNull() | text.isin(texts)) if texts else df.filter(column.isNull())
@@ -224,7 +224,7 @@ def kept_top_values(df: DataFrame, path: str, col: str, k: int = 15) -> DataFram
         F.desc("cnt"), F.asc_nulls_first("value")).limit(k)
     rows = counted.collect()  # k rows
     most = 7 * known["rows"] / TRACKED  # of a value that was not counted
-    if len(texts) >= CANDIDATES - 1:
+    if len(texts) >= min(CANDIDATES, TRACKED) - 1:
         most = max(most, min(item["count"] for item in known["items"]))
     whole = sum(row["cnt"] for row in rows) == known["rows"]
     if not whole and (len(rows) < k or rows[-1]["cnt"] <= most):
