@@ -328,15 +328,13 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
-JUDGED = "node long, lead long, linked boolean, words long, rest binary, sketches array<long>"
+JUDGED = "node long, lead long, linked boolean, rest binary"
 
 
-def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: int) -> DataFrame:
-    """Pairs (node, lead) whose texts align with few enough edits, and what to compare further of the others.
+def _judged(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (node, lead) whose texts align with few enough edits; and of the others ``rest``, a bit for each run of the text that the leader has not.
 
-    ``texts`` has (node, text), ``rests`` (part, rest) a bit for each run of a text that counts, all without it. If an
-    alignment with a leader fails, ``rest`` marks those of these runs that the leader has not, and
-    ``sketches`` are theirs. They differ between unlike texts that share a long passage with the leader.
+    ``texts`` has (node, text). A pair that fails and has no ``part`` is not told, as no third text is concerned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,61 +345,74 @@ def _judged(pairs: DataFrame, texts: DataFrame, rests: DataFrame | None, salt: i
                     words, row, count = word_hashes(some.column(name))
                     borders = np.searchsorted(row, np.arange(count + 1))
                     sides.append([words[x:y] for x, y in zip(borders, borders[1:])])
-                linked = [edits_within(a, b, int(MOST_EDITS * max(len(a), len(b)) + 1e-9)) for a, b in zip(*sides)]
-                further = ~np.array(linked, bool) & pc.is_valid(some.column("part")).to_numpy(zero_copy_only=False)
-                marks, sets, owner, little = [None] * len(linked), [], [], []
+                linked = np.array([edits_within(a, b, int(MOST_EDITS * max(len(a), len(b)) + 1e-9)) for a, b in zip(*sides)], bool)
+                further = ~linked & pc.is_valid(some.column("part")).to_numpy(zero_copy_only=False)
+                marks = [None] * len(linked)
                 for i in np.flatnonzero(further).tolist():
                     whole, other = (_runs(x[i], np.zeros(len(x[i]), np.int64), 1)[0] for x in sides)
-                    own = ~np.isin(whole, other)
-                    if (before := some.column("rest")[i].as_py()) is not None:
-                        own &= np.unpackbits(np.frombuffer(before, np.uint8), count=len(whole)).view(bool)
-                    marks[i] = np.packbits(own).tobytes()
-                    if own.any():
-                        sets.append(whole[own])
-                        owner.append(i)
-                        little.append(own.sum() < LEFT * len(whole))
-                sizes = [len(x) for x in sets]
-                runs, of = np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes)
-                found = _sketch(runs, of, len(sets), salt)
-                if any(little):
-                    singles = _sketch(runs, of, len(sets), salt + 1, 1)[:, :SINGLES]
-                    usual = found[:, :SINGLES]
-                    found = np.concatenate((found, np.where(np.array(little)[:, None], singles, usual)), axis=1)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(np.array(owner, np.int64), minlength=len(linked)) * found.shape[1])))
-                yield pa.RecordBatch.from_arrays([
-                    some.column("node"), some.column("lead"), pa.array(linked, pa.bool_()),
-                    pa.array([len(x) for x in sides[0]], pa.int64()), pa.array(marks, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.reshape(-1).view(np.int64))),
-                ], names=["node", "lead", "linked", "words", "rest", "sketches"]).filter(
-                    pa.array(np.array(linked, bool) | further))
-
-    if rests is None:
-        pairs = pairs.withColumn("rest", F.lit(None).cast("binary"))
-    else:
-        pairs = pairs.join(rests, "part", "left")
+                    marks[i] = np.packbits(~np.isin(whole, other)).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("node"), some.column("lead"), pa.array(linked), pa.array(marks, pa.binary())],
+                    names=["node", "lead", "linked", "rest"]).filter(pa.array(linked | further))
+
     others = texts.select(F.col("node").alias("lead"), F.col("text").alias("other"))
-    return pairs.join(texts, "node").join(others, "lead").select(
-        "node", "lead", "part", "rest", "text", "other").mapInArrow(run, JUDGED)
+    return pairs.join(texts, "node").join(others, "lead").select("node", "lead", "part", "text", "other").mapInArrow(run, JUDGED)
+
+
+def _further(left: DataFrame, texts: DataFrame, salt: int) -> DataFrame:
+    """What is left to compare of each text: node, words, sketches, rest, part.
+
+    ``left`` has (node, rests): the runs that count are those that none of the unlike leaders so far has. Texts without
+    such a run are done. However many leaders a text was unlike, it goes on as one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in chunks(batch, "text", 1 << 20):
+                words, row, count = word_hashes(some.column("text"))
+                key, owner, length = _runs(words, row, count)
+                borders, own = np.searchsorted(owner, np.arange(count + 1)), np.ones(len(key), bool)
+                for i, rests in enumerate(some.column("rests")):
+                    for rest in rests.as_py():
+                        own[borders[i]:borders[i + 1]] &= np.unpackbits(
+                            np.frombuffer(rest, np.uint8), count=borders[i + 1] - borders[i]).view(bool)
+                mine = np.bincount(owner[own], minlength=count)
+                found = _sketch(key[own], owner[own], count, salt)
+                little = mine < LEFT * np.diff(borders)
+                more = np.where(little[:, None], _sketch(key[own], owner[own], count, salt + 1, 1)[:, :SINGLES], found[:, :SINGLES])
+                found = np.concatenate((found, more), axis=1)
+                going = np.flatnonzero(mine)
+                marks = [np.packbits(own[borders[i]:borders[i + 1]]).tobytes() for i in going.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("node").take(pa.array(going)), pa.array(length[going], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(going) + 1) * found.shape[1], pa.int32()), pa.array(found[going].reshape(-1).view(np.int64))),
+                     pa.array(marks, pa.binary())], names=["node", "words", "sketches", "rest"])
+
+    return left.join(texts, "node").select("node", "text", "rests").mapInArrow(
+        run, "node long, words long, sketches array<long>, rest binary").withColumn("part", F.col("node"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified pairs (node, lead): of ``pairs``, and of the texts that proved unlike their leaders.
 
-    These are sketched again by what their leader has not, and led by that, until no text has an unlike leader.
+    These are sketched again by what their leaders have not, and led by that, until no text has an unlike leader.
     """
-    judged, salt = _stored(_judged(pairs, texts, None, 1), "judged"), 1
+    judged, salt = _stored(_judged(pairs, texts), "judged"), 1
     links = judged.filter("linked").select("node", "lead")
-    kept = None
-    while not (left := judged.filter("NOT linked AND size(sketches) > 0")).isEmpty():
-        left = _stored(left.select("node", "words", "rest", "sketches", F.xxhash64("node", "rest", "sketches").alias("part")).dropDuplicates(
-            ["part"]), "left")
+    unlike, kept, before = judged.filter("NOT linked").select("node", "rest"), None, None
+    while not unlike.isEmpty():
         if kept is None:
-            kept = _stored(texts.join(left.select("node").distinct(), "node"), "unlike")
+            kept = _stored(texts.join(unlike.select("node").distinct(), "node"), "unlike")
+        if before is not None:  # what earlier leaders have does not come back
+            unlike = unlike.unionByName(before.join(unlike.select("node").distinct(), "node", "left_semi"))
+        rests = unlike.groupBy("node").agg(F.collect_set("rest").alias("rests"))
         salt += 2
+        left = _stored(_further(rests, kept, salt), "left")
         # Stored, the pairs have a size by which the join with texts is planned: the last rounds have few.
         pairs = _stored(_candidates(left), "pairs")
-        judged = _stored(_judged(pairs, kept, left.select("part", "rest"), salt), "judged")
+        judged = _stored(_judged(pairs, kept), "judged")
         links = links.unionByName(judged.filter("linked").select("node", "lead"))
+        unlike, before = judged.filter("NOT linked").select("node", "rest"), left.select("node", "rest")
     return links.distinct()
 
 
