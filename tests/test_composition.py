@@ -101,3 +101,13 @@ def test_events_without_a_number(make, transitions, block):  # noqa: F811
     rows = got(log.select("seq", "outcome", "version", "to_state"))
     assert len(rows) == 10 and [r[1:] for r in rows if r[1] == "no_seq"] == [("no_seq", None, None)] * 3
     assert sorted(r[2] for r in rows if r[1] == "applied") == list(range(1, 8))
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_short_instances_are_followed(make, transitions, monkeypatch, block):  # noqa: F811
+    """No functions are made for an instance of one stretch."""
+    monkeypatch.setattr(composition, "of_events", None)
+    events = random_events(5, True)
+    log = workflow.replay(make(EVENTS, *events), transitions, block_events=block)
+    mine = got(log.select("instance_id", "seq", "from_state", "to_state", "version", "outcome", "held_seq"))
+    assert mine == by_hand(events, transitions.collect())
