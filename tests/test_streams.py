@@ -1,6 +1,7 @@
 import datetime
 
 import pandas as pd
+import pyspark.sql
 import pytest
 from conftest import got, one
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
@@ -10,7 +11,7 @@ from ledgerloom.operators import migrate, projections, workflow
 from ledgerloom.sources import sinks
 from ledgerloom.sources.streams import read_event_stream
 from ledgerloom.streaming import projection, replay
-from ledgerloom.streaming.replay import ReplayProcessor, stream_replay
+from ledgerloom.streaming.replay import ReplayProcessor, RowReplay, stream_replay
 
 KEYS = projections.SUMMARY_KEYS
 
@@ -259,3 +260,19 @@ def test_events_without_a_number_hold_nobody_back(make, spark, tmp_path, transit
     streamed = drain(stream_replay(read_event_stream(spark, f"{tmp_path}/in", whole.schema), transitions), spark, tmp_path)
     batch = workflow.replay(whole, transitions)
     assert got(streamed.select(batch.columns)) == got(batch.withColumn("ts", batch.ts.cast("timestamp")))
+
+
+def test_short_instances_ask_the_state_little(transitions):  # noqa: F811
+    """A write for each key, and a look at the keys there are; rows come and go as rows."""
+    made = RowReplay(workflow.definition(transitions), "DraftScope", None, None, False)
+    made.init(Handle())
+    names = [field.split()[0] for field in EVENTS.split(", ")]
+    row = lambda *at: pyspark.sql.Row(*names)(*[v.value // 1000 if isinstance(v, pd.Timestamp) else v for v in event(*at)])
+    events = [row(1, seq, "EstimateUpdated") for seq in range(1, 15)]
+    results = made.handle.maps["results"]
+    first = list(made.handleInputRows(("w", 1), iter(events[:7]), TimerValues(0, 0)))
+    assert results.calls == 7 and made.handle.maps["early"].calls == 0
+    second = list(made.handleInputRows(("w", 1), iter(events[7:]), TimerValues(0, 0)))
+    assert results.calls == 14 and [r.seq for r in first + second] == list(range(1, 15))
+    again = list(made.handleInputRows(("w", 1), iter(events[:3]), TimerValues(0, 0)))
+    assert [r.outcome for r in again] == ["duplicate"] * 3
