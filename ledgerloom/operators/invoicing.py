@@ -46,7 +46,8 @@ def invoice_postings(
         entry_id, F.col("issued_at").alias("entry_date"), F.lit("invoice").alias("source_type"),
         F.col("invoice_id").alias("source_id"), F.lit("draft").alias("status"),
     )
-    billed = lines.join(issued.select("invoice_id"), "invoice_id", "left_semi")
+    # A hash of the few narrow ids instead of a sort of all lines: the memory of a task is that of its ids.
+    billed = lines.join(issued.select("invoice_id").hint("shuffle_hash"), "invoice_id", "left_semi")
     revenue = billed.select(
         entry_id, F.lit(revenue_account).alias("account_id"), *dims, zero().alias("debit"),
         F.col("amount").cast(MONEY_TOTAL).alias("credit"),

@@ -4,11 +4,11 @@ import re
 from pathlib import Path
 
 import pytest
-from conftest import SMALL, one
+from conftest import SMALL, got, one
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from ledgerloom.operators import dims, keys, ledger, lookup, migrate
+from ledgerloom.operators import dims, invoicing, keys, ledger, lookup, migrate
 from ledgerloom.session import SETTINGS, shared_dir, sizing
 
 ROOT = Path(__file__).resolve().parent.parent / "ledgerloom"
@@ -96,6 +96,22 @@ def test_hot_join_partitions_are_split(spark, hot, sensitive, tmp_path):
     assert "skew=true" in plan(flaws)
 
 
+def invoices_and_lines(make):
+    invoices = make(
+        "invoice_id long, status string, issued_at date", (1, "issued", None), (1, "issued", None), (2, "draft", None), (None, "issued", None))
+    lines = make("invoice_id long, amount int, site_id int", (1, 3, 7), (1, 3, 7), (1, 4, None), (2, 5, 7), (None, 6, 7))
+    return invoices, lines.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+
+
+def test_postings_hold_ids_and_not_sorted_lines(make, sensitive):
+    _, booked = invoicing.invoice_postings(*invoices_and_lines(make), 1100, 4100, ["site_id"])
+    text = plan(booked)
+    assert text.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in text and "Sort [" not in text
+    found = booked.select("entry_id", "account_id", "site_id", F.col("debit").cast("int"), F.col("credit").cast("int"))
+    assert got(found) == [
+        ("INV-1", 1100, 7, 6, 0), ("INV-1", 1100, None, 4, 0), ("INV-1", 4100, 7, 0, 3), ("INV-1", 4100, 7, 0, 3), ("INV-1", 4100, None, 0, 4)]
+
+
 def test_hot_keys_are_reduced_before_they_are_joined(hot):
     child, parent = hot
     assert one(keys.fk_check(child, parent, [("k", "p")]))["orphans"] == 0
