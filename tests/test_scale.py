@@ -112,6 +112,15 @@ def test_postings_hold_ids_and_not_sorted_lines(make, sensitive):
         ("INV-1", 1100, 7, 6, 0), ("INV-1", 1100, None, 4, 0), ("INV-1", 4100, 7, 0, 3), ("INV-1", 4100, 7, 0, 3), ("INV-1", 4100, None, 0, 4)]
 
 
+def test_balances_of_postings_sort_no_lines(make, sensitive):
+    checked = ledger.balance_check(*invoicing.invoice_postings(*invoices_and_lines(make), 1100, 4100, ["site_id"]))
+    text = plan(checked)
+    # Entries are sorted to meet their sums, lines are not.
+    assert text.count("ShuffledHashJoin") == 2 and text.count("SortMergeJoin") == 1
+    assert got(checked.select("entry_id", F.col("debit").cast("int"), "line_count", "balanced")) == [
+        ("INV-1", 10, 5, True), ("INV-1", 10, 5, True), (None, 0, 0, False)]
+
+
 def test_hot_keys_are_reduced_before_they_are_joined(hot):
     child, parent = hot
     assert one(keys.fk_check(child, parent, [("k", "p")]))["orphans"] == 0
