@@ -285,13 +285,18 @@ def fold_rollup(
     for _ in range(tries):
         loads = _loads(files)
         ids = [f"{files.path}/loads/{load}/ids/bucket={b}" for load in loads for b in buckets if files.exists(f"loads/{load}/ids/bucket={b}")]
-        fresh = lines
+        brought = lines.select(_id(key).alias("stored/key"), _bucket(key).alias("bucket")).distinct()
         if ids:
-            fresh = _unknown(lines, spark.read.schema("`stored/key` string").parquet(*ids), key)
+            # Entries are settled first, a narrow row each; lines then meet only the ids that are fresh, often few or none.
+            known = spark.read.schema("`stored/key` string").parquet(*ids).withColumnRenamed("stored/key", "known/key")
+            brought = brought.join(known, F.col("`stored/key`").eqNullSafe(F.col("`known/key`")), "left_anti")
         making = f"_making/{uuid.uuid4().hex}"
+        brought.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{files.path}/{making}/ids")
+        fresh = lines
+        if ids:
+            settled = spark.read.schema("`stored/key` string").parquet(f"{files.path}/{making}/ids").select("stored/key")
+            fresh = lines.join(settled, _id(key).eqNullSafe(F.col("`stored/key`")), "left_semi")
         fresh.groupBy(*dimensions).agg(*[F.sum(m).alias(m) for m in measures]).write.parquet(f"{files.path}/{making}/figures")
-        fresh.select(_id(key).alias("stored/key"), _bucket(key).alias("bucket")).distinct().hint("rebalance", "bucket").write.partitionBy(
-            "bucket").parquet(f"{files.path}/{making}/ids")
         number = int(loads[-1].split("-")[1]) + 1 if loads else 0
         if files.move(making, f"loads/{number:09d}-{number:09d}"):
             return

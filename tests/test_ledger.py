@@ -3,9 +3,10 @@ import random
 from decimal import Decimal as D
 
 import pytest
-from conftest import got
+from conftest import SMALL, got
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from ledgerloom.operators import closing, dims, invoicing, jobshop, ledger
 from ledgerloom.sources import sinks
 
@@ -428,3 +429,24 @@ def test_a_rollup_takes_every_entry_once(make, spark, tmp_path, monkeypatch):
     assert read() == wanted(rows) and len([p for p in (tmp_path / "rollup" / "loads").iterdir() if not p.name.startswith(".")]) == 1
     fold(rows)
     assert read() == wanted(rows)
+
+
+def test_loads_of_a_rollup_meet_their_entries_once(spark, monkeypatch):
+    seen, fold = [], sinks.fold_rollup
+
+    def watched(lines, *more):
+        seen.append(lines._jdf.queryExecution().executedPlan().toString())
+        fold(lines, *more)
+
+    monkeypatch.setattr(sinks, "fold_rollup", watched)
+    queries()["s7_rollup_by_increments"](spark, SMALL)
+    assert len(seen) == 3 and not any("Join" in text for text in seen)
+
+
+def test_a_rollup_takes_null_ids_once(make, spark, tmp_path):
+    path, schema = f"{tmp_path}/rollup", "entry_id int, period_id int, debit int"
+    rows = [(None, 1, 3), (None, 1, 3), (1, 1, 5), (2, None, 7), (2, None, 7)]
+    for part in (rows[:3], rows, rows, rows[:0]):
+        sinks.fold_rollup(make(schema, *part), path, ["period_id"], ["debit"])
+    assert got(sinks.rollup(spark, path, ["period_id"], ["debit"])) == [(1, 11), (None, 14)]
+    assert sum(spark.read.parquet(str(ids)).count() for ids in (tmp_path / "rollup").glob("loads/*/ids/bucket=*")) == 3
