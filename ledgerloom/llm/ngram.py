@@ -1,8 +1,9 @@
-"""Interpolated modified Kneser-Ney models over the bytes of words.
+"""Interpolated modified Kneser-Ney models over the bytes of words, or of whole texts.
 
 The events are bytes of a word and the blank after it, each predicted from the ORDER - 1 bytes
-before it within the word; the word has blanks in front. An n-gram is packed into a long, so
-counts are exact. Tasks count in numpy and send each n-gram once; Spark sums, derives
+before it within the word; the word has blanks in front. In a model of whole texts (``runs_of``) the bytes
+before an event run on over blanks into the words before, to the beginning of the text. An n-gram is packed
+into a long, so it has eight bytes at most and counts are exact. Tasks count in numpy and send each n-gram once; Spark sums, derives
 the continuation counts and joins each n-gram with the totals of its context.
 
 For scoring, probabilities and backoff weights go into sorted tables that hold every entry. n-grams of
@@ -86,13 +87,70 @@ def words_of(column: pa.Array, lower: bool, mark_repeats: bool) -> Words:
     return Words(len(offsets) - 1, row, which.reshape(-1), letters, heads, sizes)
 
 
+@dataclass
+class Runs:
+    """The events of a slice of a batch in the order of its texts: rows, row and n-gram of each event."""
+
+    rows: int
+    row: np.ndarray
+    grams: np.ndarray
+
+
+def runs_of(column: pa.Array, lower: bool, mark_repeats: bool, order: int) -> Runs:
+    """The events of texts as whole runs: words and one blank after each, ``order`` - 1 blanks in front of a text.
+
+    With ``mark_repeats`` a word equal to the one before it becomes a mark.
+    """
+    if lower:
+        column = pc.utf8_lower(column)
+    data, offsets = text_bytes(column)
+    starts, ends, row = spans(~WHITE[data], offsets)
+    if not len(starts):
+        return Runs(len(offsets) - 1, np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    new = np.concatenate(([True], row[1:] != row[:-1]))
+    if mark_repeats:
+        keys = hashes(data, starts, ends)
+        same = np.concatenate(([False], keys[1:] == keys[:-1])) & ~new
+        data = np.append(data, np.uint8(AGAIN))
+        starts, ends = np.where(same, len(data) - 1, starts), np.where(same, len(data), ends)
+    sizes = ends - starts
+    whole = sizes + 1 + np.where(new, order - 1, 0)
+    heads = np.cumsum(whole) - sizes - 1
+    stream = np.full(int(whole.sum()), BLANK, np.uint8)
+    place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    stream[place + np.repeat(heads, sizes)] = data[place + np.repeat(starts, sizes)]
+    grams = stream.astype(np.uint64)
+    for k in range(1, order):
+        grams[k:] |= stream[:-k].astype(np.uint64) << np.uint64(8 * k)
+    events = np.ones(len(stream), bool)
+    events[(heads[new][:, None] - np.arange(1, order)[None, :]).ravel()] = False
+    return Runs(len(offsets) - 1, np.repeat(row, sizes + 1), grams[events])
+
+
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, which = np.unique(grams, return_inverse=True)
     return distinct, np.bincount(which.reshape(-1), counts, len(distinct)).astype(np.int64)
 
 
-def count_grams(rows: DataFrame, lower: bool, mark_repeats: bool) -> DataFrame:
-    """Counts (class, gram, n) of all n-grams of rows (class int, text string); n-grams are exact."""
+def count_grams(rows: DataFrame, lower: bool, mark_repeats: bool, runs: int | None = None) -> DataFrame:
+    """Counts (class, gram, n) of all n-grams of rows (class int, text string); n-grams are exact.
+
+    They are of ORDER bytes within words or, with ``runs``, of so many bytes of whole texts.
+    """
+
+    def found_in(texts: pa.Array, kinds: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        if runs:
+            events = runs_of(texts, lower, mark_repeats, runs)
+            for kind in np.unique(kinds).tolist():
+                yield kind, np.unique(events.grams[kinds[events.row] == kind], return_counts=True)
+            return
+        words = words_of(texts, lower, mark_repeats)
+        grams = words.grams
+        for kind in np.unique(kinds).tolist():
+            times = np.bincount(words.which[kinds[words.row] == kind], minlength=len(words.sizes))
+            times = np.repeat(times, words.sizes)
+            used = times > 0
+            yield kind, _summed(grams[used], times[used])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -110,14 +168,7 @@ def count_grams(rows: DataFrame, lower: bool, mark_repeats: bool) -> DataFrame:
 
         for batch in batches:
             for part in chunks(batch, "text"):
-                kinds = part.column("class").to_numpy()
-                words = words_of(part.column("text"), lower, mark_repeats)
-                grams = words.grams
-                for kind in np.unique(kinds).tolist():
-                    times = np.bincount(words.which[kinds[words.row] == kind], minlength=len(words.sizes))
-                    times = np.repeat(times, words.sizes)
-                    used = times > 0
-                    found = _summed(grams[used], times[used])
+                for kind, found in found_in(part.column("text"), part.column("class").to_numpy()):
                     held.setdefault(kind, []).append(found)
                     size += len(found[0])
             if size > HELD:
@@ -137,20 +188,20 @@ def _suffix(gram, size):
     return gram.bitwiseAND(F.shiftrightunsigned(F.lit(-1).cast("long"), 64 - 8 * size))
 
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """Table entries (class, back boolean, size int, key, value) of the model of each class.
 
-    ``counts`` (class, gram, n) is read twice and should be stored. Entries with ``back`` false give the
+    ``counts`` (class, gram, n) of n-grams of ``order`` bytes is read twice and should be stored. Entries with ``back`` false give the
     discounted probability of an n-gram of ``size`` bytes, the others the weight that the lower
     orders have after a context, for n-grams of ``size`` bytes.
     """
-    top = counts.select("class", F.lit(ORDER).alias("size"), "gram", "n")
+    top = counts.select("class", F.lit(order).alias("size"), "gram", "n")
     sizes = F.array(*[F.struct(F.lit(s).alias("size"), _suffix(F.col("gram"), s).alias("gram"))
-                      for s in range(2, ORDER)])
+                      for s in range(2, order)])
     shorter = counts.select("class", F.explode(sizes).alias("x")).select("class", "x.*").distinct()
     # Below the highest order a gram counts the different bytes before it.
     seen = shorter.unionByName(top.select("class", "size", "gram"))
-    kept = F.element_at(F.array(*[_suffix(F.col("gram"), s) for s in range(1, ORDER)]), F.col("size") - 1)
+    kept = F.element_at(F.array(*[_suffix(F.col("gram"), s) for s in range(1, order)]), F.col("size") - 1)
     lower = seen.select("class", (F.col("size") - 1).alias("size"), kept.alias("gram")).groupBy(
         "class", "size", "gram").agg(F.count("*").alias("n"))
     grams = top.unionByName(lower).withColumn("context", F.shiftrightunsigned("gram", 8)).checkpoint()

@@ -150,3 +150,47 @@ def test_without_labels_or_rows(tables):
     assert quality.classify(docs, none).filter("kept").count() > 0.9 * docs.count()
     assert toxicity.scores(docs, none).filter("predicted = 1").count() == 0
     assert quality.classify(docs.limit(0), labels).collect() == [] and toxicity.scores(docs.limit(0), labels).collect() == []
+
+
+def runs_by_hand(text, order):
+    words, said = [], (text or "").split()
+    for k, word in enumerate(said):
+        words.append("\x01" if k and word == said[k - 1] else word)
+    run = b"".join(word.encode() + b" " for word in words)
+    padded = b" " * (order - 1) + run
+    return [padded[i:i + order] for i in range(len(run))]
+
+
+def test_runs_go_on_over_blanks():
+    texts = ["the cat  sat\nsat sat", None, "", " ", "é", "the the cat"]
+    for order in (2, 6, 8):
+        runs = ngram.runs_of(pa.array(texts), lower=False, mark_repeats=True, order=order)
+        assert runs.rows == len(texts)
+        assert [(r, int(g).to_bytes(order, "big")) for r, g in zip(runs.row, runs.grams)] == [
+            (r, g) for r, text in enumerate(texts) for g in runs_by_hand(text, order)]
+
+
+def test_quality_by_hand(spark, make, monkeypatch):
+    """Perplexity of every text against the definition, over blanks."""
+    texts = [t for t in TEXTS if t] + ["mat the on sat cat the", "zzz the"]
+    docs = make("doc_id int, lang string, text string", *[(k, "en", t) for k, t in enumerate(texts)])
+    labels = make("doc_id int, quality int", *[(k, 1) for k in range(len(texts) - 2)])
+    model = ngram.ORDER
+    trained = {r.doc_id for r in docs.filter(~quality.held_out(F.col("doc_id"))).collect()} - {len(texts) - 2, len(texts) - 1}
+    monkeypatch.setattr(f"{__name__}.events", lambda some: (g for t in some for g in runs_by_hand(t, quality.ORDER)))
+    monkeypatch.setattr(ngram, "ORDER", quality.ORDER)
+    p = model_by_hand([texts[k] for k in sorted(trained)])
+    monkeypatch.setattr(ngram, "ORDER", model)
+    for row in quality.classify(docs, labels).collect():
+        grams = runs_by_hand(texts[row.doc_id], quality.ORDER)
+        bits = sum(-math.log2(p(g, quality.ORDER)) for g in grams) / len(grams)
+        assert math.isclose(row.perplexity, 2 ** bits, rel_tol=1e-3) and row.n_bytes == len(grams)
+
+
+def test_the_order_of_words_counts(make):
+    """Words of trusted texts in another order surprise more."""
+    said = "alder birch cedar dogwood elder fir ginkgo hazel iris juniper".split()
+    docs = [(k, "en", " ".join(said)) for k in range(60)] + [(k, "en", " ".join(said[::-1])) for k in (60, 61)]
+    found = {r.doc_id: r.perplexity for r in quality.classify(
+        make("doc_id int, lang string, text string", *docs), make("doc_id int, quality int", *[(k, 1) for k in range(60)])).collect()}
+    assert min(found[60], found[61]) > 1.5 * max(found[k] for k in range(60))
