@@ -89,7 +89,7 @@ def words_of(column: pa.Array, lower: bool, mark_repeats: bool) -> Words:
 
 @dataclass
 class Runs:
-    """The events of a slice of a batch in the order of its texts: rows, row and n-gram of each event."""
+    """The events of a slice of a batch: rows, row and n-gram of each event, in no order."""
 
     rows: int
     row: np.ndarray
@@ -99,7 +99,8 @@ class Runs:
 def runs_of(column: pa.Array, lower: bool, mark_repeats: bool, order: int) -> Runs:
     """The events of texts as whole runs: words and one blank after each, ``order`` - 1 blanks in front of a text.
 
-    With ``mark_repeats`` a word equal to the one before it becomes a mark.
+    With ``mark_repeats`` a word equal to the one before it is two events, a mark and a blank. What comes after
+    does not see the mark but goes on from the word, so that a mark is as unlikely after many marks as after none.
     """
     if lower:
         column = pc.utf8_lower(column)
@@ -108,11 +109,12 @@ def runs_of(column: pa.Array, lower: bool, mark_repeats: bool, order: int) -> Ru
     if not len(starts):
         return Runs(len(offsets) - 1, np.zeros(0, np.int64), np.zeros(0, np.uint64))
     new = np.concatenate(([True], row[1:] != row[:-1]))
+    same = np.zeros(len(row), bool)
     if mark_repeats:
         keys = hashes(data, starts, ends)
-        same = np.concatenate(([False], keys[1:] == keys[:-1])) & ~new
-        data = np.append(data, np.uint8(AGAIN))
-        starts, ends = np.where(same, len(data) - 1, starts), np.where(same, len(data), ends)
+        same[1:] = (keys[1:] == keys[:-1]) & ~new[1:]
+    after, marked = (np.cumsum(~same) - 1)[same], row[same]  # the word a mark goes on from
+    starts, ends, row, new = (x[~same] for x in (starts, ends, row, new))
     sizes = ends - starts
     whole = sizes + 1 + np.where(new, order - 1, 0)
     heads = np.cumsum(whole) - sizes - 1
@@ -124,7 +126,11 @@ def runs_of(column: pa.Array, lower: bool, mark_repeats: bool, order: int) -> Ru
         grams[k:] |= stream[:-k].astype(np.uint64) << np.uint64(8 * k)
     events = np.ones(len(stream), bool)
     events[(heads[new][:, None] - np.arange(1, order)[None, :]).ravel()] = False
-    return Runs(len(offsets) - 1, np.repeat(row, sizes + 1), grams[events])
+    within = np.uint64((1 << 8 * order) - 1)
+    marks = (grams[heads[after] + sizes[after]] << np.uint64(8) | np.uint64(AGAIN)) & within
+    blanks = (marks << np.uint64(8) | np.uint64(BLANK)) & within
+    return Runs(len(offsets) - 1, np.concatenate((np.repeat(row, sizes + 1), marked, marked)),
+                np.concatenate((grams[events], marks, blanks)))
 
 
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
