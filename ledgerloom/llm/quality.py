@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import ngram
-from ledgerloom.llm.text import chunks, plain, prepare
+from ledgerloom.llm.text import chunks, likely, plain, prepare
 from ledgerloom.session import shared_dir
 
 # Bytes of an n-gram, which runs on over blanks. Those of six saturate: 0.77 million in 60 MB of trusted text.
@@ -73,7 +73,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     shared_dir(spark)
     trusted = labels.groupBy("id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("id")
     # Labels grow with the corpus: they are never broadcast, small as they may be in a test.
-    train = docs.filter(~held_out(F.col("id"))).select("id", "text").join(trusted.hint("merge"), "id")
+    train = likely(docs.filter(~held_out(F.col("id"))).select("id", "text"), trusted).join(trusted.hint("merge"), "id")
     counts = ngram.count_grams(train.select(F.lit(0).alias("class"), "text"), lower=False, mark_repeats=True, runs=ORDER).checkpoint()
     tables = spark.sparkContext.broadcast(ngram.tables(ngram.kneser_ney(counts, ORDER)))
     scored = ngram.score(docs.filter(held_out(F.col("id"))).select("id", "lang", "text"), tables, surprisal,

@@ -7,7 +7,7 @@ import pytest
 from conftest import got
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ngram, quality, toxicity
+from ledgerloom.llm import ngram, quality, text, toxicity
 
 SF = "/root/testdata/sf0.01"
 TEXTS = ["the cat sat on the mat", "the dog sat", "a cat and a dog", None, "", "thé   cát\nsat"] * 3
@@ -205,3 +205,27 @@ def test_the_order_of_words_counts(make):
     found = {r.doc_id: r.perplexity for r in quality.classify(
         make("doc_id int, lang string, text string", *docs), make("doc_id int, quality int", *[(k, 1) for k in range(60)])).collect()}
     assert min(found[60], found[61]) > 1.5 * max(found[k] for k in range(60))
+
+
+def test_other_texts_are_dropped_before_the_join(spark, make, monkeypatch):
+    docs = spark.range(4000).select("id", F.lit("en").alias("lang"), F.format_string("text %d", "id").alias("text"))
+    docs = docs.unionByName(docs.filter("id = 35")).unionByName(make("id long, lang string, text string", (None, "en", "no id")))
+    marks = make("id long, quality int", *[(i, 1) for i in range(0, 4000, 5)], (10, 0), (1, 0), (None, 1), (9999, 1))
+    met, likely = [], quality.likely
+    monkeypatch.setattr(quality, "likely", lambda rows, ids: met.append(likely(rows, ids)) or met[-1])
+    trained, count = [], ngram.count_grams
+    monkeypatch.setattr(ngram, "count_grams", lambda rows, **kind: trained.append(rows) or count(rows, **kind))
+    quality.fit(docs, marks)
+    wanted = docs.filter(~quality.held_out(F.col("id")) & (F.col("id") % 5 == 0) & (F.col("id") != 10))
+    assert got(trained[0].select("text")) == got(wanted.select("text"))
+    assert wanted.count() <= met[0].count() < 1.1 * wanted.count()
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(9,2)", "date", "double", "boolean"])
+def test_likely_rows_lose_none(spark, kind, monkeypatch):
+    monkeypatch.setattr(text, "MOST_WORDS", 3)  # too few: rows pass, none is lost
+    value = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")) if kind == "date" else F.col("id").cast(kind)
+    rows = spark.range(300).select(value.alias("id"))
+    ids = rows.sample(0.2, 1).unionByName(rows.limit(1))
+    for some in (ids, ids.limit(0), ids.select(F.col("id").cast("string").alias("id"))):
+        assert text.likely(rows, some).join(some, "id", "left_semi").count() == rows.join(some, "id", "left_semi").count()
