@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import WHITE, chunks, hashes, spans, text_bytes
+from ledgerloom.llm.text import CHUNK, WHITE, chunks, hashes, spans, text_bytes
 
 ORDER = 5
 BLANK, AGAIN = 0x20, 0x01
@@ -30,9 +30,12 @@ BLANK, AGAIN = 0x20, 0x01
 # Entries of all tables of a model together, of twelve bytes each.
 MOST_ENTRIES = 24_000_000
 
-# Distinct n-grams a task holds before it sends them on.
+# N-grams a task holds before it adds up equal ones; it sends them on if three quarters are left.
 HELD = 2_000_000
 
+# Bytes of whole texts whose events a task holds at a time, at some 60 bytes each; a longer single text is still held whole.
+PIECE = 1 << 19
+
 REPEATED = np.uint64(1)  # stands for a word equal to the one before it
 
 
@@ -134,8 +137,10 @@ def runs_of(column: pa.Array, lower: bool, mark_repeats: bool, order: int) -> Ru
 
 
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, which = np.unique(grams, return_inverse=True)
-    return distinct, np.bincount(which.reshape(-1), counts, len(distinct)).astype(np.int64)
+    order = np.argsort(grams)
+    grams = grams[order]
+    heads = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))[:len(grams)])
+    return grams[heads], np.add.reduceat(counts[order], heads, dtype=np.int64) if len(heads) else np.zeros(0, np.int64)
 
 
 def count_grams(rows: DataFrame, lower: bool, mark_repeats: bool, runs: int | None = None) -> DataFrame:
@@ -173,17 +178,18 @@ def count_grams(rows: DataFrame, lower: bool, mark_repeats: bool, runs: int | No
             held.clear()
 
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", PIECE if runs else CHUNK):
                 for kind, found in found_in(part.column("text"), part.column("class").to_numpy()):
                     held.setdefault(kind, []).append(found)
                     size += len(found[0])
-            if size > HELD:
-                for kind, parts in held.items():
-                    held[kind] = [_summed(*(np.concatenate(x) for x in zip(*parts)))]
-                size = sum(len(parts[0][0]) for parts in held.values())
                 if size > HELD:
-                    yield from flush()
-                    size = 0
+                    for kind, parts in held.items():
+                        held[kind] = [_summed(*(np.concatenate(x) for x in zip(*parts)))]
+                    size = sum(len(parts[0][0]) for parts in held.values())
+                    # With less room left, almost every piece would be a merge.
+                    if size > HELD * 3 // 4:
+                        yield from flush()
+                        size = 0
         yield from flush()
 
     counted = rows.select(F.col("class").cast("int"), "text").mapInArrow(run, "class int, gram long, n long")
@@ -295,8 +301,12 @@ def per_row(words: Words, values: np.ndarray, how: np.ufunc, empty: float) -> np
     return out
 
 
-def score(rows: DataFrame, model, scorer: Callable[[dict, pa.Array], dict[str, np.ndarray]], out: list[str]) -> DataFrame:
-    """The columns but text, and the double columns ``out`` that ``scorer`` gives for it; ``model`` is a broadcast."""
+def score(rows: DataFrame, model, scorer: Callable[[dict, pa.Array], dict[str, np.ndarray]], out: list[str],
+          piece: int = CHUNK) -> DataFrame:
+    """The columns but text, and the double columns ``out`` that ``scorer`` gives for it, some ``piece`` bytes at a time.
+
+    ``model`` is a broadcast.
+    """
     without_text = [f.name for f in rows.schema if f.name != "text"]
     spec = ", ".join([f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in without_text] + [
         f"`{name}` double" for name in out])
@@ -304,7 +314,7 @@ def score(rows: DataFrame, model, scorer: Callable[[dict, pa.Array], dict[str, n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", piece):
                 found = scorer(tables, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(name) for name in without_text], *[pa.array(found[name], pa.float64()) for name in out]],

@@ -77,7 +77,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counts = ngram.count_grams(train.select(F.lit(0).alias("class"), "text"), lower=False, mark_repeats=True, runs=ORDER).checkpoint()
     tables = spark.sparkContext.broadcast(ngram.tables(ngram.kneser_ney(counts, ORDER)))
     scored = ngram.score(docs.filter(held_out(F.col("id"))).select("id", "lang", "text"), tables, surprisal,
-                         ["bits", "bytes"]).join(trusted, "id").filter("bytes > 0").checkpoint()
+                         ["bits", "bytes"], ngram.PIECE).join(trusted, "id").filter("bytes > 0").checkpoint()
     by_lang = scored.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
     ordinary = {r.lang: r.bits / r.bytes for r in by_lang.filter(f"n >= {LEAST_TEXTS} AND lang IS NOT NULL").collect()}
     whole = scored.agg(F.sum("bits") / F.sum("bytes")).first()[0]
@@ -115,7 +115,7 @@ def classify(docs: DataFrame, labels: DataFrame, id: str = "doc_id", lang: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", ngram.PIECE):
                 found = judged(model, part.column("text"), part.column("lang").to_pylist())
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), part.column("lang"), pa.array(found["bytes"].astype(np.int64)),
@@ -132,7 +132,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id: str = "doc_id", lang: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, ngram.PIECE):
                 kept = judged(model, part.column(text), part.column(lang).to_pylist())["kept"]
                 yield part.filter(pa.array(kept))
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -198,6 +199,39 @@ def test_quality_by_hand(spark, make, monkeypatch):
         assert math.isclose(row.perplexity, 2 ** bits, rel_tol=1e-3) and row.n_bytes == len(grams)
 
 
+def test_a_full_batch_takes_little_memory(tables, monkeypatch):
+    """What a task runs over a batch of the largest size holds the events of a small piece of it at a time."""
+    docs, labels = tables
+    runs, kind = [], type(docs)
+    given = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, run, *rest: runs.append((run, self.columns)) or given(self, run, *rest))
+    quality.classify(docs, labels)
+    quality.keep_good(docs.select("doc_id", "lang", "text"), labels)
+    texts = [r.text for r in docs.select("text").filter("text IS NOT NULL").limit(1000).collect()]
+    texts = (texts * (1 + (8 << 20) // sum(len(t.encode()) for t in texts)))[:20_000]
+    columns = {"text": pa.array(texts), "lang": pa.array(["en"] * len(texts)), "class": pa.array(np.zeros(len(texts), np.int32))}
+    numbers = pa.array(range(len(texts)))
+    assert len(runs) == 6  # each counts, scores and judges
+    for run, names in runs:
+        batch = pa.RecordBatch.from_arrays([columns.get(name, numbers) for name in names], names=names)
+        tracemalloc.start()
+        rows = sum(part.num_rows for part in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        assert rows > 0 and peak < 120, f"{peak:.0f} MB"
+
+
+def test_sums_of_counts():
+    random = np.random.default_rng(3)
+    for size in (0, 1, 5000):
+        grams, counts = random.integers(0, 700, size).astype(np.uint64), random.integers(1, 2**54, size)
+        found, sums = ngram._summed(grams, counts)
+        wanted = Counter()
+        for gram, n in zip(grams.tolist(), counts.tolist()):
+            wanted[gram] += n
+        assert list(zip(found.tolist(), sums.tolist())) == sorted(wanted.items())
+
+
 def test_the_order_of_words_counts(make):
     """Words of trusted texts in another order surprise more."""
     said = "alder birch cedar dogwood elder fir ginkgo hazel iris juniper".split()
